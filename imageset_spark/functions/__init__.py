@@ -15,11 +15,11 @@ from .columns import (
     stem,
 )
 from .ranks import range_buckets, row_positions, running_total
-from .skew import hot_keys, salted_join
+from .skew import HOT_ROWS, hot_keys, salted_join
 from .staging import stage, staging_dir
 
 __all__ = [
-    "all_present", "any_missing", "any_present", "class_label", "decision", "hot_keys",
+    "HOT_ROWS", "all_present", "any_missing", "any_present", "class_label", "decision", "hot_keys",
     "is_blank", "is_finite", "name_of", "nan_to_null", "number_of", "range_buckets",
     "remap_prefix", "replace_text", "row_positions", "running_total", "salted_join", "sigmoid", "stage", "staging_dir",
     "stem",

@@ -12,6 +12,10 @@ HOT_ROWS = 500_000
 MAX_HOT_KEYS = 1024
 
 
+def _slices(n, hot_rows):
+    return F.ceil(F.col(n) / F.lit(float(hot_rows))).cast("int")
+
+
 def hot_keys(counts, key, n, hot_rows=HOT_ROWS, max_keys=MAX_HOT_KEYS):
     """Keys worth salting with their slice count, never more than ``max_keys`` rows.
 
@@ -22,26 +26,22 @@ def hot_keys(counts, key, n, hot_rows=HOT_ROWS, max_keys=MAX_HOT_KEYS):
         counts.where(F.col(n) > hot_rows)
         .orderBy(F.desc(n), key)
         .limit(max_keys)
-        .select(
-            F.col(key),
-            F.ceil(F.col(n) / F.lit(float(hot_rows))).cast("int").alias("_slices"),
-        )
+        .select(F.col(key), _slices(n, hot_rows).alias("_slices"))
     )
 
 
-def salted_join(many, one, key, how, counts, n="n", hot_rows=HOT_ROWS, salt_cols=None):
+def salted_join(many, one, key, how, n="n", counts=None, hot_rows=HOT_ROWS, salt_cols=None):
     """Join ``many`` (any number of rows per key) to ``one`` (unique per key).
 
-    ``counts`` gives the number of rows of ``many`` per key in column ``n``.
-    ``salt_cols`` picks the slice; together they should tell rows of one key
-    apart. The slice depends on row content only, so a retried task puts every
-    row in the same slice again.
+    Column ``n`` of ``counts`` holds the number of rows of ``many`` per key; it
+    is looked for in ``one`` unless ``counts`` is given. ``salt_cols`` picks the
+    slice; together they should tell rows of one key apart. The slice depends on
+    row content only, so a retried task puts every row in the same slice again.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support how={how!r}")
-    hot = F.broadcast(hot_keys(counts, key, n, hot_rows))
+    hot = F.broadcast(hot_keys(one if counts is None else counts, key, n, hot_rows))
     salt_cols = salt_cols or [name for name in many.columns if name != key]
-    slices = F.coalesce("_slices", F.lit(1))
     salted = (
         many.join(hot, key, "left")
         .withColumn(
@@ -52,9 +52,15 @@ def salted_join(many, one, key, how, counts, n="n", hot_rows=HOT_ROWS, salt_cols
         )
         .drop("_slices")
     )
-    repeated = (
-        one.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1)))
-        .drop("_slices")
-    )
+    if counts is None:
+        slices = F.when(F.col(n) > hot_rows, _slices(n, hot_rows)).otherwise(F.lit(1))
+        repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1)))
+        repeated = repeated.drop(*([n] if n in many.columns else []))
+    else:
+        slices = F.coalesce("_slices", F.lit(1))
+        repeated = (
+            one.join(hot, key, "left")
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1)))
+            .drop("_slices")
+        )
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")

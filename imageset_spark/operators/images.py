@@ -73,17 +73,26 @@ def invert_mono1(images, enabled=True):
     return images.withColumn("pixels", F.when(wanted, flipped).otherwise(as_is))
 
 
+def scaled_plane(pixels):
+    """Codes scaled to [0, 1] by their own range; a uniform image becomes all zeros.
+
+    The range is bound to a lambda variable. As a plain column the optimizer may
+    copy it into the inner lambda and take minimum and maximum once per pixel.
+    """
+    bounds = F.array(F.struct(F.array_min(pixels).alias("lo"), F.array_max(pixels).alias("hi")))
+
+    def scale(bound):
+        span = (bound["hi"] - bound["lo"]).cast("double")
+        return F.transform(
+            pixels,
+            lambda v: F.when(span > 0, (v - bound["lo"]).cast("double") / span).otherwise(0.0),
+        )
+
+    return F.element_at(F.transform(bounds, scale), 1)
+
+
 def min_max_scale(images, pixels="pixels", out="plane"):
-    """Scale every image to [0, 1]; a uniform image becomes all zeros."""
-    lowest, highest = F.col("_low"), F.col("_high")
-    span = (highest - lowest).cast("double")
-    scaled = F.transform(pixels, lambda v: (v - lowest).cast("double") / span)
-    zeros = F.transform(pixels, lambda v: F.lit(0.0))
-    return (
-        images.withColumns({"_low": F.array_min(pixels), "_high": F.array_max(pixels)})
-        .withColumn(out, F.when(highest > lowest, scaled).otherwise(zeros))
-        .drop("_low", "_high")
-    )
+    return images.withColumn(out, scaled_plane(F.col(pixels)))
 
 
 def replicate_channels(plane, channels=3):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import (
+    HOT_ROWS,
     all_present,
     any_missing,
     any_present,
@@ -66,13 +67,12 @@ def duplicate_join_keys(table, key="patientId"):
     return table.groupBy(key).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
-def join_classes(labels, classes, hot_rows=None):
+def join_classes(labels, classes, hot_rows=HOT_ROWS):
     """Every label row with its class; patients with conflicting classes get none."""
     labels = labels.where(F.col("patientId").isNotNull())
     counts = labels.groupBy("patientId").agg(F.count("*").alias("n"))
-    extra = {"hot_rows": hot_rows} if hot_rows else {}
     return salted_join(
-        labels, mergeable_classes(classes), "patientId", "left", counts, **extra
+        labels, mergeable_classes(classes), "patientId", "left", counts=counts, hot_rows=hot_rows
     )
 
 
@@ -217,7 +217,7 @@ def canonical_images(verdict, image_directory, source_dataset=S.SOURCE_DATASET):
     )
 
 
-def canonical_boxes(labels, verdict, order_col=None, **skew):
+def canonical_boxes(labels, verdict, order_col=None, hot_rows=HOT_ROWS):
     """All label rows of accepted positives as box records.
 
     An accepted positive has only complete rows, so incomplete ones are dropped
@@ -232,8 +232,7 @@ def canonical_boxes(labels, verdict, order_col=None, **skew):
         .select(F.col("patientId").alias("sample_id"), *S.COORDINATES, *order)
     )
     return salted_join(
-        rows, positives.select("sample_id"), "sample_id", "left_semi", positives,
-        n="n_rows", **skew,
+        rows, positives, "sample_id", "left_semi", n="n_rows", hot_rows=hot_rows
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import is_finite, name_of, salted_join
+from ..functions import HOT_ROWS, is_finite, name_of, salted_join
 
 # Codes of box faults, so that the first fault is found over plain integers.
 _FAULTS = [
@@ -27,6 +27,7 @@ class ValidationResult(NamedTuple):
     boxes: DataFrame
     rejections: DataFrame
     duplicates: DataFrame
+    verdict: DataFrame
 
 
 def image_state(images, boxes, audit):
@@ -137,7 +138,7 @@ def box_fault(width="image_width", height="image_height"):
     )
 
 
-def judge_boxes(unique_boxes, state, hot_rows=None):
+def judge_boxes(unique_boxes, state, hot_rows=HOT_ROWS):
     """Distinct boxes with the fate of their image and their own fault.
 
     ``known`` is false for boxes of unknown images; ``candidate`` is true where
@@ -149,10 +150,9 @@ def judge_boxes(unique_boxes, state, hot_rows=None):
         ((F.col("n_images") > 0) & image_reason().isNull()).alias("candidate"),
         "label", "image_width", "image_height", "n_boxes",
     )
-    extra = {"hot_rows": hot_rows} if hot_rows else {}
     judged = salted_join(
-        unique_boxes, facts, "sample_id", "inner", facts, n="n_boxes",
-        salt_cols=S.COORDINATES, **extra,
+        unique_boxes, facts, "sample_id", "inner", n="n_boxes", hot_rows=hot_rows,
+        salt_cols=S.COORDINATES,
     )
     checked = F.col("candidate") & (F.col("label") != 0)
     return judged.withColumn("fault", F.when(checked, box_fault())).drop(
@@ -183,63 +183,53 @@ def geometry_verdict(judged, order_col):
     )
 
 
-def valid_boxes(judged, geometry, hot_rows=None):
+def image_verdict(state, geometry):
+    """One row per known id: label, ledger stage and the reason of refusal, if any."""
+    negative = (F.col("label") == 0) & (F.col("n_boxes") > 0)
+    early = image_reason()
+    late = F.when(negative, S.UNEXPECTED_BOX_FOR_NEGATIVE).otherwise(F.col("_fault"))
+    faults = geometry.select("sample_id", F.col("reason").alias("_fault"))
+    return (
+        state.where("n_images > 0")
+        .join(faults, "sample_id", "left")
+        .select(
+            "sample_id", "label",
+            F.when(early.isNotNull(), S.STAGE_IMAGE).otherwise(S.STAGE_GEOMETRY).alias("stage"),
+            F.coalesce(early, late).alias("reason"),
+        )
+    )
+
+
+def valid_boxes(judged, geometry, hot_rows=HOT_ROWS):
     """Distinct boxes of the images that stay valid."""
-    extra = {"hot_rows": hot_rows} if hot_rows else {}
     kept = judged.where("candidate AND label <> 0 AND fault IS NULL")
-    order = [c for c in judged.columns if c not in
-             ("sample_id", *S.COORDINATES, "copies", "known", "candidate", "label",
-              "n_boxes", "fault")]
     return salted_join(
-        kept, geometry.select("sample_id"), "sample_id", "left_anti", geometry,
-        n="n_boxes", salt_cols=S.COORDINATES, **extra,
-    ).select("sample_id", *S.COORDINATES, *order)
-
-
-def image_rejections(state, prior=None):
-    """Ledger rows of the image-level checks, one per id."""
-    found = state.where("n_images > 0").select(
-        F.lit(S.STAGE_IMAGE).alias("stage"), "sample_id", image_reason().alias("reason")
-    ).where("reason IS NOT NULL")
-    if prior is None:
-        return found
-    listed = prior.where(F.col("reason") == S.DUPLICATE_IMAGE_RECORD)
-    return found.join(
-        listed.select("sample_id", "reason").distinct(), ["sample_id", "reason"], "left_anti"
-    ).select("stage", "sample_id", "reason")
+        kept, geometry, "sample_id", "left_anti", n="n_boxes", hot_rows=hot_rows,
+        salt_cols=S.COORDINATES,
+    ).drop("copies", "known", "candidate", "label", "n_boxes", "fault")
 
 
-def rejection_ledger(state, judged, geometry, prior=None):
+def rejection_ledger(verdict, judged, prior=None):
     """Every rejection of both stages; an id may occur more than once."""
-    ledger = (
-        image_rejections(state, prior)
-        .unionByName(
-            unknown_box_refs(judged).select(
-                F.lit(S.STAGE_REFERENCE).alias("stage"), "sample_id",
-                F.lit(S.UNKNOWN_IMAGE_REFERENCE).alias("reason"),
-            )
-        )
-        .unionByName(
-            negative_with_boxes(state).select(
-                F.lit(S.STAGE_GEOMETRY).alias("stage"), "sample_id",
-                F.lit(S.UNEXPECTED_BOX_FOR_NEGATIVE).alias("reason"),
-            )
-        )
-        .unionByName(
-            geometry.select(F.lit(S.STAGE_GEOMETRY).alias("stage"), "sample_id", "reason")
+    found = verdict.where("reason IS NOT NULL").select("stage", "sample_id", "reason")
+    if prior is not None:
+        listed = prior.where(F.col("reason") == S.DUPLICATE_IMAGE_RECORD)
+        found = found.join(
+            listed.select("sample_id", "reason").distinct(), ["sample_id", "reason"], "left_anti"
+        ).select("stage", "sample_id", "reason")
+    ledger = found.unionByName(
+        unknown_box_refs(judged).select(
+            F.lit(S.STAGE_REFERENCE).alias("stage"), "sample_id",
+            F.lit(S.UNKNOWN_IMAGE_REFERENCE).alias("reason"),
         )
     )
     return prior.unionByName(ledger) if prior is not None else ledger
 
 
-def valid_images(images, state, geometry):
+def valid_images(images, verdict):
     """Image records that passed every check."""
-    passed = state.where(
-        (F.col("n_images") > 0) & image_reason().isNull()
-        & ((F.col("label") != 0) | (F.col("n_boxes") == 0))
-    ).select("sample_id")
-    kept = passed.join(geometry.select("sample_id"), "sample_id", "left_anti")
-    return images.join(kept, "sample_id", "left_semi")
+    passed = verdict.where("reason IS NULL").select("sample_id")
+    return images.join(passed, "sample_id", "left_semi")
 
 
 def removed_duplicates(unique_boxes):
@@ -249,15 +239,17 @@ def removed_duplicates(unique_boxes):
     )
 
 
-def validate_records(images, boxes, audit, order_col, rejections=None, keep=lambda df, name: df):
-    """Run all checks. ``keep`` may stage the two frames that several results share."""
+def validate_records(images, boxes, audit, order_col, rejections=None,
+                     keep=lambda df, name: df):
+    """Run all checks. ``keep`` may stage the frames that several results share."""
     state = keep(image_state(images, boxes, audit), "image-state")
-    unique = dedupe_boxes(boxes, order_col)
-    judged = keep(judge_boxes(unique, state), "judged-boxes")
-    geometry = geometry_verdict(judged, order_col)
+    judged = keep(judge_boxes(dedupe_boxes(boxes, order_col), state), "judged-boxes")
+    geometry = keep(geometry_verdict(judged, order_col), "geometry")
+    verdict = keep(image_verdict(state, geometry), "image-verdict")
     return ValidationResult(
-        images=valid_images(images, state, geometry),
+        images=valid_images(images, verdict),
         boxes=valid_boxes(judged, geometry),
-        rejections=rejection_ledger(state, judged, geometry, rejections),
+        rejections=rejection_ledger(verdict, judged, rejections),
         duplicates=removed_duplicates(judged),
+        verdict=verdict,
     )

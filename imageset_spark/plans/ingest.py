@@ -28,8 +28,11 @@ def rejection_histogram(rejections):
     return rejections.groupBy("reason").agg(F.count("*").alias("n_rows"))
 
 
-def ingestion_report(labels, images, boxes, rejections, duplicates):
-    """One row of totals; ``source_rows`` counts label rows, also those without an id."""
+def ingestion_report(labels, verdict, boxes, rejections, duplicates):
+    """One row of totals; ``source_rows`` counts label rows, also those without an id.
+
+    Accepted images are counted on the image verdict, where each is one row.
+    """
 
     def figures(df, **values):
         one = df.agg(*[expr.alias(name) for name, expr in values.items()])
@@ -44,7 +47,7 @@ def ingestion_report(labels, images, boxes, rejections, duplicates):
         figures(labels, source_rows=F.count("*"))
         .unionByName(
             figures(
-                images,
+                verdict.where("reason IS NULL"),
                 accepted_images=F.count("*"),
                 positive_images=F.count_if(F.col("label") == 1),
                 negative_images=F.count_if(F.col("label") == 0),
@@ -94,7 +97,7 @@ def ingest(labels, classes, audit, image_directory, order_col="row_seq",
         boxes=checked.boxes,
         rejections=checked.rejections,
         report=ingestion_report(
-            labels, checked.images, checked.boxes, checked.rejections, checked.duplicates
+            labels, checked.verdict, checked.boxes, checked.rejections, checked.duplicates
         ),
     )
 

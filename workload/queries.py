@@ -35,14 +35,30 @@ def _images(spark, sf_dir):
     return mapping.canonical_images(_verdict(spark, sf_dir), IMAGE_FOLDER)
 
 
-def _direct(spark, sf_dir):
-    """State and judged boxes of the records that skip the mapping stage."""
-    boxes = tables.direct_boxes(spark, sf_dir)
-    state = validation.image_state(
-        tables.direct_images(spark, sf_dir), boxes, tables.headers(spark, sf_dir)
+def _staged_verdict(spark, sf_dir):
+    """The mapping verdict, written once for queries that read it more than once."""
+    return stage(_verdict(spark, sf_dir), "mapping-verdict")
+
+
+def _state(spark, sf_dir):
+    return validation.image_state(
+        tables.direct_images(spark, sf_dir), tables.direct_boxes(spark, sf_dir),
+        tables.headers(spark, sf_dir),
+    )
+
+
+def _judged(spark, sf_dir, state=None):
+    """Judged boxes of the records that skip the mapping stage."""
+    state = stage(_state(spark, sf_dir), "image-state") if state is None else state
+    unique = validation.dedupe_boxes(tables.direct_boxes(spark, sf_dir), "row_seq")
+    return validation.judge_boxes(unique, state)
+
+
+def _checked(spark, sf_dir):
+    return validation.validate_records(
+        tables.direct_images(spark, sf_dir), tables.direct_boxes(spark, sf_dir),
+        tables.headers(spark, sf_dir), "row_seq", keep=stage,
     )
-    judged = validation.judge_boxes(validation.dedupe_boxes(boxes, "row_seq"), state)
-    return state, judged
 
 
 def _ingested(spark, sf_dir):
@@ -58,7 +74,7 @@ def _scored(spark, sf_dir):
 
 def _points(df, column, name="value"):
     """One row per array element, so that results compare as plain numbers."""
-    return df.select("sample_id", F.posexplode(column).alias("place", name))
+    return df.select("sample_id", F.posexplode_outer(column).alias("place", name))
 
 
 # --- sources and sinks ------------------------------------------------------
@@ -119,9 +135,8 @@ def image_audit_decoded(spark, sf_dir):
 @query
 def write_canonical(spark, sf_dir):
     path = staged_path(spark, "boxes-csv")
-    boxes = mapping.canonical_boxes(
-        tables.labels(spark, sf_dir), _verdict(spark, sf_dir), "row_seq"
-    )
+    verdict = _staged_verdict(spark, sf_dir)
+    boxes = mapping.canonical_boxes(tables.labels(spark, sf_dir), verdict, "row_seq")
     sources.write_canonical(boxes, path, S.BOX_SCHEMA)
     return sources.read_manifest(spark, path, S.BOX_SCHEMA)
 
@@ -174,7 +189,7 @@ def canonical_images(spark, sf_dir):
 @query
 def canonical_boxes(spark, sf_dir):
     labels = tables.labels(spark, sf_dir)
-    return mapping.canonical_boxes(labels, _verdict(spark, sf_dir)).select(*BOX)
+    return mapping.canonical_boxes(labels, _staged_verdict(spark, sf_dir)).select(*BOX)
 
 
 @query
@@ -241,22 +256,17 @@ def mergeable_classes(spark, sf_dir):
 
 @query
 def unknown_box_refs(spark, sf_dir):
-    _, judged = _direct(spark, sf_dir)
-    return validation.unknown_box_refs(judged)
+    return validation.unknown_box_refs(_judged(spark, sf_dir))
 
 
 @query
 def valid_boxes(spark, sf_dir):
-    _, judged = _direct(spark, sf_dir)
-    geometry = validation.geometry_verdict(judged, "row_seq")
-    return validation.valid_boxes(judged, geometry).select(*BOX)
+    return _checked(spark, sf_dir).boxes.select(*BOX)
 
 
 @query
 def valid_images(spark, sf_dir):
-    state, judged = _direct(spark, sf_dir)
-    geometry = validation.geometry_verdict(judged, "row_seq")
-    return validation.valid_images(tables.direct_images(spark, sf_dir), state, geometry)
+    return _checked(spark, sf_dir).images
 
 
 @query
@@ -275,7 +285,7 @@ def training_examples(spark, sf_dir):
     spec = images.ImageSpec(height=5, width=5)
     planes = images.preprocess_images(tables.pixels(spark, sf_dir), spec)
     examples = images.training_examples(tables.split_input(spark, sf_dir), planes, spec)
-    tensor = F.posexplode("tensor").alias("place", "value")
+    tensor = F.posexplode_outer("tensor").alias("place", "value")
     return examples.select("sample_id", F.col("label").cast("double").alias("label"), tensor) \
         .withColumn("value", F.col("value").cast("double"))
 
@@ -321,14 +331,13 @@ def dedupe_boxes(spark, sf_dir):
 
 @query
 def geometry_verdict(spark, sf_dir):
-    _, judged = _direct(spark, sf_dir)
+    judged = _judged(spark, sf_dir)
     return validation.geometry_verdict(judged, "row_seq").select("sample_id", "reason")
 
 
 @query
 def negative_with_boxes(spark, sf_dir):
-    state, _ = _direct(spark, sf_dir)
-    return validation.negative_with_boxes(state)
+    return validation.negative_with_boxes(_state(spark, sf_dir))
 
 
 @query
@@ -343,9 +352,7 @@ def rejection_ledger(spark, sf_dir):
 
 @query
 def direct_ledger(spark, sf_dir):
-    state, judged = _direct(spark, sf_dir)
-    geometry = validation.geometry_verdict(judged, "row_seq")
-    return validation.rejection_ledger(state, judged, geometry)
+    return _checked(spark, sf_dir).rejections
 
 
 @query

@@ -24,6 +24,7 @@ def range_buckets(df, order_col, n_buckets=None, out=BUCKET):
     """
     if n_buckets is None:
         n_buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = max(2, n_buckets)
     value = F.col(order_col).cast("double")
     shares = [i / n_buckets for i in range(1, n_buckets)]
     found = df.select(value.alias("v")).approxQuantile("v", shares, 1.0 / (4 * n_buckets))

@@ -56,7 +56,7 @@ def _source_order(rows):
     block = F.col("_metadata.file_block_start")
     keyed = rows.select(
         "*",
-        F.col("_metadata.file_path").alias("_file"),
+        F.input_file_name().alias("_file"),
         (
             block.cast("decimal(38,0)") * F.lit(str(10**_ROW_DIGITS)).cast("decimal(38,0)")
             + place.cast("decimal(38,0)")
@@ -66,9 +66,11 @@ def _source_order(rows):
         return keyed.drop("_file")
     # One row per input file, a list that the scan itself holds on the driver.
     numbers = spark.createDataFrame(list(enumerate(files)), "_no bigint, _file string")
+    lost = F.concat(F.lit("input file missing from the file list: "), "_file")
     width = F.lit(str(10 ** (_ROW_DIGITS + _BLOCK_DIGITS))).cast("decimal(38,0)")
     return (
         keyed.join(F.broadcast(numbers), "_file", "left")
+        .withColumn("_no", F.coalesce("_no", F.raise_error(lost).cast("bigint")))
         .withColumn("row_seq", (F.col("_no").cast("decimal(13,0)") * width + F.col("row_seq"))
                     .cast("decimal(38,0)"))
         .drop("_file", "_no")

@@ -1,0 +1,137 @@
+import numpy as np
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from imageset_spark.operators import images
+
+SPEC = images.ImageSpec()
+
+
+def corpus(spark, grids):
+    data = [
+        (name, *grid.shape, int(np.iinfo(grid.dtype).max), kind, [int(v) for v in grid.ravel()])
+        for name, (grid, kind) in grids.items()
+    ]
+    return spark.createDataFrame(
+        data,
+        "sample_id string, rows int, cols int, code_max bigint, photometric string, pixels array<int>",
+    )
+
+
+def slow_resize(plane, height, width):
+    """Every output pixel by itself, straight from the definition."""
+    out = np.zeros((height, width))
+    for i in range(height):
+        for j in range(width):
+            y = max((i + 0.5) * plane.shape[0] / height - 0.5, 0)
+            x = max((j + 0.5) * plane.shape[1] / width - 0.5, 0)
+            y0, x0 = int(y), int(x)
+            y1, x1 = min(y0 + 1, plane.shape[0] - 1), min(x0 + 1, plane.shape[1] - 1)
+            dy, dx = y - y0, x - x0
+            out[i, j] = (
+                plane[y0, x0] * (1 - dy) * (1 - dx) + plane[y0, x1] * (1 - dy) * dx
+                + plane[y1, x0] * dy * (1 - dx) + plane[y1, x1] * dy * dx
+            )
+    return out
+
+
+@pytest.mark.parametrize("shape, size", [((8, 8), (5, 5)), ((3, 7), (9, 4)), ((1, 2), (6, 6))])
+def test_resize_follows_the_definition(shape, size):
+    plane = np.random.default_rng(1).random(shape)
+    assert np.allclose(images.resize_plane(plane, *size), slow_resize(plane, *size))
+
+
+@pytest.fixture(scope="module")
+def grids():
+    rng = np.random.default_rng(42)
+    noise = rng.integers(0, 4096, (64, 64)).astype("uint16")
+    tall = rng.integers(0, 4096, (128, 64)).astype("uint16")
+    dot = np.zeros((64, 64), "uint16")
+    dot[3, 5] = 1000
+    return {
+        "noise": (noise, "MONOCHROME2"), "inverted": (noise, "MONOCHROME1"),
+        "uniform": (np.full((64, 64), 500, "uint16"), "MONOCHROME2"),
+        "tall": (tall, "MONOCHROME2"), "dot": (dot, "MONOCHROME2"),
+        "line": (np.array([[0, 1000]], "uint16"), "MONOCHROME2"),
+    }
+
+
+def test_whole_contract(spark, grids):
+    planes = images.preprocess_images(corpus(spark, grids), SPEC)
+    made = {r.sample_id: r for r in images.to_tensor(planes, SPEC).collect()}
+    assert set(made) == set(grids)
+    for name, (grid, kind) in grids.items():
+        codes = grid.astype("float32")
+        codes = 65535 - codes if kind == "MONOCHROME1" else codes
+        span = codes.max() - codes.min()
+        unit = (codes - codes.min()) / span if span else np.zeros_like(codes)
+        plane = images.resize_plane(unit.astype("float64"), 224, 224)
+        expected = np.stack([(plane - m) / s for m, s in zip(SPEC.mean, SPEC.std)])
+        tensor = np.array(made[name].tensor, "float32").reshape(made[name].shape)
+        assert tensor.shape == (3, 224, 224) and np.isfinite(tensor).all()
+        assert np.allclose(tensor, expected, atol=1e-5)
+    assert made["inverted"].tensor != made["noise"].tensor
+    assert min(made["uniform"].tensor) < 0
+    line = np.array(made["line"].plane).reshape(224, 224)
+    assert line[0, 0] == 0 and line[0, -1] == 1 and np.all(np.diff(line[0]) >= 0)
+
+
+def test_column_steps_match_the_batch_job(spark, grids):
+    table = images.min_max_scale(images.invert_mono1(corpus(spark, grids)))
+    resized = images.resize_bilinear(table, 224, 224)
+    whole = images.preprocess_images(corpus(spark, grids), SPEC)
+    step = {r.sample_id: np.array(r.plane) for r in resized.collect()}
+    for row in whole.collect():
+        assert np.allclose(step[row.sample_id], row.plane, atol=1e-6)
+
+
+def test_inversion_can_be_switched_off(spark, grids):
+    spec = images.ImageSpec(invert_monochrome1=False, height=8, width=8)
+    made = {r.sample_id: r.plane for r in
+            images.preprocess_images(corpus(spark, grids), spec).collect()}
+    assert made["inverted"] == made["noise"]
+    assert rows(images.invert_mono1(corpus(spark, grids), False), "pixels") == rows(
+        corpus(spark, grids).withColumn("pixels", F.col("pixels").cast("array<bigint>")), "pixels"
+    )
+
+
+def test_files_are_decoded_and_preprocessed_in_one_job(spark, grids):
+    data = [(n, grid.tobytes() + bytes([grid.shape[0]]), kind) for n, (grid, kind) in grids.items()
+            if grid.shape[0] in (1, 64)]
+    files = spark.createDataFrame(
+        [(n, c + kind[-1:].encode()) for n, c, kind in data], "sample_id string, content binary"
+    )
+
+    def decode(content):
+        grid = np.frombuffer(content[:-2], "uint16").reshape(content[-2], -1)
+        return grid, "MONOCHROME" + content[-1:].decode()
+
+    found = {r.sample_id: r.plane for r in images.preprocess_files(files, decode, SPEC).collect()}
+    whole = images.preprocess_images(corpus(spark, grids), SPEC)
+    assert found == {r.sample_id: r.plane for r in whole.collect() if r.sample_id in found}
+    assert len(found) == 5
+
+
+def test_examples_pair_tensor_and_label(spark, grids):
+    spec = images.ImageSpec(height=4, width=4)
+    manifest = spark.createDataFrame([("dot", 1), ("gone", 0)], "sample_id string, label int")
+    planes = images.preprocess_images(corpus(spark, grids), spec)
+    found = images.training_examples(manifest, planes, spec).collect()
+    assert [(r.sample_id, r.label, len(r.tensor)) for r in found] == [("dot", 1.0, 48)]
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [
+        {"width": 0}, {"height": -1}, {"channels": 1}, {"resize": "nearest"}, {"version": " "},
+        {"preserve_aspect_ratio": True}, {"layout": "HWC"}, {"dtype": "float64"},
+        {"mean": (0.5,)}, {"std": (0.0, 1.0, 1.0)}, {"std": (-1.0, 1.0, 1.0)},
+        {"std": (float("inf"), 1.0, 1.0)}, {"mean": (float("nan"), 0.0, 0.0)},
+        {"output_min": 1.0, "output_max": 1.0}, {"output_max": float("inf")},
+        {"scaling": "none"}, {"dimensions": 3},
+    ],
+)
+def test_unsupported_parameters_raise(bad):
+    with pytest.raises(ValueError):
+        images.ImageSpec(**bad)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .staging import stage
 
 BUCKET = "_range"
+MAX_RANGES = 10_000
 
 
 def range_buckets(df, order_col, n_buckets=None, out=BUCKET):
@@ -20,14 +21,14 @@ def range_buckets(df, order_col, n_buckets=None, out=BUCKET):
 
     The default makes four ranges per shuffle partition, so raising
     ``spark.sql.shuffle.partitions`` with the data keeps a range small. Only the
-    cut points reach the driver.
+    cut points, at most ``MAX_RANGES``, reach the driver.
     """
     if n_buckets is None:
         n_buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_buckets = max(2, n_buckets)
+    n_buckets = min(max(2, n_buckets), MAX_RANGES)
     value = F.col(order_col).cast("double")
     shares = [i / n_buckets for i in range(1, n_buckets)]
-    found = df.select(value.alias("v")).approxQuantile("v", shares, 1.0 / (4 * n_buckets))
+    found = df.agg(F.percentile_approx(value, shares, 4 * n_buckets)).first()[0] or []
     cuts = sorted(set(found))
     splits = [float("-inf"), *(c for c in cuts if abs(c) != float("inf")), float("inf")]
     if len(splits) < 3:

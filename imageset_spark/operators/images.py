@@ -12,11 +12,30 @@ from math import isfinite
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the preprocessing contract.
 CHANNEL_MEAN = (0.485, 0.456, 0.406)
 CHANNEL_STD = (0.229, 0.224, 0.225)
 INVERTED = "MONOCHROME1"
+CONFIG_KEYS = {
+    ("version", None): "version",
+    ("input", "format"): "input_format",
+    ("input", "dimensions"): "dimensions",
+    ("intensity", "invert_monochrome1"): "invert_monochrome1",
+    ("intensity", "scaling"): "scaling",
+    ("intensity", "output_min"): "output_min",
+    ("intensity", "output_max"): "output_max",
+    ("image", "width"): "width",
+    ("image", "height"): "height",
+    ("image", "channels"): "channels",
+    ("image", "resize"): "resize",
+    ("image", "preserve_aspect_ratio"): "preserve_aspect_ratio",
+    ("tensor", "layout"): "layout",
+    ("tensor", "dtype"): "dtype",
+    ("normalization", "mean"): "mean",
+    ("normalization", "std"): "std",
+}
 
 PLANE_SCHEMA = "sample_id string, height int, width int, plane array<float>"
 
@@ -26,6 +45,7 @@ class ImageSpec:
     """Parameters of the preprocessing contract; unsupported values raise."""
 
     version: str = "1.0"
+    input_format: str = "dicom"
     height: int = 224
     width: int = 224
     channels: int = 3
@@ -43,7 +63,7 @@ class ImageSpec:
 
     def __post_init__(self):
         supported = {
-            "channels": 3, "dimensions": 2, "scaling": "min_max", "resize": "bilinear",
+            "input_format": "dicom", "channels": 3, "dimensions": 2, "scaling": "min_max", "resize": "bilinear",
             "preserve_aspect_ratio": False, "layout": "CHW", "dtype": "float32",
         }
         for name, value in supported.items():
@@ -64,6 +84,31 @@ class ImageSpec:
             if not holds:
                 raise ValueError(rule)
 
+    @classmethod
+    def from_config(cls, config):
+        """Build from a nested mapping, such as a parsed YAML file."""
+        flat = {}
+        for section, value in config.items():
+            entries = value.items() if isinstance(value, dict) else [(None, value)]
+            flat.update({(section, name): entry for name, entry in entries})
+        absent = [".".join(filter(None, key)) for key in CONFIG_KEYS if key not in flat]
+        if absent:
+            raise ValueError(f"preprocessing configuration lacks {', '.join(sorted(absent))}")
+        values = {name: flat[key] for key, name in CONFIG_KEYS.items()}
+        return cls(**{n: tuple(v) if isinstance(v, list) else v for n, v in values.items()})
+
+    def to_config(self):
+        """The nested mapping that :meth:`from_config` reads."""
+        config = {}
+        for (section, name), attribute in CONFIG_KEYS.items():
+            value = getattr(self, attribute)
+            value = list(value) if isinstance(value, tuple) else value
+            if name is None:
+                config[section] = value
+            else:
+                config.setdefault(section, {})[name] = value
+        return config
+
 
 def invert_mono1(images, enabled=True):
     """Mirror the codes of images whose photometric type counts white as zero."""
@@ -196,6 +241,39 @@ def preprocess_files(files, decoder, spec):
     return files.select("sample_id", "content").mapInPandas(run, PLANE_SCHEMA)
 
 
+def preprocess_paths(manifest, decoder, spec, opener=open, path_col="image_path"):
+    """Read, decode and preprocess the image of every manifest row inside the task.
+
+    Only manifest rows are moved between executors; pixels are read where they
+    are used and leave the task as one resized plane next to the manifest
+    columns. ``opener(path, "rb")`` opens a file that every executor can reach.
+    """
+    height, width, invert = spec.height, spec.width, spec.invert_monochrome1
+
+    def plane(path):
+        with opener(path, "rb") as handle:
+            codes, photometric = decoder(handle.read())
+        code_max = np.iinfo(codes.dtype).max
+        scaled = _scaled(codes, code_max, invert and photometric == INVERTED)
+        return resize_plane(scaled, height, width).astype("float32").ravel()
+
+    def run(table):
+        for batch in table:
+            yield batch.assign(
+                height=height, width=width, plane=[plane(path) for path in batch[path_col]]
+            )
+
+    schema = T.StructType(
+        [
+            *manifest.schema.fields,
+            T.StructField("height", T.IntegerType()),
+            T.StructField("width", T.IntegerType()),
+            T.StructField("plane", T.ArrayType(T.FloatType())),
+        ]
+    )
+    return manifest.mapInPandas(run, schema)
+
+
 def to_tensor(planes, spec):
     """Model input of every stored plane: three normalised channels as floats."""
     tensor = normalize_channels(F.col("plane"), spec.mean, spec.std).cast("array<float>")

@@ -57,8 +57,9 @@ def conflicting_classes(classes):
 
 def mergeable_classes(classes):
     """Distinct pairs without the patients whose classes conflict."""
-    return distinct_classes(classes).join(
-        conflicting_classes(classes).select("patientId"), "patientId", "left_anti"
+    return salted_join(
+        distinct_classes(classes), conflicting_classes(classes), "patientId", "left_anti",
+        n="n_classes",
     )
 
 
@@ -221,7 +222,8 @@ def canonical_boxes(labels, verdict, order_col=None, hot_rows=HOT_ROWS):
     """All label rows of accepted positives as box records.
 
     An accepted positive has only complete rows, so incomplete ones are dropped
-    at the scan before anything is shuffled.
+    at the scan before anything is shuffled. ``order_col`` is kept; it also tells
+    copies of one box apart, so that a patient with very many can be cut up.
     """
     positives = verdict.where("reason IS NULL AND target = 1").select("sample_id", "n_rows")
     order = [order_col] if order_col else []

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import HOT_ROWS, is_finite, name_of, salted_join
+from ..functions import HOT_ROWS, hot_keys, is_finite, name_of, salted_join
+from .quality import file_coverage
 
 # Codes of box faults, so that the first fault is found over plain integers.
 _FAULTS = [
@@ -91,8 +92,8 @@ def image_reason():
 
 
 def missing_files(images, listing):
-    """Images without a file in the listing."""
-    return images.join(listing.select("sample_id").distinct(), "sample_id", "left_anti").select(
+    """Ids of images without a file in the listing, once each."""
+    return file_coverage(images, listing).where("side = 'missing'").select(
         "sample_id", F.lit(S.IMAGE_FILE_NOT_FOUND).alias("reason")
     )
 
@@ -193,7 +194,7 @@ def image_verdict(state, geometry):
         state.where("n_images > 0")
         .join(faults, "sample_id", "left")
         .select(
-            "sample_id", "label",
+            "sample_id", "label", "n_images",
             F.when(early.isNotNull(), S.STAGE_IMAGE).otherwise(S.STAGE_GEOMETRY).alias("stage"),
             F.coalesce(early, late).alias("reason"),
         )
@@ -226,10 +227,17 @@ def rejection_ledger(verdict, judged, prior=None):
     return prior.unionByName(ledger) if prior is not None else ledger
 
 
-def valid_images(images, verdict):
-    """Image records that passed every check."""
+def valid_images(images, verdict, hot_rows=HOT_ROWS):
+    """Image records that passed every check.
+
+    An id with very many records is refused in any case; its records are left
+    out before the shuffle, which they would only crowd.
+    """
+    crowded = hot_keys(verdict, "sample_id", "n_images", hot_rows).select("sample_id")
     passed = verdict.where("reason IS NULL").select("sample_id")
-    return images.join(passed, "sample_id", "left_semi")
+    return images.join(F.broadcast(crowded), "sample_id", "left_anti").join(
+        passed, "sample_id", "left_semi"
+    )
 
 
 def removed_duplicates(unique_boxes):

@@ -120,6 +120,7 @@ def ingest_files(spark, labels_path, classes_path, image_directory, images_outpu
     result = ingest(labels, classes, audit, image_directory)
     images, boxes = stage(result.images, "images"), stage(result.boxes, "boxes")
     write_canonical(images, images_output, S.IMAGE_SCHEMA, format, sort_by="sample_id")
-    order = ["sample_id", "row_seq"]
-    write_canonical(boxes.sortWithinPartitions(order), boxes_output, S.BOX_SCHEMA, format)
+    write_canonical(
+        boxes, boxes_output, S.BOX_SCHEMA, format, sort_by=["sample_id", "row_seq"]
+    )
     return result.report

@@ -12,6 +12,7 @@ from .sinks import (
     append_history,
     report_json,
     write_canonical,
+    write_planes,
     write_report,
     write_splits,
 )
@@ -19,5 +20,5 @@ from .sinks import (
 __all__ = [
     "append_history", "audit_images", "checksum_files", "checksum_lines", "checksum_paths",
     "list_images", "read_classes", "read_files", "read_labels", "read_manifest",
-    "report_json", "verify_checksums", "write_canonical", "write_report", "write_splits",
+    "report_json", "verify_checksums", "write_canonical", "write_planes", "write_report", "write_splits",
 ]

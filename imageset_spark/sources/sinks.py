@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 
 def write_canonical(df, path, schema, format="csv", mode="overwrite", sort_by=None):
-    """Write exactly the columns of ``schema``, with a header even when empty."""
-    out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    if sort_by:
-        out = out.sortWithinPartitions(sort_by)
+    """Write exactly the columns of ``schema``, with a header even when empty.
+
+    With ``sort_by`` the part files follow each other in that order.
+    """
+    out = df.orderBy(sort_by) if sort_by else df
+    out = out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     writer = out.write.mode(mode)
     if format == "csv":
         writer = writer.option("header", True)
@@ -15,9 +17,12 @@ def write_canonical(df, path, schema, format="csv", mode="overwrite", sort_by=No
 
 
 def write_splits(assigned, path, format="parquet", mode="overwrite"):
-    """Write a frame with a ``split`` column, one folder per split, sorted by id in each file."""
+    """Write a frame with a ``split`` column, one folder per split, in id order.
+
+    Sorting by split first also means that a task writes one split, not all three.
+    """
     writer = (
-        assigned.sortWithinPartitions("split", "sample_id")
+        assigned.orderBy("split", "sample_id")
         .write.mode(mode).partitionBy("split").format(format)
     )
     if format == "csv":
@@ -38,6 +43,22 @@ def write_report(report, path, mode="overwrite"):
     report.coalesce(1).write.mode(mode).json(path)
 
 
+def write_planes(planes, table, path, buckets):
+    """Store preprocessed planes bucketed by id, as a table.
+
+    A later join on ``sample_id`` then leaves the wide planes where they are and
+    moves only the narrow side.
+    """
+    (
+        planes.write.mode("overwrite")
+        .bucketBy(buckets, "sample_id")
+        .sortBy("sample_id")
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return planes.sparkSession.table(table)
+
+
 def append_history(rows, path):
     """Append finished epochs to the training history table."""
     rows.write.mode("append").parquet(path)

@@ -3,6 +3,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from imageset_spark import sources
 from imageset_spark.operators import images
 
 SPEC = images.ImageSpec()
@@ -135,3 +136,52 @@ def test_examples_pair_tensor_and_label(spark, grids):
 def test_unsupported_parameters_raise(bad):
     with pytest.raises(ValueError):
         images.ImageSpec(**bad)
+
+
+def test_configuration_round_trip():
+    spec = images.ImageSpec(width=32, mean=(0.1, 0.2, 0.3))
+    config = spec.to_config()
+    assert config["image"]["width"] == 32 and config["normalization"]["mean"] == [0.1, 0.2, 0.3]
+    assert images.ImageSpec.from_config(config) == spec
+    del config["tensor"]["layout"], config["version"]
+    with pytest.raises(ValueError, match="tensor.layout, version"):
+        images.ImageSpec.from_config(config)
+
+
+def test_images_are_read_by_path_inside_the_task(spark, tmp_path, grids):
+    spec = images.ImageSpec(height=6, width=6)
+    for name, (grid, _) in grids.items():
+        np.save(tmp_path / f"{name}.npy", grid)
+    manifest = spark.createDataFrame(
+        [(n, str(tmp_path / f"{n}.npy"), 1) for n, (_, k) in grids.items() if k == "MONOCHROME2"],
+        "sample_id string, image_path string, label int",
+    )
+
+    def decode(content):
+        import io
+
+        return np.load(io.BytesIO(content)), "MONOCHROME2"
+
+    found = images.preprocess_paths(manifest.repartition(3), decode, spec)
+    whole = images.preprocess_images(corpus(spark, grids), spec)
+    expected = {r.sample_id: r.plane for r in whole.collect()}
+    assert found.columns == ["sample_id", "image_path", "label", "height", "width", "plane"]
+    for row in found.collect():
+        assert row.plane == expected[row.sample_id] and row.label == 1
+    assert found.count() == 5
+
+
+def test_bucketed_planes_are_not_moved_by_the_join(spark, tmp_path, grids):
+    spec = images.ImageSpec(height=4, width=4)
+    planes = images.preprocess_images(corpus(spark, grids), spec)
+    stored = sources.write_planes(planes, "planes_test", str(tmp_path / "planes"), 4)
+    manifest = spark.createDataFrame([("dot", 1), ("tall", 0)], "sample_id string, label int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = images.training_examples(manifest, stored, spec)
+        assert joined.count() == 2
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE planes_test")
+    assert plan.count("Exchange hashpartitioning") == 1

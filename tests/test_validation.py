@@ -115,6 +115,8 @@ def test_random_records_agree_with_the_row_model(spark, seed, parts):
     found = result.boxes.select("sample_id", *S.COORDINATES)
     assert rows(found) == sorted(kept, key=lambda r: tuple(map(str, r)))
     assert result.duplicates.first()[0] == removed
+    crowded = validation.valid_images(frames(spark, images, boxes, audit)[0], result.verdict, 1)
+    assert {r.sample_id for r in crowded.collect()} == valid
 
 
 def test_hot_images_are_salted_without_changing_the_result(spark):

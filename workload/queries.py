@@ -189,7 +189,8 @@ def canonical_images(spark, sf_dir):
 @query
 def canonical_boxes(spark, sf_dir):
     labels = tables.labels(spark, sf_dir)
-    return mapping.canonical_boxes(labels, _staged_verdict(spark, sf_dir)).select(*BOX)
+    verdict = _staged_verdict(spark, sf_dir)
+    return mapping.canonical_boxes(labels, verdict, "row_seq").select(*BOX)
 
 
 @query

@@ -9,8 +9,7 @@ from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import range_buckets, row_positions, running_total, sigmoid
-from ..functions.ranks import BUCKET
+from ..functions import range_buckets, row_positions, running_total, sigmoid, stage
 
 _WIDE = "decimal(38,0)"
 
@@ -94,34 +93,32 @@ def loss_accuracy(predictions, batch_size=32, order_col="sample_id"):
     )
 
 
-def _score_counts(predictions):
-    positive = (F.col("label") == 1).cast("bigint")
-    return predictions.select("score", positive.alias("pos"), (1 - positive).alias("neg"))
-
+def score_counts(predictions):
+    """Positives and negatives per distinct score, written once.
 
-def _running_counts(predictions, n_buckets=None):
-    """Distinct scores from high to low with cumulative and own counts."""
-    ranges = range_buckets(_score_counts(predictions), "score", n_buckets)
-    per_score = ranges.groupBy("score", BUCKET).agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
-    )
-    return running_total(per_score, "score", ["pos", "neg"], descending=True)
+    The one pass over the predictions: all curve operators read this table, and
+    a score shared by very many rows is a single row of it.
+    """
+    positive = (F.col("label") == 1).cast("bigint")
+    rows = predictions.select("score", positive.alias("pos"), (1 - positive).alias("neg"))
+    counts = rows.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return stage(counts, "score-counts")
 
 
-def class_totals(predictions):
-    counts = _score_counts(predictions)
-    return counts.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+def _running_counts(counts, n_buckets=None):
+    """Distinct scores with own and cumulative counts, summed from the highest score."""
+    ranges = range_buckets(counts, "score", n_buckets)
+    return running_total(ranges, "score", ["pos", "neg"], descending=True)
 
 
-def roc_points(predictions, n_buckets=None):
-    """Every distinct threshold with counts and rates, plus the (inf, 0, 0) anchor."""
-    totals = class_totals(predictions)
-    curve = _running_counts(predictions, n_buckets).select(
+def _roc_points(counts, n_buckets):
+    totals = counts.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    curve = _running_counts(counts, n_buckets).select(
         F.col("score").alias("threshold"), F.col("run_pos").alias("tp"), F.col("run_neg").alias("fp")
     )
-    anchor = totals.select(
-        F.lit(float("inf")).alias("threshold"),
-        F.lit(0).cast("bigint").alias("tp"), F.lit(0).cast("bigint").alias("fp"),
+    none = F.lit(0).cast("bigint")
+    anchor = counts.sparkSession.range(1).select(
+        F.lit(float("inf")).alias("threshold"), none.alias("tp"), none.alias("fp")
     )
 
     def rate(count, total):
@@ -132,9 +129,14 @@ def roc_points(predictions, n_buckets=None):
     )
 
 
+def roc_points(predictions, n_buckets=None):
+    """Every distinct threshold with counts and rates, plus the (inf, 0, 0) anchor."""
+    return _roc_points(score_counts(predictions), n_buckets)
+
+
 def roc_auc(predictions, n_buckets=None):
     """Exact area under the ROC curve; tied scores count half. NULL with one class only."""
-    curve = _running_counts(predictions, n_buckets)
+    curve = _running_counts(score_counts(predictions), n_buckets)
     twice = 2 * F.col("run_pos").cast(_WIDE) - F.col("pos").cast(_WIDE)
     sums = curve.agg(
         F.sum((F.col("neg").cast(_WIDE) * twice).cast(_WIDE)).alias("area"),

@@ -6,6 +6,8 @@ from .columns import (
     decision,
     is_blank,
     is_finite,
+    is_number,
+    is_present,
     name_of,
     nan_to_null,
     number_of,
@@ -20,7 +22,7 @@ from .staging import stage, staging_dir
 
 __all__ = [
     "HOT_ROWS", "all_present", "any_missing", "any_present", "class_label", "decision", "hot_keys",
-    "is_blank", "is_finite", "name_of", "nan_to_null", "number_of", "range_buckets",
+    "is_blank", "is_finite", "is_number", "is_present", "name_of", "nan_to_null", "number_of", "range_buckets",
     "remap_prefix", "replace_text", "row_positions", "running_total", "salted_join", "sigmoid", "stage", "staging_dir",
     "stem",
 ]

@@ -15,20 +15,33 @@ def _col(value):
 
 def nan_to_null(value):
     """Missing numbers are NULL everywhere in this package, never NaN."""
-    value = _col(value)
-    return F.when(~F.isnan(value), value)
+    return F.nullif(_col(value), F.lit(float("nan")))
 
 
-def any_present(names):
-    return reduce(or_, [_col(name).isNotNull() for name in names])
+def is_number(value):
+    """True for every number, also infinite ones; false for NaN, NULL for NULL.
 
+    NaN sorts above infinity, so one plain comparison does it. As a filter it
+    reaches the scan.
+    """
+    return _col(value) <= F.lit(float("inf"))
+
+
+def is_present(value):
+    """True for every number, also infinite ones; false for NULL and NaN."""
+    return F.coalesce(is_number(value), F.lit(False))
 
-def any_missing(names):
-    return reduce(or_, [_col(name).isNull() for name in names])
+
+def any_present(names):
+    return reduce(or_, [is_present(name) for name in names])
 
 
 def all_present(names):
-    return reduce(and_, [_col(name).isNotNull() for name in names])
+    return reduce(and_, [is_present(name) for name in names])
+
+
+def any_missing(names):
+    return ~all_present(names)
 
 
 def is_finite(value):

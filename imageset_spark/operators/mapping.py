@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import (
     HOT_ROWS,
-    all_present,
     any_missing,
     any_present,
     class_label,
+    is_number,
     name_of,
     nan_to_null,
     number_of,
@@ -83,17 +83,20 @@ def conflicting_targets(labels):
     Lowest and highest target differ exactly when there are several; that needs
     no distinct count and therefore no second shuffle.
     """
+    target = nan_to_null("Target")
     return (
-        clean_labels(labels)
-        .where(F.col("patientId").isNotNull())
+        labels.where(F.col("patientId").isNotNull())
         .groupBy("patientId")
-        .agg(F.min("Target").alias("lowest"), F.max("Target").alias("highest"))
+        .agg(F.min(target).alias("lowest"), F.max(target).alias("highest"))
         .where("lowest <> highest")
     )
 
 
 def _row_flags():
-    """Box properties of a single label row, NULL comparisons counting as false."""
+    """Box properties of a single label row, NULL comparisons counting as false.
+
+    NaN counts as missing; it is neither below nor equal to any number.
+    """
 
     def known(condition):
         return F.coalesce(condition, F.lit(False))
@@ -111,8 +114,7 @@ def box_flags(labels):
     """Per patient, whether any label row shows each box property."""
     flags = _row_flags()
     return (
-        clean_labels(labels)
-        .where(F.col("patientId").isNotNull())
+        labels.where(F.col("patientId").isNotNull())
         .groupBy("patientId")
         .agg(*[F.bool_or(expr).alias(name) for name, expr in flags.items()])
     )
@@ -127,12 +129,11 @@ def patient_state(labels, classes):
     """
     flags = _row_flags()
     label_rows = (
-        clean_labels(labels)
-        .where(F.col("patientId").isNotNull())
+        labels.where(F.col("patientId").isNotNull())
         .select(
             "patientId",
             F.lit(1).alias("label_row"),
-            "Target",
+            nan_to_null("Target").alias("Target"),
             *[expr.alias(name) for name, expr in flags.items()],
             F.lit(0).alias("named_class"),
             F.lit(0).alias("unnamed_class"),
@@ -227,10 +228,11 @@ def canonical_boxes(labels, verdict, order_col=None, hot_rows=HOT_ROWS):
     """
     positives = verdict.where("reason IS NULL AND target = 1").select("sample_id", "n_rows")
     order = [order_col] if order_col else []
+    rows = labels.where(F.col("patientId").isNotNull())
+    for name in S.COORDINATES:
+        rows = rows.where(is_number(name))
     rows = (
-        clean_labels(labels)
-        .where(all_present(["patientId", *S.COORDINATES]))
-        .where(F.coalesce(F.col("Target") == 1, F.lit(True)))
+        rows.where(F.coalesce(nan_to_null("Target") == 1, F.lit(True)))
         .select(F.col("patientId").alias("sample_id"), *S.COORDINATES, *order)
     )
     return salted_join(

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import any_missing, any_present, class_label
+from ..functions import any_missing, any_present, class_label, nan_to_null
 from .mapping import clean_labels, distinct_classes
 
 
@@ -59,26 +59,22 @@ def unsupported_classes(classes):
 
 def invalid_negative_rows(labels):
     """Rows with target 0 that hold any box value."""
-    return clean_labels(labels).where((F.col("Target") == 0) & any_present(S.COORDINATES))
+    return clean_labels(labels.where((F.col("Target") == 0) & any_present(S.COORDINATES)))
 
 
 def invalid_positive_rows(labels):
     """Rows with target 1 that lack any box value."""
-    return clean_labels(labels).where((F.col("Target") == 1) & any_missing(S.COORDINATES))
+    return clean_labels(labels.where((F.col("Target") == 1) & any_missing(S.COORDINATES)))
 
 
 def image_targets(labels):
     """Distinct (patientId, label) pairs."""
-    return (
-        clean_labels(labels)
-        .select("patientId", F.col("Target").alias("label"))
-        .distinct()
-    )
+    return labels.select("patientId", nan_to_null("Target").alias("label")).distinct()
 
 
 def positive_boxes(labels, distinct=True):
     """Boxes of rows with target 1, as they stand in the source."""
-    boxes = clean_labels(labels).where(F.col("Target") == 1).select("patientId", *S.COORDINATES)
+    boxes = clean_labels(labels.where(F.col("Target") == 1)).select("patientId", *S.COORDINATES)
     return boxes.distinct() if distinct else boxes
 
 
@@ -184,8 +180,8 @@ def first_per_class(images, class_col="raw_class", id_col="sample_id"):
 
 def _patient_facts(labels, classes, listing):
     """One row per id over labels, classes and image files, for :func:`expectations`."""
-    target = F.col("Target")
-    lab = clean_labels(labels).select(
+    target = nan_to_null("Target")
+    lab = labels.select(
         F.col("patientId").alias("id"),
         F.lit(1).alias("in_labels"), F.lit(0).alias("in_classes"), F.lit(0).alias("in_files"),
         target.alias("target"), target.isNull().alias("no_target"),

@@ -68,6 +68,13 @@ def duplicate_join_keys(table, key="patientId"):
     return table.groupBy(key).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
+def require_unique(table, key="patientId"):
+    """Raise ``ValueError`` if a key occurs more than once."""
+    found = duplicate_join_keys(table, key).limit(1).collect()
+    if found:
+        raise ValueError(f"{key} is not unique: {found[0][key]} occurs {found[0].n_rows} times")
+
+
 def join_classes(labels, classes, hot_rows=HOT_ROWS):
     """Every label row with its class; patients with conflicting classes get none."""
     labels = labels.where(F.col("patientId").isNotNull())

@@ -4,17 +4,23 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import any_missing, any_present, class_label, nan_to_null
-from .mapping import clean_labels, distinct_classes
+from .mapping import clean_labels, distinct_classes, require_unique
 
 
-def profile_counts(tables, key="patientId"):
+def profile_counts(tables, key="patientId", approximate=False):
     """Rows and distinct non-null keys per table; ``tables`` maps a name to a frame.
 
     Keys are counted per key first, so a single distinct key is one row and no
-    table is expanded for a distinct count.
+    table is expanded for a distinct count. ``approximate`` estimates the
+    distinct keys without any shuffle of keys.
     """
     parts = []
     for name, table in tables.items():
+        if approximate:
+            estimate = F.approx_count_distinct(key).alias("unique_ids")
+            rough = table.agg(F.count("*").alias("n_rows"), estimate)
+            parts.append(rough.select(F.lit(name).alias("table_name"), "n_rows", "unique_ids"))
+            continue
         per_key = table.groupBy(key).agg(F.count("*").alias("n"))
         parts.append(
             per_key.agg(
@@ -116,12 +122,16 @@ def class_info(classes):
     )
 
 
-def reconcile_sources(targets, classes):
+def reconcile_sources(targets, classes, strict=False):
     """Full outer join of one-row-per-patient targets and classes with provenance.
 
     ``disagrees`` marks patients of both sources whose labels differ; a missing
-    label differs from everything.
+    label differs from everything. ``strict`` first checks that patients are
+    unique on both sides.
     """
+    if strict:
+        require_unique(targets)
+        require_unique(classes)
     left = targets.withColumn("_left", F.lit(True))
     right = classes.withColumn("_right", F.lit(True))
     joined = left.join(right, "patientId", "full_outer")

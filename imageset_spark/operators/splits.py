@@ -232,6 +232,25 @@ def split_report(assigned):
     )
 
 
+def split_report_json(report, seed):
+    """The split report as one JSON text: the seed, and rows and class counts per split."""
+    # Three rows. Maps have no order, so they are sorted as lists of entries.
+    entries = F.sort_array(
+        F.collect_list(F.struct("split", "n_rows", F.map_entries("class_counts").alias("counts")))
+    )
+    per_split = F.transform(
+        entries,
+        lambda e: F.struct(
+            e["split"],
+            F.struct(
+                e["n_rows"].alias("rows"), F.map_from_entries(e["counts"]).alias("class_counts")
+            ),
+        ),
+    )
+    whole = F.struct(F.lit(seed).alias("seed"), F.map_from_entries(per_split).alias("splits"))
+    return report.agg(F.to_json(whole).alias("report"))
+
+
 def smoke_subset(manifest, n, order_col="sample_id"):
     """The first ``n`` rows of a manifest in id order."""
     return manifest.orderBy(order_col).limit(n)

@@ -13,6 +13,7 @@ from ..functions import nan_to_null
 # Room for the byte offset of a split and for the row within a partition.
 _ROW_DIGITS = 10
 _BLOCK_DIGITS = 15
+MAX_NUMBERED_FILES = 50_000
 
 
 def _scan(spark, path, required):
@@ -33,8 +34,14 @@ def _text(name):
     return F.when(~cell.isin(S.MISSING_TEXTS), cell)
 
 
+def _texts(rows, names, *kept):
+    """Named columns with missing texts as NULL, a step of its own so that each
+    cell is looked up once however often it is used afterwards."""
+    return rows.select(*[_text(name).alias(name) for name in names], *kept)
+
+
 def _number(name, strict):
-    cell = _text(name)
+    cell = F.col(name)
     parsed = cell.try_cast("double")
     if strict:
         problem = F.concat(F.lit(f"not a number in column {name}: "), cell)
@@ -45,36 +52,46 @@ def _number(name, strict):
 
 
 def _source_order(rows):
-    """A number that grows in the order of the source text.
+    """Add ``row_seq``, which grows in the order of the source text.
 
-    Made of the file's place in the sorted file list, the byte offset of the
-    split within the file, and the row's place in its partition.
+    A number made of the file's place in the sorted file list, the byte offset
+    of the split within the file, and the row's place in its partition. Numbers
+    keep later aggregates in hash form. With more than ``MAX_NUMBERED_FILES``
+    files the list is not broadcast, and the three parts stay a struct.
     """
-    spark = rows.sparkSession
     files = sorted(rows.inputFiles())
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    block = F.col("_metadata.file_block_start")
-    keyed = rows.select(
+    parts = rows.select(
         "*",
         F.input_file_name().alias("_file"),
-        (
-            block.cast("decimal(38,0)") * F.lit(str(10**_ROW_DIGITS)).cast("decimal(38,0)")
-            + place.cast("decimal(38,0)")
-        ).cast("decimal(38,0)").alias("row_seq"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        place.alias("_place"),
     )
-    if len(files) <= 1:
-        return keyed.drop("_file")
-    # One row per input file, a list that the scan itself holds on the driver.
-    numbers = spark.createDataFrame(list(enumerate(files)), "_no bigint, _file string")
-    lost = F.concat(F.lit("input file missing from the file list: "), "_file")
-    width = F.lit(str(10 ** (_ROW_DIGITS + _BLOCK_DIGITS))).cast("decimal(38,0)")
+    if len(files) > MAX_NUMBERED_FILES:
+        key = F.struct("_file", "_block", "_place")
+    else:
+        key = _number_of_row(F.lit(0))
+        if len(files) > 1:
+            numbers = rows.sparkSession.createDataFrame(
+                list(enumerate(files)), "_no bigint, _file string"
+            )
+            parts = parts.join(F.broadcast(numbers), "_file", "left")
+            lost = F.concat(F.lit("input file missing from the file list: "), "_file")
+            key = _number_of_row(F.coalesce("_no", F.raise_error(lost).cast("bigint")))
+    return parts.withColumn("row_seq", key).drop("_file", "_block", "_place", "_no")
+
+
+def _number_of_row(file_number):
+    wide = "decimal(38,0)"
+
+    def shifted(column, digits):
+        return column.cast(wide) * F.lit(str(10**digits)).cast(wide)
+
     return (
-        keyed.join(F.broadcast(numbers), "_file", "left")
-        .withColumn("_no", F.coalesce("_no", F.raise_error(lost).cast("bigint")))
-        .withColumn("row_seq", (F.col("_no").cast("decimal(13,0)") * width + F.col("row_seq"))
-                    .cast("decimal(38,0)"))
-        .drop("_file", "_no")
-    )
+        shifted(file_number, _BLOCK_DIGITS + _ROW_DIGITS)
+        + shifted(F.col("_block"), _ROW_DIGITS)
+        + F.col("_place").cast(wide)
+    ).cast(wide)
 
 
 def read_labels(spark, path, strict=False):
@@ -84,18 +101,18 @@ def read_labels(spark, path, strict=False):
     otherwise such a cell counts as missing.
     """
     names = S.LABELS_SCHEMA.names
-    rows = _source_order(_scan(spark, path, names))
+    rows = _texts(_source_order(_scan(spark, path, names)), names, "row_seq")
     numbers = [_number(name, strict).alias(name) for name in names[1:]]
-    return rows.select(_text("patientId").alias("patientId"), *numbers, "row_seq")
+    return rows.select("patientId", *numbers, "row_seq")
 
 
 def unparsed_cells(spark, path):
     """Per numeric column, how many cells are neither missing nor a number."""
     names = S.LABELS_SCHEMA.names[1:]
-    rows = _scan(spark, path, names)
+    rows = _texts(_scan(spark, path, names), names)
     return rows.agg(
         *[
-            F.count_if(_text(n).isNotNull() & _text(n).try_cast("double").isNull()).alias(n)
+            F.count_if(F.col(n).isNotNull() & F.col(n).try_cast("double").isNull()).alias(n)
             for n in names
         ]
     )
@@ -103,14 +120,12 @@ def unparsed_cells(spark, path):
 
 def read_classes(spark, path):
     names = S.CLASSES_SCHEMA.names
-    return _scan(spark, path, names).select(*[_text(n).alias(n) for n in names])
+    return _texts(_scan(spark, path, names), names)
 
 
 def read_manifest(spark, path, schema=S.IMAGE_SCHEMA, format="csv"):
     """A canonical or split manifest, columns found by name and typed by ``schema``."""
     if format != "csv":
         return spark.read.schema(schema).format(format).load(path)
-    rows = _scan(spark, path, schema.names)
-    return rows.select(
-        *[_text(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    rows = _texts(_scan(spark, path, schema.names), schema.names)
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -69,6 +69,15 @@ def test_reconciliation_marks_sides_and_disagreements(spark):
     ]
 
 
+def test_strict_reconciliation_needs_unique_patients(spark, clean):
+    targets = quality.image_targets(clean[0])
+    info = quality.class_info(clean[1])
+    assert quality.reconcile_sources(targets, info, strict=True).count() == 2
+    with pytest.raises(ValueError, match="a occurs 2 times"):
+        quality.reconcile_sources(targets, info.unionByName(info.limit(1)).orderBy("patientId")
+                                  .where("patientId = 'a'"), strict=True)
+
+
 def test_crosstab_has_margins(spark):
     table = spark.createDataFrame(
         [("n", 0), ("n", 0), ("l", 1), (None, 1)], "raw_class string, label int"
@@ -83,7 +92,8 @@ def test_counts_of_boxes_rows_and_values(spark, clean):
     labels, classes, _ = clean
     assert rows(quality.value_counts(classes, "class")) == [("Lung Opacity", 2), ("Normal", 1)]
     assert quality.repeated_rows(classes, ["patientId", "class"]).first()[0] == 2
-    assert rows(quality.profile_counts({"l": labels})) == [("l", 3, 2)]
+    for approximate in (False, True):
+        assert rows(quality.profile_counts({"l": labels}, approximate=approximate)) == [("l", 3, 2)]
     boxes = quality.positive_boxes(labels)
     assert rows(quality.boxes_per_image_hist(boxes)) == [(1, 1)]
     raw = quality.positive_boxes(labels, distinct=False)

@@ -35,6 +35,22 @@ def test_hot_rows_are_spread_over_slices(sides):
     assert rows(hot) == [("hot", 10)]
 
 
+def test_no_partition_gets_the_whole_hot_key(spark, sides):
+    many, one, counts = sides
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = salted_join(many, one, "key", "inner", counts=counts, hot_rows=50)
+        place = F.spark_partition_id().alias("p")
+        found = [r.n for r in joined.where("key = 'hot'").groupBy(place).agg(
+            F.count("*").alias("n")).collect()]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert sum(found) == 1000 and max(found) < 600
+
+
 def test_hot_keys_are_bounded(sides):
     _, _, counts = sides
     assert hot_keys(counts, "key", "n", hot_rows=1, max_keys=5).count() == 5

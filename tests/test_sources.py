@@ -48,7 +48,9 @@ def test_missing_columns_are_named(spark, tmp_path):
         sources.read_labels(spark, path)
 
 
-def test_source_order_over_several_files(spark, tmp_path):
+@pytest.mark.parametrize("numbered", [2, 50_000])
+def test_source_order_over_several_files(spark, tmp_path, monkeypatch, numbered):
+    monkeypatch.setattr(sources.annotations, "MAX_NUMBERED_FILES", numbered)
     head = "patientId,x,y,width,height,Target\n"
     sizes = {"b.csv": 400, "a.csv": 3, "c.csv": 50}
     for name, count in sizes.items():

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -110,6 +112,17 @@ def test_written_splits_and_report(spark, tmp_path, format):
     }
 
 
+def test_report_as_json(spark):
+    report = splits.split_report(splits.create_splits(table(spark)))
+    found = json.loads(splits.split_report_json(report, 42).first().report)
+    half = {"rows": 30, "class_counts": {"0": 15, "1": 15}}
+    assert found == {
+        "seed": 42,
+        "splits": {"train": {"rows": 140, "class_counts": {"0": 70, "1": 70}},
+                   "validation": half, "test": half},
+    }
+
+
 def test_subset_and_epoch_order(spark):
     images = table(spark, 10)
     assert [r[0] for r in splits.smoke_subset(images, 2).collect()] == ["class-0-000", "class-0-001"]

@@ -262,7 +262,9 @@ def unknown_box_refs(spark, sf_dir):
 
 @query
 def valid_boxes(spark, sf_dir):
-    return _checked(spark, sf_dir).boxes.select(*BOX)
+    judged = stage(_judged(spark, sf_dir), "judged-boxes")
+    geometry = stage(validation.geometry_verdict(judged, "row_seq"), "geometry")
+    return validation.valid_boxes(judged, geometry).select(*BOX)
 
 
 @query

@@ -1,9 +1,15 @@
 """Written intermediate tables: they cut lineage and survive lost executors."""
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 
+@cache
+def _local_folder():
+    return tempfile.mkdtemp(prefix="imageset-")
+
+
 def staging_dir(spark):
     """Shared folder named by ``spark.checkpoint.dir``.
 
@@ -15,9 +21,7 @@ def staging_dir(spark):
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="imageset-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def staged_path(spark, name):

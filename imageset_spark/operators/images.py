@@ -241,13 +241,17 @@ def preprocess_files(files, decoder, spec):
     return files.select("sample_id", "content").mapInPandas(run, PLANE_SCHEMA)
 
 
-def preprocess_paths(manifest, decoder, spec, opener=open, path_col="image_path"):
+def preprocess_paths(manifest, decoder, spec, opener=open, path_col="image_path", tasks=None):
     """Read, decode and preprocess the image of every manifest row inside the task.
 
     Only manifest rows are moved between executors; pixels are read where they
     are used and leave the task as one resized plane next to the manifest
     columns. ``opener(path, "rb")`` opens a file that every executor can reach.
+    Rows are spread over ``tasks`` by path, by default one per shuffle
+    partition: a manifest is far smaller than its images, so its own
+    partitioning says nothing about the work.
     """
+    tasks = tasks or int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     height, width, invert = spec.height, spec.width, spec.invert_monochrome1
 
     def plane(path):
@@ -271,7 +275,7 @@ def preprocess_paths(manifest, decoder, spec, opener=open, path_col="image_path"
             T.StructField("plane", T.ArrayType(T.FloatType())),
         ]
     )
-    return manifest.mapInPandas(run, schema)
+    return manifest.repartition(tasks, path_col).mapInPandas(run, schema)
 
 
 def to_tensor(planes, spec):

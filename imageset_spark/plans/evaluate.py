@@ -2,25 +2,40 @@
 
 from ..functions import stage
 from ..operators.evaluation import batch_score, eval_report
-from ..operators.images import training_examples
+from ..operators.images import preprocess_paths, to_tensor
 
 
-def evaluate_predictions(manifest, planes, spec, make_predictor, n_buckets=None, **facts):
-    """Score the validation and test rows of a manifest with a ``split`` column.
-
-    Predictions are written once: the model runs exactly once per image however
-    many metrics are taken.
-    """
-    held_out = manifest.where("split IN ('validation', 'test')")
-    examples = training_examples(held_out, planes, spec)
+def _score(examples, spec, make_predictor, columns):
     scored = batch_score(
-        examples, make_predictor,
+        to_tensor(examples, spec), make_predictor,
         input_shape=(spec.channels, spec.height, spec.width),
-    ).select("sample_id", "label", "logit", "score")
-    splits = held_out.select("sample_id", "split")
-    predictions = stage(scored.join(splits, "sample_id"), "predictions")
-    report = eval_report(
+    )
+    return stage(scored.select(*columns, "logit", "score"), "predictions")
+
+
+def score_planes(manifest, planes, spec, make_predictor):
+    """Predictions for manifest rows whose preprocessed planes are stored."""
+    joined = manifest.join(planes, "sample_id")
+    return _score(joined, spec, make_predictor, manifest.columns)
+
+
+def score_files(manifest, decoder, spec, make_predictor, **reading):
+    """Predictions for manifest rows straight from their image files.
+
+    No pixel leaves the task that reads it. ``reading`` goes to
+    :func:`~imageset_spark.operators.images.preprocess_paths`.
+    """
+    planes = preprocess_paths(manifest, decoder, spec, **reading)
+    return _score(planes, spec, make_predictor, manifest.columns)
+
+
+def evaluate_predictions(predictions, n_buckets=None, **facts):
+    """Threshold from the validation rows, report on the test rows.
+
+    ``predictions`` are written once by the scoring step, so the model runs once
+    per image however many metrics are taken.
+    """
+    return eval_report(
         predictions.where("split = 'validation'"), predictions.where("split = 'test'"),
         n_buckets, **facts,
     )
-    return predictions, report

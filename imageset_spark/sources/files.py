@@ -69,12 +69,14 @@ def checksum_lines(checksums):
     )
 
 
-def checksum_paths(paths, opener=open, chunk_bytes=8 * 1024 * 1024):
+def checksum_paths(paths, opener=open, chunk_bytes=8 * 1024 * 1024, tasks=None):
     """SHA-256 of files too large for one row, read in chunks inside the task.
 
     ``paths`` has ``name`` and ``path``; ``opener(path, "rb")`` opens a file
-    that every executor can reach.
+    that every executor can reach. Paths are spread over ``tasks``, by default
+    one per shuffle partition.
     """
+    tasks = tasks or int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def digest(path):
         state = hashlib.sha256()
@@ -89,7 +91,8 @@ def checksum_paths(paths, opener=open, chunk_bytes=8 * 1024 * 1024):
                 {"name": batch["name"], "sha256": [digest(path) for path in batch["path"]]}
             )
 
-    return paths.select("name", "path").mapInPandas(run, "name string, sha256 string")
+    spread = paths.select("name", "path").repartition(tasks, "path")
+    return spread.mapInPandas(run, "name string, sha256 string")
 
 
 def verify_checksums(checksums, manifest):

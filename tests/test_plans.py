@@ -1,12 +1,15 @@
 import json
+from types import SimpleNamespace
 
 import numpy as np
+import pytest
 from conftest import rows
 
 from imageset_spark import schemas as S
 from imageset_spark import sources
+from imageset_spark.functions import staging_dir
 from imageset_spark.operators import images, splits
-from imageset_spark.plans import evaluate_predictions, ingest_files
+from imageset_spark.plans import evaluate_predictions, ingest_files, score_files, score_planes
 
 
 def test_ingestion_from_files(spark, tmp_path):
@@ -44,20 +47,45 @@ def test_ingestion_from_files(spark, tmp_path):
     assert rows(boxes) == [("ok", 1.0, 2.0, 3.0, 4.0), ("ok", 10.0, 20.0, 30.0, 40.0)]
 
 
-def test_evaluation_from_pixels_to_report(spark):
-    spec = images.ImageSpec(height=2, width=2)
-    data = [(f"s{i:03d}", 2, 2, 255, "MONOCHROME2", [0, 255, 255 * (i % 2), 0]) for i in range(80)]
+def small_corpus(spark, folder):
+    data = [(f"s{i:03d}", [0, 255, 255 * (i % 2), 0]) for i in range(80)]
+    for name, codes in data:
+        (folder / f"{name}.bin").write_bytes(bytes(codes))
     table = spark.createDataFrame(
-        data,
+        [(name, 2, 2, 255, "MONOCHROME2", codes) for name, codes in data],
         "sample_id string, rows int, cols int, code_max bigint, photometric string, pixels array<int>",
     )
-    manifest = splits.create_splits(
-        spark.createDataFrame([(d[0], i % 2) for i, d in enumerate(data)], "sample_id string, label int")
-    )
-    planes = images.preprocess_images(table, spec)
-    _, report = evaluate_predictions(
-        manifest, planes, spec, lambda: lambda x: x.reshape(len(x), -1).sum(axis=1), model="sum"
+    manifest = spark.createDataFrame(
+        [(name, str(folder / f"{name}.bin"), i % 2) for i, (name, _) in enumerate(data)],
+        "sample_id string, image_path string, label int",
     )
-    found = report.first()
+    return table, splits.create_splits(manifest).where("split <> 'train'")
+
+
+def test_evaluation_from_pixels_to_report(spark, tmp_path):
+    spec = images.ImageSpec(height=2, width=2)
+    table, manifest = small_corpus(spark, tmp_path)
+
+    def model():
+        return lambda batch: batch.reshape(len(batch), -1).sum(axis=1)
+
+    def decode(content):
+        return np.frombuffer(content, "uint8").reshape(2, 2), "MONOCHROME2"
+
+    stored = score_planes(manifest, images.preprocess_images(table, spec), spec, model)
+    direct = score_files(manifest, decode, spec, model, tasks=3)
+    assert rows(stored, *manifest.columns, "score") == rows(direct, *manifest.columns, "score")
+    found = evaluate_predictions(direct, model="sum").first()
     assert (found.model, found.test_auc, found.f1) == ("sum", 1.0, 1.0)
     assert tuple(found.confusion_matrix) == (6, 6, 0, 0)
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster():
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: settings.get(key, default)))
+
+    with pytest.raises(ValueError, match="shared"):
+        staging_dir(session(**{"spark.master": "yarn"}))
+    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///stage/"}
+    assert staging_dir(session(**shared)) == "hdfs:///stage"
+    assert staging_dir(session(**{"spark.master": "local[2]"})).startswith("/")

@@ -529,6 +529,8 @@ FROM mapped_images GROUP BY raw_class""",
   coalesce(value < min(value) OVER w, true) AS saved
 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+    "append_history": """SELECT event_type AS run, event_id AS epoch, value AS val_loss,
+  1.0::DOUBLE / (1.0::DOUBLE + abs(value)) AS val_acc FROM events""",
     "run_summary": """SELECT event_type AS run, min(value) AS best_val_loss,
   (SELECT min(e.event_id) FROM events e WHERE e.event_type = o.event_type
     AND e.value = min(o.value)) AS best_epoch,

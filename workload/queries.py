@@ -472,6 +472,16 @@ def run_summary(spark, sf_dir):
     return history.run_summary(tables.history(spark, sf_dir))
 
 
+@query
+def append_history(spark, sf_dir):
+    """The history as it grows: odd and even epochs arrive in two appends."""
+    path = staged_path(spark, "history")
+    rows = tables.history(spark, sf_dir)
+    for half in (1, 0):
+        sources.append_history(rows.where(F.col("epoch") % 2 == half), path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query
 def batches(spark, sf_dir):
     return evaluation.batches(tables.split_input(spark, sf_dir), 32)

@@ -6,7 +6,7 @@ from operator import and_, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import CLASS_LABELS
+from ..schemas import CLASS_LABELS, NEGATIVE_DECISION, POSITIVE_DECISION
 
 
 def _col(value):
@@ -102,7 +102,7 @@ def sigmoid(logit):
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-_col(logit)))
 
 
-def decision(score, threshold, positive="pneumonia", negative="normal"):
+def decision(score, threshold, positive=POSITIVE_DECISION, negative=NEGATIVE_DECISION):
     """Inclusive decision rule: a score at the threshold is positive."""
     limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     return F.when(_col(score) >= limit, F.lit(positive)).otherwise(F.lit(negative))

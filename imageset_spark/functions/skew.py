@@ -30,7 +30,8 @@ def hot_keys(counts, key, n, hot_rows=HOT_ROWS, max_keys=MAX_HOT_KEYS):
     )
 
 
-def salted_join(many, one, key, how, n="n", counts=None, hot_rows=HOT_ROWS, salt_cols=None):
+def salted_join(many, one, key, how, n="n", counts=None, hot_rows=HOT_ROWS, salt_cols=None,
+                max_keys=MAX_HOT_KEYS):
     """Join ``many`` (any number of rows per key) to ``one`` (unique per key).
 
     Column ``n`` of ``counts`` holds the number of rows of ``many`` per key; it
@@ -40,7 +41,7 @@ def salted_join(many, one, key, how, n="n", counts=None, hot_rows=HOT_ROWS, salt
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support how={how!r}")
-    hot = F.broadcast(hot_keys(one if counts is None else counts, key, n, hot_rows))
+    hot = F.broadcast(hot_keys(one if counts is None else counts, key, n, hot_rows, max_keys))
     salt_cols = salt_cols or [name for name in many.columns if name != key]
     salted = (
         many.join(hot, key, "left")
@@ -53,6 +54,7 @@ def salted_join(many, one, key, how, n="n", counts=None, hot_rows=HOT_ROWS, salt
         .drop("_slices")
     )
     if counts is None:
+        # Also repeats hot keys beyond the broadcast ones; slices without rows match nothing.
         slices = F.when(F.col(n) > hot_rows, _slices(n, hot_rows)).otherwise(F.lit(1))
         repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1)))
         repeated = repeated.drop(*([n] if n in many.columns else []))

@@ -109,7 +109,8 @@ def ingest_files(spark, labels_path, classes_path, image_directory, images_outpu
     Files are decoded where they are scanned: file contents never go through a
     shuffle, only the small audit rows do.
     """
-    labels = read_labels(spark, labels_path)
+    # Parsed once; the later passes read columns, and row numbers are fixed.
+    labels = stage(read_labels(spark, labels_path), "labels")
     classes = read_classes(spark, classes_path)
 
     files = read_files(spark, image_directory).select(

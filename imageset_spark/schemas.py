@@ -12,6 +12,10 @@ CLASS_LABELS = {
 SOURCE_DATASET = "rsna_pneumonia_2018"
 IMAGE_SUFFIX = ".dcm"
 
+# Decisions of the released model.
+POSITIVE_DECISION = "pneumonia"
+NEGATIVE_DECISION = "normal"
+
 # Rejection reasons of the mapping stage, in order of precedence.
 CONFLICTING_CLASSES = "conflicting_classes"
 MISSING_CLASS = "missing_class"

@@ -19,14 +19,15 @@ def sides(spark):
     return many, one, many.groupBy("key").agg(F.count("*").alias("n"))
 
 
+@pytest.mark.parametrize("hot_rows, max_keys", [(100, 1024), (5, 3)])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(sides, how):
+def test_salted_join_equals_plain_join(sides, how, hot_rows, max_keys):
     many, one, counts = sides
     expected = rows(many.join(one, "key", how))
-    assert rows(salted_join(many, one, "key", how, counts=counts, hot_rows=100)) == expected
+    limits = {"hot_rows": hot_rows, "max_keys": max_keys}
+    assert rows(salted_join(many, one, "key", how, counts=counts, **limits)) == expected
     sized = one.join(counts, "key", "left").fillna(0, "n")
-    found = salted_join(many, sized, "key", how, hot_rows=100).drop("n")
-    assert rows(found) == expected
+    assert rows(salted_join(many, sized, "key", how, **limits).drop("n")) == expected
 
 
 def test_hot_rows_are_spread_over_slices(sides):

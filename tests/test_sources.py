@@ -144,6 +144,13 @@ def test_report_json_sorts_fields(spark):
     assert sources.report_json(report).first()[0] == '{"a":1,"b":2,"c":{"x":1}}'
 
 
+def test_report_is_written_as_json(spark, tmp_path):
+    path = tmp_path / "report"
+    sources.write_report(spark.createDataFrame([(1, 0.5)], "a int, b double"), str(path))
+    (part,) = path.glob("part-*.json")
+    assert json.loads(part.read_text()) == {"a": 1, "b": 0.5}
+
+
 def test_history_is_appended(spark, tmp_path):
     path = str(tmp_path / "history")
     for epoch in (1, 2):

@@ -1 +1,7 @@
 """Registered queries over the given tables, with their check SQL."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

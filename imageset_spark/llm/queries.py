@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, url_rules
+from . import licenses, mixing, quality, secrets, sharding, url_rules
 
 QUERIES = {}
 ORACLES = {}
@@ -70,3 +70,25 @@ def op8_mix_sources(spark, sf_dir):
     return mixing.take_words(docs).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
     )
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    """Measures of every document, the base rule and the verdict of the compression bands."""
+    judged = quality.judge_documents(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "ratio", "n_chunks", "n_bad_chunks",
+    )
+
+
+@query
+def op1_secret_scan(spark, sf_dir):
+    """Secrets of every document, by kind, with spans and ownership classes."""
+    return secrets.secret_report(read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang"))
+
+
+@query
+def op9_license_scan(spark, sf_dir):
+    """Licenses whose notices every document holds."""
+    return licenses.license_report(read(spark, sf_dir, "documents", "doc_id", "text"))

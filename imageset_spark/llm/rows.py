@@ -33,12 +33,9 @@ def group_key(col):
     return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit("-"))
 
 
-def null_safe(left, right, names):
-    """Join condition in which null equals null."""
-    out = F.lit(True)
-    for name in names:
-        out = out & left[name].eqNullSafe(right[name])
-    return out
+def let(value, then):
+    """``then(value)`` with the value computed once, also where a lambda uses it for each element."""
+    return F.element_at(F.transform(F.array(value), then), 1)
 
 
 def left_join(left, right, names):

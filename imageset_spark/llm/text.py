@@ -119,7 +119,7 @@ class Chunk:
         if n <= 0:
             return np.empty(0, _U), np.empty(0, np.int64)
         at = np.flatnonzero(self.row[: n] == self.row[k - 1 :])
-        out = np.full(len(at), _U(k) * PLACES[15], _U)
+        out = np.full(len(at), _U(k * int(PLACES[15]) & ((1 << 64) - 1)), _U)
         for j in range(k):
             out += hashes[at + j] * PLACES[j]
         return mix(out), at

@@ -62,7 +62,9 @@ def shard_documents(docs, n_shards=N_SHARDS, seed=SEED, id_col="doc_id", source_
     """All rows of ``docs`` with ``size``, ``shard`` and ``slot`` (place within the shard)."""
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
-    docs = docs.drop("size", "shard", "slot")
+    # The size is taken first: a caller who drops the text then shuffles none of it.
+    size = F.octet_length(text_of(text_col)).cast("bigint") + OVERHEAD_BYTES
+    docs = docs.drop("shard", "slot").withColumn("size", size)
     total = docs.count()
     slices = max(LEAST_SLICES, -(-total // ROWS_PER_SLICE))
     ranked, sources, (src, h, t, rank, n) = fractional_ranks(
@@ -83,7 +85,6 @@ def shard_documents(docs, n_shards=N_SHARDS, seed=SEED, id_col="doc_id", source_
     return (
         placed.join(offsets, cell)
         .withColumn(place, F.col("_o") + F.row_number().over(order) - 1)
-        .withColumn("size", F.octet_length(text_of(text_col)).cast("bigint") + OVERHEAD_BYTES)
         .withColumn("shard", F.expr(f"({place} * {n_shards}L) div {rows}L").cast("int"))
         .withColumn("slot", F.col(place) - F.expr(f"(shard * {rows}L + {n_shards - 1}L) div {n_shards}L"))
         .drop("_o", src, h, t, rank, n, cell, place)

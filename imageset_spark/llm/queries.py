@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, quality, secrets, sharding, url_rules
+from . import classifier, decontaminate, licenses, mixing, quality, secrets, sharding, url_rules
 
 QUERIES = {}
 ORACLES = {}
@@ -92,3 +92,18 @@ def op1_secret_scan(spark, sf_dir):
 def op9_license_scan(spark, sf_dir):
     """Licenses whose notices every document holds."""
     return licenses.license_report(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op3_decontamination(spark, sf_dir):
+    """Benchmark items that every document holds, as they are or with other values."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.leak_report(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query
+def op10_quality_classifier(spark, sf_dir):
+    """Quality score of every document, learnt from the labels that are not held out."""
+    return classifier.score_documents(
+        read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "quality")
+    )

@@ -77,6 +77,18 @@ def chunks(texts, limit=None):
         first = last
 
 
+def windows(hashes, row, k):
+    """Hashes of all windows of ``k`` words within a text, and the first word of each."""
+    n = len(hashes) - k + 1
+    if n <= 0:
+        return np.empty(0, _U), np.empty(0, np.int64)
+    at = np.flatnonzero(row[:n] == row[k - 1 :])
+    out = np.full(len(at), _U(k * int(PLACES[15]) & ((1 << 64) - 1)), _U)
+    for j in range(k):
+        out += hashes[at + j] * PLACES[j]
+    return mix(out), at
+
+
 class Chunk:
     """Words of the texts in one chunk.
 
@@ -114,15 +126,7 @@ class Chunk:
         return self.spans(self.start, self.end, fold)
 
     def windows(self, hashes, k):
-        """Hashes of all windows of ``k`` words, and the first word of each."""
-        n = len(hashes) - k + 1
-        if n <= 0:
-            return np.empty(0, _U), np.empty(0, np.int64)
-        at = np.flatnonzero(self.row[: n] == self.row[k - 1 :])
-        out = np.full(len(at), _U(k * int(PLACES[15]) & ((1 << 64) - 1)), _U)
-        for j in range(k):
-            out += hashes[at + j] * PLACES[j]
-        return mix(out), at
+        return windows(hashes, self.row, k)
 
     def shingles(self, hashes, k=SHINGLE):
         """Hashes and texts of all shingles; a text of fewer words has one of all its words."""

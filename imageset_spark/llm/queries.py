@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, licenses, mixing, quality, secrets, sharding, url_rules
+from . import classifier, decontaminate, licenses, mixing, quality, secrets, sharding, substrings, url_rules
 
 QUERIES = {}
 ORACLES = {}
@@ -107,3 +107,9 @@ def op10_quality_classifier(spark, sf_dir):
     return classifier.score_documents(
         read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "quality")
     )
+
+
+@query
+def op6_substring_dedup(spark, sf_dir):
+    """Passages of every document that repeat in other documents."""
+    return substrings.passage_report(read(spark, sf_dir, "documents", "doc_id", "text"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, licenses, mixing, quality, secrets, sharding, substrings, url_rules
+from . import classifier, decontaminate, jaccard, licenses, mixing, quality, secrets, sharding, substrings, url_rules
 
 QUERIES = {}
 ORACLES = {}
@@ -113,3 +113,9 @@ def op10_quality_classifier(spark, sf_dir):
 def op6_substring_dedup(spark, sf_dir):
     """Passages of every document that repeat in other documents."""
     return substrings.passage_report(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op4_jaccard_join(spark, sf_dir):
+    """Shingle count and near-duplicate component of every document."""
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents", "doc_id", "text"))

@@ -37,7 +37,8 @@ from .rows import fresh, group_key, left_join, text_key, text_of
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
 MOST = 2
-BLOCK = 256
+#: Words of a block; a source misses its target by two blocks at most.
+BLOCK = 64
 SEED = 77
 MAX_SOURCES = 100_000
 LEAST_SLICES = 1024
@@ -83,14 +84,13 @@ def apportion(votes, seats, limits):
         # seat k (from 0) is won while votes/(2k+1) > divisor
         return [min(limits[i], max(0, -(-(votes[i] / divisor - 1) // 2))) for i in free]
 
-    low, high = Fraction(0), max(votes[i] for i in free) + 1
+    low, high = Fraction(0), Fraction(max(votes[i] for i in free) + 1)
     for _ in range(64):
         middle = (low + high) / 2
         if sum(at(middle)) > seats:
             low = middle
         else:
             high = middle
-        low, high = low.limit_denominator(1 << 40), high.limit_denominator(1 << 40)
     for i, k in zip(free, at(high)):
         won[i] = int(k)
     left = seats - sum(won)

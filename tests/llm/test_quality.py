@@ -1,0 +1,68 @@
+import random
+from collections import Counter
+
+import zstandard
+from samples import clashing, documents, odd_documents, prose, words
+
+from imageset_spark.llm import quality
+
+
+def model(text):
+    text = text or ""
+    w = words(text)
+    triples = Counter(zip(w, w[1:], w[2:]))
+    covered = {j + k for j in range(len(w) - 2) if triples[tuple(w[j : j + 3])] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if words(x)]
+    symbols = sum(text.count(c) for c in "#*$%&|<>")
+    failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+    raw = text.encode()
+    pack = lambda b: len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(b)) / len(b)
+    low, high = next((a, b) for limit, a, b in quality.BANDS if len(raw) < limit)
+    pieces = [raw[i * 4096 : (i + 1) * 4096] for i in range(len(raw) // 4096)]
+    bad = sum(not quality.CHUNK_BAND[0] <= pack(p) <= quality.CHUNK_BAND[1] for p in pieces)
+    kept = not failed and low <= pack(raw) <= high and bad <= 0.5 * len(pieces)
+    return (len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered), failed, kept)
+
+
+def check(docs, **options):
+    out = quality.judge_documents(docs, **options).collect()
+    for r in out:
+        got = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept)
+        assert got == model(r.text), r.text and r.text[:80]
+    return out
+
+
+def test_measures_and_verdicts_match_the_model(spark):
+    rng = random.Random(3)
+    noise = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(9000))
+    noise = " ".join(noise[i : i + 60] for i in range(0, 9000, 60))
+    block = prose(70, 5)
+    texts = [prose(n, n) for n in (49, 50, 51, 400, 5000)] + [
+        noise, "\n".join([block] * 30), "a b c " * 40, prose(60, 8) + " #*|" * 30, "Ω𝒳ß " * 60, prose(3000, 6) + noise * 2,
+    ]
+    out = {r.doc_id: r for r in check(documents(spark, list(enumerate(texts))))}
+    assert out[3].kept and out[4].kept
+    assert not out[5].kept and not out[5].base_failed  # does not compress
+    assert out[6].base_failed and out[7].base_failed
+
+
+def test_bands_reject_what_the_base_rule_passes(spark):
+    # Long-range repetition of a block with other words between: few repeated windows by share, small ratio.
+    text = " ".join(f"item{i} has value{i}" for i in range(4000))
+    row, = check(documents(spark, [(1, text)]))
+    assert not row.base_failed and not row.kept
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    out = check(docs)
+    assert len(out) == docs.count()
+    kept = quality.keep_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.text for r in kept.collect()) == sorted(r.text for r in docs.collect() if model(r.text)[-1])
+    assert check(clashing(documents(spark, []))) == []
+
+
+def test_text_column_named_like_a_measure(spark):
+    docs = documents(spark, [(1, prose(80, 1))]).withColumnRenamed("text", "ratio")
+    assert quality.judge_documents(docs.select("doc_id", "ratio").withColumnRenamed("ratio", "body"), "body").first().n_words == 80

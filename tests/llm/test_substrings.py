@@ -1,0 +1,86 @@
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from samples import clashing, documents, odd_documents, prose
+
+from imageset_spark.llm import substrings as S
+
+
+def cut(text):
+    out = list(S.cut(pa.array([text])))
+    return [(a, b, d, w) for _, digest, start, stop, words, _ in out
+            for a, b, d, w in zip(start.tolist(), stop.tolist(), digest.tolist(), words.tolist())]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abcde é𝒳\n", max_size=1500))
+def test_chunks_tile_the_text(text):
+    pieces = cut(text)
+    assert "".join(text[a:b] for a, b, _, _ in pieces) == text
+    assert all(a < b for a, b, _, _ in pieces)
+    assert sum(w for *_, w in pieces) == len([x for x in text.replace("\n", " ").split(" ") if x])
+
+
+def test_gear_matches_its_definition():
+    data = np.frombuffer(prose(40, 3).encode(), np.uint8)
+    rolled = S.gear(data)
+    for i in range(40, 80):
+        want = sum(int(S.GEAR[data[i - k]]) << k for k in range(16)) & 0xFFFF
+        assert int(rolled[i]) == want
+
+
+def test_chunks_resist_insertions():
+    text = prose(2000, 5)
+    before, after = {d for *_, d, _ in cut(text)}, {d for *_, d, _ in cut("new words " + text[:3000] + "xyz" + text[3000:])}
+    assert len(before & after) > 0.98 * len(before)
+    assert max(b - a for a, b, _, _ in cut("z" * 100_000)) <= S.MOST
+
+
+def passages(spark, rows):
+    docs = documents(spark, rows)
+    return {r.doc_id: r for r in S.passage_report(docs).collect()}, docs
+
+
+def test_repeated_passages_are_found_and_clean_texts_left(spark):
+    shared = [prose(n, 900 + n) for n in (60, 80, 200)]
+    rows = [(i, prose(100, i) + " " + shared[i % 3] + " " + prose(70, 50 + i)) for i in range(9)]
+    rows += [(20 + i, prose(300, 70 + i) + " " + prose(12, 999) + " " + prose(40, 170 + i)) for i in range(5)]
+    out, docs = passages(spark, rows)
+    assert all(out[i].n_passages == 1 for i in range(9)), [out[i] for i in range(9)]
+    assert not any(out[20 + i].n_passages for i in range(5))
+    for i in range(9):
+        a, b = map(int, out[i].passages.split(":"))
+        text = rows[i][1]
+        begin = text.index(shared[i % 3])
+        assert begin <= a + 2 and b <= begin + len(shared[i % 3]) + 2 and b - a > 0.5 * len(shared[i % 3]) - 20
+        # The first holder keeps its passage.
+        assert (out[i].later_passages == "") == (i < 3)
+    kept = {r.doc_id: r.text for r in S.drop_repeats(docs).collect()}
+    for i, text in rows:
+        spans = [tuple(map(int, s.split(":"))) for s in out[i].later_passages.split(",") if s]
+        assert kept[i] == "".join(text[a:b] for a, b in zip([0, *[s[1] for s in spans]], [*[s[0] for s in spans], len(text)]))
+
+
+def test_copies_repeats_inside_a_document_and_hot_lines(spark):
+    own = prose(90, 4)
+    rows = [(1, own + "\n" + own), (2, prose(120, 6)), (3, prose(120, 6)), (4, "et " * 300), (5, "x " + "et " * 200)]
+    rows += [(100 + i, prose(80, 300 + i) + "\nThis very line stands in many texts of the table.\n") for i in range(200)]
+    out, _ = passages(spark, rows)
+    assert out[1].n_passages == 0
+    assert out[2].n_passages == out[3].n_passages == 1 and out[2].later_passages == "" != out[3].later_passages
+    assert out[4].n_passages and out[5].n_passages
+    assert not any(out[100 + i].n_passages for i in range(200))
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    out = S.passage_report(docs).collect()
+    assert len(out) == docs.count()
+    by_id = {(r.doc_id, r.n_passages) for r in out}
+    # 6 and 7 hold the same text; the repeated row of 6 is the same document.
+    assert {(6, 1), (7, 1), (9, 0), (1, 0), (2, 0)} <= by_id
+    kept = S.drop_repeats(docs)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    empty = clashing(documents(spark, []))
+    assert S.passage_report(empty).collect() == [] and S.drop_repeats(empty).collect() == []

@@ -1,41 +1,30 @@
 """Running totals over a whole table without a one-partition window.
 
-Rows are cut into value ranges of about equal size. Totals per range are few,
-so carrying them forward is cheap; inside a range an ordinary window adds up
-the rest. Ranges come from values, never from partition numbers, so a recomputed
-task sees the same ranges.
+Rows are range partitioned into value ranges of ``ROWS_PER_RANGE`` rows or so and
+written once, which fixes the range of every row however often it is read. Totals
+per range are few, so carrying them forward is cheap; inside a range an ordinary
+window adds up the rest. Cut points never reach the driver.
 """
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .staging import stage
 
 BUCKET = "_range"
-MAX_RANGES = 10_000
+ROWS_PER_RANGE = 200_000
 
 
 def range_buckets(df, order_col, n_buckets=None, out=BUCKET):
     """Add the number of the value range that ``order_col`` falls in.
 
-    The default makes four ranges per shuffle partition, so raising
-    ``spark.sql.shuffle.partitions`` with the data keeps a range small. Only the
-    cut points, at most ``MAX_RANGES``, reach the driver.
+    The number of ranges follows the number of rows unless ``n_buckets`` gives
+    it. Equal values share a range.
     """
     if n_buckets is None:
-        n_buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_buckets = min(max(2, n_buckets), MAX_RANGES)
-    value = F.col(order_col).cast("double")
-    shares = [i / n_buckets for i in range(1, n_buckets)]
-    found = df.agg(F.percentile_approx(value, shares, 4 * n_buckets)).first()[0] or []
-    cuts = sorted(set(found))
-    splits = [float("-inf"), *(c for c in cuts if abs(c) != float("inf")), float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    keyed = df.withColumn("_v", value)
-    bucketizer = Bucketizer(splits=splits, inputCol="_v", outputCol=out)
-    return bucketizer.transform(keyed).drop("_v").withColumn(out, F.col(out).cast("int"))
+        n_buckets = -(-df.count() // ROWS_PER_RANGE)
+    placed = df.repartitionByRange(max(1, n_buckets), order_col)
+    return stage(placed.withColumn(out, F.spark_partition_id()), "ranges")
 
 
 def running_total(bucketed, order_col, measures, group=(), how="sum", descending=False,
@@ -78,16 +67,18 @@ def row_positions(df, order_col, out="position"):
     Works for text keys too, where no numeric cut points exist: rows are range
     partitioned and written once, which fixes their partition number for good.
     """
-    placed = df.repartitionByRange(order_col).withColumn(BUCKET, F.spark_partition_id())
-    written = stage(placed, "positions")
+    # The place within a sorted partition is known while writing, so that no
+    # second shuffle is needed.
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = df.repartitionByRange(order_col).sortWithinPartitions(order_col)
+    written = stage(placed.withColumns({BUCKET: F.spark_partition_id(), "_within": within}), "positions")
     sizes = written.groupBy(BUCKET).agg(F.count("*").alias("_n"))
     before = W.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
         BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    inside = W.partitionBy(BUCKET).orderBy(order_col)
     return (
         written.join(F.broadcast(offsets), BUCKET)
-        .withColumn(out, F.col("_offset") + F.row_number().over(inside) - 1)
-        .drop(BUCKET, "_offset")
+        .withColumn(out, F.col("_offset") + F.col("_within"))
+        .drop(BUCKET, "_offset", "_within")
     )

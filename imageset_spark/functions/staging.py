@@ -1,5 +1,6 @@
 """Written intermediate tables: they cut lineage and survive lost executors."""
 
+import re
 import tempfile
 from functools import cache
 from uuid import uuid4
@@ -19,7 +20,7 @@ def staging_dir(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
     return _local_folder()
 

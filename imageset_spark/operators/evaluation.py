@@ -38,6 +38,32 @@ def batch_score(examples, make_predictor, input_col="tensor", batch_size=32,
     return add_score(examples.withColumn("logit", predict(F.col(input_col))))
 
 
+def score_planes(table, plane_of, spec, make_predictor, batch_size=32, drop=()):
+    """Add the ``logit`` of every row in one pass of Python from image to model.
+
+    ``plane_of(row)`` makes the resized plane of a row; channels and
+    normalisation follow in numpy, so no tensor ever leaves the worker.
+    ``make_predictor()`` runs once per task. Columns in ``drop`` go in, but not out.
+    """
+    fields = [f for f in table.schema.fields if f.name not in drop]
+    mean, std = (np.array(v, "float64").reshape(-1, 1, 1) for v in (spec.mean, spec.std))
+
+    def run(frames):
+        predictor = make_predictor()
+        for frame in frames:
+            logits = []
+            for begin in range(0, len(frame), batch_size):
+                part = frame.iloc[begin : begin + batch_size]
+                planes = [np.asarray(plane_of(row), "float64") for row in part.itertuples(index=False)]
+                grey = np.stack(planes).reshape(-1, 1, spec.height, spec.width)
+                tensors = ((grey - mean) / std).astype("float32")
+                logits.append(np.asarray(predictor(tensors), dtype="float64").reshape(-1))
+            out = frame.drop(columns=list(drop))
+            yield out.assign(logit=np.concatenate(logits) if logits else np.zeros(0))
+
+    return add_score(table.mapInPandas(run, T.StructType([*fields, T.StructField("logit", T.DoubleType())])))
+
+
 def add_score(predictions):
     return predictions.withColumn("score", sigmoid("logit"))
 
@@ -93,6 +119,21 @@ def loss_accuracy(predictions, batch_size=32, order_col="sample_id"):
     )
 
 
+def checked(predictions):
+    """Predictions whose score is a number and whose label is 0 or 1; any other row fails the job."""
+    score, label = F.col("score"), F.col("label")
+    good = score.isNotNull() & ~F.isnan(score) & label.isNotNull() & label.isin(0, 1)
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in ("score", "label")]
+    name = F.col("sample_id").cast("string") if "sample_id" in predictions.columns else F.lit("")
+    problem = F.concat(
+        F.lit("score must be a number and label 0 or 1: "), F.coalesce(name, F.lit("")), F.lit(" score "),
+        shown[0], F.lit(", label "), shown[1],
+    )
+    return predictions.withColumn(
+        "score", F.when(F.coalesce(good, F.lit(False)), score).otherwise(F.raise_error(problem).cast("double"))
+    )
+
+
 def score_counts(predictions):
     """Positives and negatives per distinct score, written once.
 
@@ -100,7 +141,7 @@ def score_counts(predictions):
     a score shared by very many rows is a single row of it.
     """
     positive = (F.col("label") == 1).cast("bigint")
-    rows = predictions.select("score", positive.alias("pos"), (1 - positive).alias("neg"))
+    rows = checked(predictions).select("score", positive.alias("pos"), (1 - positive).alias("neg"))
     counts = rows.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     return stage(counts, "score-counts")
 
@@ -158,7 +199,7 @@ def confusion(predictions, threshold):
     """One row: tp, tn, fp, fn of the inclusive rule ``score >= threshold``."""
     limit = F.lit(float(threshold)) if isinstance(threshold, (int, float)) else threshold
     flagged, sick = F.col("score") >= limit, F.col("label") == 1
-    return predictions.agg(
+    return checked(predictions).agg(
         F.count_if(flagged & sick).alias("tp"),
         F.count_if(~flagged & ~sick).alias("tn"),
         F.count_if(flagged & ~sick).alias("fp"),

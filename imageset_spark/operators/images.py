@@ -40,6 +40,29 @@ CONFIG_KEYS = {
 PLANE_SCHEMA = "sample_id string, height int, width int, plane array<float>"
 
 
+def _typed(key, attribute, value):
+    """A configuration value of the type that the attribute has, or an error naming the key."""
+    label, default = ".".join(filter(None, key)), ImageSpec.__dataclass_fields__[attribute].default
+    number = isinstance(value, (int, float)) and not isinstance(value, bool)
+    if attribute == "version":
+        return str(value)
+    if isinstance(default, bool):
+        holds, kind = isinstance(value, bool), "true or false"
+    elif isinstance(default, int):
+        holds, kind = isinstance(value, int) and not isinstance(value, bool), "a whole number"
+    elif isinstance(default, float):
+        holds, kind = number, "a number"
+    elif isinstance(default, str):
+        holds, kind = isinstance(value, str), "text"
+    else:
+        holds = isinstance(value, (list, tuple)) and all(
+            isinstance(v, (int, float)) and not isinstance(v, bool) for v in value)
+        kind = "a list of numbers"
+    if not holds:
+        raise ValueError(f"{label} must be {kind}, got {value!r}")
+    return float(value) if isinstance(default, float) else value
+
+
 @dataclass(frozen=True)
 class ImageSpec:
     """Parameters of the preprocessing contract; unsupported values raise."""
@@ -88,13 +111,18 @@ class ImageSpec:
     def from_config(cls, config):
         """Build from a nested mapping, such as a parsed YAML file."""
         flat = {}
+        if not isinstance(config, dict):
+            raise ValueError("preprocessing configuration must be a mapping")
+        sections = {section for section, name in CONFIG_KEYS if name is not None}
         for section, value in config.items():
+            if section in sections and not isinstance(value, dict):
+                raise ValueError(f"{section} must be a mapping")
             entries = value.items() if isinstance(value, dict) else [(None, value)]
             flat.update({(section, name): entry for name, entry in entries})
         absent = [".".join(filter(None, key)) for key in CONFIG_KEYS if key not in flat]
         if absent:
             raise ValueError(f"preprocessing configuration lacks {', '.join(sorted(absent))}")
-        values = {name: flat[key] for key, name in CONFIG_KEYS.items()}
+        values = {name: _typed(key, name, flat[key]) for key, name in CONFIG_KEYS.items()}
         return cls(**{n: tuple(v) if isinstance(v, list) else v for n, v in values.items()})
 
     def to_config(self):
@@ -178,6 +206,13 @@ def _scaled(codes, code_max, inverted):
     return (codes - low) / (high - low) if high > low else np.zeros_like(codes)
 
 
+def decoded_plane(codes, photometric, spec):
+    """The resized plane of a decoded image; only inversion needs the type's largest code."""
+    inverted = spec.invert_monochrome1 and photometric == INVERTED
+    code_max = np.iinfo(codes.dtype).max if inverted else None
+    return resize_plane(_scaled(codes, code_max, inverted), spec.height, spec.width).astype("float32").ravel()
+
+
 def resize_bilinear(images, height, width, plane="plane"):
     """Resize the planes of a table (sample_id, rows, cols, plane)."""
 
@@ -197,17 +232,20 @@ def resize_bilinear(images, height, width, plane="plane"):
     )
 
 
+def row_plane(row, spec):
+    """The resized plane of one row of a pixel table."""
+    codes = np.asarray(row.pixels).reshape(row.rows, row.cols)
+    scaled = _scaled(codes, row.code_max, spec.invert_monochrome1 and row.photometric == INVERTED)
+    return resize_plane(scaled, spec.height, spec.width).astype("float32").ravel()
+
+
 def preprocess_images(images, spec):
     """Invert, scale and resize whole images in one pass over each batch."""
-    height, width, invert = spec.height, spec.width, spec.invert_monochrome1
+    height, width = spec.height, spec.width
 
     def run(table):
         for batch in table:
-            planes = []
-            for row in batch.itertuples(index=False):
-                codes = np.asarray(row.pixels).reshape(row.rows, row.cols)
-                scaled = _scaled(codes, row.code_max, invert and row.photometric == INVERTED)
-                planes.append(resize_plane(scaled, height, width).astype("float32").ravel())
+            planes = [row_plane(row, spec) for row in batch.itertuples(index=False)]
             yield pd.DataFrame(
                 {"sample_id": batch["sample_id"], "height": height, "width": width,
                  "plane": planes}
@@ -223,16 +261,13 @@ def preprocess_files(files, decoder, spec):
     ``files`` has ``sample_id`` and ``content``; ``decoder`` turns bytes into
     ``(integer array, photometric)``.
     """
-    height, width, invert = spec.height, spec.width, spec.invert_monochrome1
+    height, width = spec.height, spec.width
 
     def run(table):
         for batch in table:
             planes = []
             for content in batch["content"]:
-                codes, photometric = decoder(bytes(content))
-                code_max = np.iinfo(codes.dtype).max
-                scaled = _scaled(codes, code_max, invert and photometric == INVERTED)
-                planes.append(resize_plane(scaled, height, width).astype("float32").ravel())
+                planes.append(decoded_plane(*decoder(bytes(content)), spec))
             yield pd.DataFrame(
                 {"sample_id": batch["sample_id"], "height": height, "width": width,
                  "plane": planes}
@@ -241,7 +276,8 @@ def preprocess_files(files, decoder, spec):
     return files.select("sample_id", "content").mapInPandas(run, PLANE_SCHEMA)
 
 
-def preprocess_paths(manifest, decoder, spec, opener=open, path_col="image_path", tasks=None):
+def preprocess_paths(manifest, decoder, spec, opener=open, path_col="image_path", tasks=None,
+                     errors="raise"):
     """Read, decode and preprocess the image of every manifest row inside the task.
 
     Only manifest rows are moved between executors; pixels are read where they
@@ -249,23 +285,33 @@ def preprocess_paths(manifest, decoder, spec, opener=open, path_col="image_path"
     columns. ``opener(path, "rb")`` opens a file that every executor can reach.
     Rows are spread over ``tasks`` by path, by default one per shuffle
     partition: a manifest is far smaller than its images, so its own
-    partitioning says nothing about the work.
+    partitioning says nothing about the work. An image that cannot be read or
+    decoded fails the job, or with ``errors="keep"`` gets a NULL plane and its
+    fault in ``error``.
     """
+    if errors not in ("raise", "keep"):
+        raise ValueError(f"errors must be 'raise' or 'keep', got {errors!r}")
     tasks = tasks or int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    height, width, invert = spec.height, spec.width, spec.invert_monochrome1
+    height, width = spec.height, spec.width
 
     def plane(path):
         with opener(path, "rb") as handle:
-            codes, photometric = decoder(handle.read())
-        code_max = np.iinfo(codes.dtype).max
-        scaled = _scaled(codes, code_max, invert and photometric == INVERTED)
-        return resize_plane(scaled, height, width).astype("float32").ravel()
+            return decoded_plane(*decoder(handle.read()), spec)
+
+    def attempt(path):
+        try:
+            return plane(path), None
+        except Exception as error:
+            return None, f"{type(error).__name__}: {error}"
 
     def run(table):
         for batch in table:
-            yield batch.assign(
-                height=height, width=width, plane=[plane(path) for path in batch[path_col]]
-            )
+            out = batch.assign(height=height, width=width)
+            if errors == "raise":
+                yield out.assign(plane=[plane(path) for path in batch[path_col]])
+            else:
+                tried = [attempt(path) for path in batch[path_col]]
+                yield out.assign(plane=[p for p, _ in tried], error=[e for _, e in tried])
 
     schema = T.StructType(
         [
@@ -273,6 +319,7 @@ def preprocess_paths(manifest, decoder, spec, opener=open, path_col="image_path"
             T.StructField("height", T.IntegerType()),
             T.StructField("width", T.IntegerType()),
             T.StructField("plane", T.ArrayType(T.FloatType())),
+            *([T.StructField("error", T.StringType())] if errors == "keep" else []),
         ]
     )
     return manifest.repartition(tasks, path_col).mapInPandas(run, schema)
@@ -286,7 +333,21 @@ def to_tensor(planes, spec):
     )
 
 
-def training_examples(manifest, planes, spec):
-    """Manifest rows with their model input and the label as a float."""
+def with_planes(manifest, planes, missing="raise"):
+    """Every manifest row with its stored plane.
+
+    A row without one fails the job; with ``missing="keep"`` its plane is NULL.
+    """
+    if missing not in ("raise", "keep"):
+        raise ValueError(f"missing must be 'raise' or 'keep', got {missing!r}")
+    joined = manifest.join(planes, "sample_id", "left")
+    if missing == "keep":
+        return joined
+    problem = F.concat(F.lit("no preprocessed image for "), "sample_id")
+    return joined.withColumn("plane", F.coalesce("plane", F.raise_error(problem).cast("array<float>")))
+
+
+def training_examples(manifest, planes, spec, missing="raise"):
+    """Manifest rows with their model input and the label as a float; see :func:`with_planes`."""
     labelled = manifest.select("sample_id", F.col("label").cast("float").alias("label"))
-    return to_tensor(labelled.join(planes, "sample_id"), spec)
+    return to_tensor(with_planes(labelled, planes, missing), spec)

@@ -23,6 +23,7 @@ from ..functions import (
     nan_to_null,
     number_of,
     salted_join,
+    stage,
 )
 
 _KNOWN_CLASSES = list(S.CLASS_LABELS)
@@ -55,11 +56,31 @@ def conflicting_classes(classes):
     return _classes_per_patient(classes).where("n_classes > 1")
 
 
+def classes_per_patient(classes):
+    """One row per patient: lowest and highest class, and whether a row has none.
+
+    Classes conflict exactly when lowest and highest differ. Rows without a
+    patient are kept apart by class, so that they conflict with nothing.
+    """
+    alone = F.when(F.col("patientId").isNull(), F.col("class"))
+    return (
+        classes.groupBy("patientId", alone.alias("_alone"))
+        .agg(
+            F.min("class").alias("lowest"), F.max("class").alias("highest"),
+            F.bool_or(F.col("class").isNull()).alias("has_gap"),
+        )
+        .drop("_alone")
+    )
+
+
 def mergeable_classes(classes):
     """Distinct pairs without the patients whose classes conflict."""
-    return salted_join(
-        distinct_classes(classes), conflicting_classes(classes), "patientId", "left_anti",
-        n="n_classes",
+    named = F.when(F.col("lowest").isNotNull(), F.array(F.col("lowest"))).otherwise(F.array().cast("array<string>"))
+    gap = F.when(F.col("has_gap"), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
+    return (
+        classes_per_patient(classes)
+        .where("lowest IS NULL OR lowest = highest")
+        .select("patientId", F.explode(F.concat(named, gap)).alias("class"))
     )
 
 
@@ -75,13 +96,24 @@ def require_unique(table, key="patientId"):
         raise ValueError(f"{key} is not unique: {found[0][key]} occurs {found[0].n_rows} times")
 
 
-def join_classes(labels, classes, hot_rows=HOT_ROWS):
-    """Every label row with its class; patients with conflicting classes get none."""
-    labels = labels.where(F.col("patientId").isNotNull())
-    counts = labels.groupBy("patientId").agg(F.count("*").alias("n"))
-    return salted_join(
-        labels, mergeable_classes(classes), "patientId", "left", counts=counts, hot_rows=hot_rows
+def join_classes(labels, classes):
+    """Every label row with its class; patients with conflicting classes get none.
+
+    The join is many-to-one: a patient with a class and a row without one fails
+    the job. The classes are written first, so that both sides of the join are
+    plain scans and adaptive execution can split a patient with very many rows.
+    """
+    known = classes_per_patient(classes.where(F.col("patientId").isNotNull()))
+    problem = F.concat(F.lit("classes are not unique per patient: "), "patientId")
+    known = stage(
+        known.where("lowest IS NULL OR lowest = highest").select(
+            "patientId",
+            F.when(F.col("has_gap") & F.col("lowest").isNotNull(), F.raise_error(problem).cast("string"))
+            .otherwise(F.col("lowest")).alias("class"),
+        ),
+        "patient-classes",
     )
+    return labels.where(F.col("patientId").isNotNull()).join(known, "patientId", "left")
 
 
 def conflicting_targets(labels):

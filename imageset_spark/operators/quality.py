@@ -147,6 +147,44 @@ def reconcile_sources(targets, classes, strict=False):
     ).drop("_left", "_right")
 
 
+def reconcile_tables(labels, classes):
+    """One row per patient of either annotation table: provenance, labels, conflicts.
+
+    One aggregate over the union of both tables. Nothing is filtered before: a
+    patient whose targets or classes differ keeps its row, with a NULL label and
+    ``conflict`` set; ``disagrees`` marks patients of both tables whose labels
+    differ or are missing.
+    """
+    none = F.lit(None)
+    rows = labels.where(F.col("patientId").isNotNull()).select(
+        "patientId", F.lit(True).alias("l"), none.cast("boolean").alias("r"),
+        nan_to_null("Target").alias("Target"), none.cast("string").alias("class"),
+    ).unionByName(
+        classes.where(F.col("patientId").isNotNull()).select(
+            "patientId", none.cast("boolean").alias("l"), F.lit(True).alias("r"),
+            none.cast("double").alias("Target"), "class",
+        )
+    )
+    seen = rows.groupBy("patientId").agg(
+        F.bool_or("l").alias("l"), F.bool_or("r").alias("r"),
+        F.min("Target").alias("t0"), F.max("Target").alias("t1"),
+        F.min("class").alias("c0"), F.max("class").alias("c1"),
+    )
+    both = F.coalesce(F.col("l") & F.col("r"), F.lit(False))
+    differ = F.coalesce(F.col("t0") != F.col("t1"), F.lit(False)) | F.coalesce(F.col("c0") != F.col("c1"), F.lit(False))
+    return (
+        seen.withColumn("label", F.when(F.col("t0") == F.col("t1"), F.col("t0")))
+        .withColumn("raw_class", F.when(F.col("c0") == F.col("c1"), F.col("c0")))
+        .withColumn("class_label", class_label("raw_class"))
+        .select(
+            "patientId", "label", "raw_class", "class_label",
+            F.when(both, "both").when(F.col("l"), "left_only").otherwise("right_only").alias("source"),
+            (both & F.coalesce(F.col("label") != F.col("class_label"), F.lit(True))).alias("disagrees"),
+            differ.alias("conflict"),
+        )
+    )
+
+
 def class_label_crosstab(table, row_key, column_key):
     """Counts per pair of values with margins; NULL marks a margin.
 

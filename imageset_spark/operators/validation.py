@@ -34,7 +34,9 @@ class ValidationResult(NamedTuple):
 def image_state(images, boxes, audit):
     """One row per id seen in any input: copies, label, audit result, box rows.
 
-    ``audit`` has one row per existing image file; no row means no file.
+    ``audit`` has one row per existing image file; no row means no file. Image
+    records without an id are counted like any other id, so that the ledger
+    names them.
     """
 
     def part(df, **given):
@@ -47,7 +49,7 @@ def image_state(images, boxes, audit):
             .cast(kind).alias(name)
             for name, kind in types.items()
         ]
-        return df.where(F.col("sample_id").isNotNull()).select("sample_id", *columns)
+        return df.select("sample_id", *columns)
 
     col = F.col
     rows = (
@@ -142,8 +144,8 @@ def box_fault(width="image_width", height="image_height"):
 def judge_boxes(unique_boxes, state, hot_rows=HOT_ROWS):
     """Distinct boxes with the fate of their image and their own fault.
 
-    ``known`` is false for boxes of unknown images; ``candidate`` is true where
-    the image passed every image-level check.
+    ``known`` is false for boxes of unknown images and for boxes without an id;
+    ``candidate`` is true where the image passed every image-level check.
     """
     facts = state.where("n_boxes > 0").select(
         "sample_id",
@@ -152,9 +154,9 @@ def judge_boxes(unique_boxes, state, hot_rows=HOT_ROWS):
         "label", "image_width", "image_height", "n_boxes",
     )
     judged = salted_join(
-        unique_boxes, facts, "sample_id", "inner", n="n_boxes", hot_rows=hot_rows,
+        unique_boxes, facts, "sample_id", "left", n="n_boxes", hot_rows=hot_rows,
         salt_cols=S.COORDINATES,
-    )
+    ).withColumns({name: F.coalesce(name, F.lit(False)) for name in ("known", "candidate")})
     checked = F.col("candidate") & (F.col("label") != 0)
     return judged.withColumn("fault", F.when(checked, box_fault())).drop(
         "image_width", "image_height"

@@ -1,32 +1,36 @@
 """The evaluation job: score two splits, choose the threshold, report on test."""
 
 from ..functions import stage
-from ..operators.evaluation import batch_score, eval_report
-from ..operators.images import preprocess_paths, to_tensor
-
-
-def _score(examples, spec, make_predictor, columns):
-    scored = batch_score(
-        to_tensor(examples, spec), make_predictor,
-        input_shape=(spec.channels, spec.height, spec.width),
-    )
-    return stage(scored.select(*columns, "logit", "score"), "predictions")
+from ..operators import evaluation
+from ..operators.evaluation import eval_report
+from ..operators.images import decoded_plane, with_planes
 
 
 def score_planes(manifest, planes, spec, make_predictor):
-    """Predictions for manifest rows whose preprocessed planes are stored."""
-    joined = manifest.join(planes, "sample_id")
-    return _score(joined, spec, make_predictor, manifest.columns)
+    """Predictions for manifest rows whose preprocessed planes are stored.
 
+    A row without a plane fails the job.
+    """
+    joined = with_planes(manifest, planes.select("sample_id", "plane"))
+    scored = evaluation.score_planes(joined, lambda row: row.plane, spec, make_predictor, drop=["plane"])
+    return stage(scored.select(*manifest.columns, "logit", "score"), "predictions")
 
-def score_files(manifest, decoder, spec, make_predictor, **reading):
+
+def score_files(manifest, decoder, spec, make_predictor, opener=open, path_col="image_path", tasks=None):
     """Predictions for manifest rows straight from their image files.
 
-    No pixel leaves the task that reads it. ``reading`` goes to
-    :func:`~imageset_spark.operators.images.preprocess_paths`.
+    One pass of Python from file to logit: no pixel leaves the task that reads
+    it. Rows are spread over ``tasks`` by path, by default one per shuffle
+    partition.
     """
-    planes = preprocess_paths(manifest, decoder, spec, **reading)
-    return _score(planes, spec, make_predictor, manifest.columns)
+    tasks = tasks or int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def plane_of(row):
+        with opener(getattr(row, path_col), "rb") as handle:
+            return decoded_plane(*decoder(handle.read()), spec)
+
+    scored = evaluation.score_planes(manifest.repartition(tasks, path_col), plane_of, spec, make_predictor)
+    return stage(scored.select(*manifest.columns, "logit", "score"), "predictions")
 
 
 def evaluate_predictions(predictions, n_buckets=None, **facts):

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import stage, stem
+from ..functions import stage
 from ..operators import mapping, validation
 from ..sources import (
-    audit_images,
+    audit_paths,
     read_classes,
-    read_files,
     read_labels,
     write_canonical,
 )
@@ -78,7 +77,7 @@ def ingestion_report(labels, verdict, boxes, rejections, duplicates):
 
 def ingest(labels, classes, audit, image_directory, order_col="row_seq",
            source_dataset=S.SOURCE_DATASET):
-    """Map and validate; ``audit`` has one row per image file.
+    """Map and validate; ``audit`` has one row per image file, or makes it from the mapped images.
 
     The frames that several results read are written once to the staging folder,
     so the source tables are scanned twice in all and a lost executor never
@@ -89,8 +88,12 @@ def ingest(labels, classes, audit, image_directory, order_col="row_seq",
         labels, classes, image_directory, source_dataset, order_col, verdict=verdict
     )
     boxes = stage(mapped.boxes, "mapped-boxes")
+    images = mapped.images
+    if callable(audit):
+        images = stage(images, "mapped-images")
+        audit = stage(audit(images), "image-audit")
     checked = validation.validate_records(
-        mapped.images, boxes, audit, order_col, mapped.rejections, keep=stage
+        images, boxes, audit, order_col, mapped.rejections, keep=stage
     )
     return IngestResult(
         images=checked.images,
@@ -103,20 +106,19 @@ def ingest(labels, classes, audit, image_directory, order_col="row_seq",
 
 
 def ingest_files(spark, labels_path, classes_path, image_directory, images_output,
-                 boxes_output, decoder, format="csv"):
+                 boxes_output, decoder, format="csv", opener=open):
     """The whole job over files. Returns the one-row report.
 
-    Files are decoded where they are scanned: file contents never go through a
-    shuffle, only the small audit rows do.
+    Only the images that pass the mapping rules are opened, each once, in the
+    task that decodes it: file contents never go through a shuffle, and the image
+    folder is never listed.
     """
     # Parsed once; the later passes read columns, and row numbers are fixed.
     labels = stage(read_labels(spark, labels_path), "labels")
     classes = read_classes(spark, classes_path)
 
-    files = read_files(spark, image_directory).select(
-        stem("path", S.IMAGE_SUFFIX).alias("sample_id"), "content"
-    )
-    audit = audit_images(files, decoder)
+    def audit(images):
+        return audit_paths(images, decoder, opener)
 
     result = ingest(labels, classes, audit, image_directory)
     images, boxes = stage(result.images, "images"), stage(result.boxes, "boxes")

@@ -1,12 +1,16 @@
 """The splitting job: a manifest to three split manifests and a report."""
 
+from pyspark.sql import functions as F
+
+from ..functions import stage
 from ..operators.splits import create_splits, split_report, verify_splits
 from ..sources import write_splits
 
 
 def split_manifest(images, path, train=0.70, validation=0.15, test=0.15, seed=42,
                    format="parquet"):
-    """Write the splits, verify what was written, and return the report frame."""
+    """Write the splits, verify what was written, and return the report frame, which names the seed."""
+    images = stage(images, "split-source")
     assigned = create_splits(images, train, validation, test, seed)
     write_splits(assigned, path, format)
     spark = images.sparkSession
@@ -18,4 +22,4 @@ def split_manifest(images, path, train=0.70, validation=0.15, test=0.15, seed=42
         reader = reader.format(format)
     written = reader.load(path)
     verify_splits(images, written)
-    return split_report(written)
+    return split_report(written).withColumn("seed", F.lit(seed))

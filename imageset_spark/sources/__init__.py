@@ -1,10 +1,12 @@
 from .annotations import read_classes, read_labels, read_manifest
 from .files import (
     audit_images,
+    audit_paths,
     checksum_files,
     checksum_lines,
     checksum_paths,
     list_images,
+    listed_paths,
     read_files,
     verify_checksums,
 )
@@ -18,7 +20,7 @@ from .sinks import (
 )
 
 __all__ = [
-    "append_history", "audit_images", "checksum_files", "checksum_lines", "checksum_paths",
-    "list_images", "read_classes", "read_files", "read_labels", "read_manifest",
+    "append_history", "audit_images", "audit_paths", "checksum_files", "checksum_lines", "checksum_paths",
+    "list_images", "listed_paths", "read_classes", "read_files", "read_labels", "read_manifest",
     "report_json", "verify_checksums", "write_canonical", "write_planes", "write_report", "write_splits",
 ]

@@ -8,21 +8,18 @@ instead of turning into NULL.
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import nan_to_null
+from ..functions import nan_to_null, row_positions
 
 # Room for the byte offset of a split and for the row within a partition.
 _ROW_DIGITS = 10
 _BLOCK_DIGITS = 15
-MAX_NUMBERED_FILES = 50_000
 
 
 def _scan(spark, path, required):
-    rows = (
-        spark.read.option("header", True)
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    """All columns as text. A file whose header differs from the first one's fails the job."""
+    options = {"header": True, "nullValue": "", "emptyValue": "", "enforceSchema": False}
+    columns = spark.read.options(**options).csv(path).schema
+    rows = spark.read.options(**options).schema(columns).csv(path)
     absent = [name for name in required if name not in rows.columns]
     if absent:
         raise ValueError(f"{path} lacks the columns {', '.join(sorted(absent))}")
@@ -51,33 +48,25 @@ def _number(name, strict):
     return nan_to_null(parsed)
 
 
-def _source_order(rows):
+def _source_order(spark, path, rows):
     """Add ``row_seq``, which grows in the order of the source text.
 
     A number made of the file's place in the sorted file list, the byte offset
     of the split within the file, and the row's place in its partition. Numbers
-    keep later aggregates in hash form. With more than ``MAX_NUMBERED_FILES``
-    files the list is not broadcast, and the three parts stay a struct.
+    keep later aggregates in hash form. Files are numbered in Spark; the list,
+    of which no content is read, never reaches the driver.
     """
-    files = sorted(rows.inputFiles())
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_file"))
+    numbers = row_positions(files, "_file", "_no")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     parts = rows.select(
         "*",
-        F.input_file_name().alias("_file"),
+        F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         place.alias("_place"),
-    )
-    if len(files) > MAX_NUMBERED_FILES:
-        key = F.struct("_file", "_block", "_place")
-    else:
-        key = _number_of_row(F.lit(0))
-        if len(files) > 1:
-            numbers = rows.sparkSession.createDataFrame(
-                list(enumerate(files)), "_no bigint, _file string"
-            )
-            parts = parts.join(F.broadcast(numbers), "_file", "left")
-            lost = F.concat(F.lit("input file missing from the file list: "), "_file")
-            key = _number_of_row(F.coalesce("_no", F.raise_error(lost).cast("bigint")))
+    ).join(numbers, "_file", "left")
+    lost = F.concat(F.lit("input file missing from the file list: "), "_file")
+    key = _number_of_row(F.coalesce("_no", F.raise_error(lost).cast("bigint")))
     return parts.withColumn("row_seq", key).drop("_file", "_block", "_place", "_no")
 
 
@@ -101,7 +90,8 @@ def read_labels(spark, path, strict=False):
     otherwise such a cell counts as missing.
     """
     names = S.LABELS_SCHEMA.names
-    rows = _texts(_source_order(_scan(spark, path, names)), names, "row_seq")
+    rows = _source_order(spark, path, _scan(spark, path, names))
+    rows = _texts(rows, names, "row_seq")
     numbers = [_number(name, strict).alias(name) for name in names[1:]]
     return rows.select("patientId", *numbers, "row_seq")
 

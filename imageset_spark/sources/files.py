@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -19,10 +20,64 @@ def read_files(spark, folder, suffix=S.IMAGE_SUFFIX, recursive=False):
     )
 
 
+def listed_paths(paths, path_col="path", suffix=S.IMAGE_SUFFIX):
+    """Of a table of paths, those with the suffix, with the id that the file name gives."""
+    named = paths.where(F.col(path_col).endswith(suffix))
+    return named.withColumn("sample_id", stem(path_col, suffix))
+
+
 def list_images(spark, folder, suffix=S.IMAGE_SUFFIX, recursive=False):
     """Image files with their id, which is the file name without its suffix."""
     files = read_files(spark, folder, suffix, recursive).select("path", "length")
-    return files.select(stem("path", suffix).alias("sample_id"), "path", "length")
+    return listed_paths(files, "path", suffix).select("sample_id", "path", "length")
+
+
+def _look(decoder, content):
+    """What decoding some bytes gave: readable, dimensions, width, height."""
+    try:
+        shape = decoder(content).shape
+    except Exception:
+        return False, None, None, None
+    if len(shape) == 2:
+        return True, 2, int(shape[1]), int(shape[0])
+    return True, len(shape), None, None
+
+
+def _audit_rows(ids, seen):
+    out = pd.DataFrame(seen, columns=["readable", "ndim", "width", "height"])
+    out = out.astype({"readable": "bool", "ndim": "Int32", "width": "Int32", "height": "Int32"})
+    out.insert(0, "sample_id", np.array(list(ids), dtype=object))
+    return out
+
+
+def audit_paths(images, decoder, opener=open, path_col="image_path", tasks=None):
+    """Read and decode the file of every image record inside the task.
+
+    Only ids and paths are moved between executors, and only files that a record
+    names are opened. An absent file gives no row; one that cannot be read or
+    decoded, an empty one too, is unreadable. ``opener(path, "rb")`` opens a
+    file that every executor can reach; rows are spread over ``tasks`` by path,
+    by default one per shuffle partition.
+    """
+    tasks = tasks or int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def attempt(path):
+        try:
+            with opener(path, "rb") as handle:
+                content = handle.read()
+        except FileNotFoundError:
+            return None
+        except OSError:
+            return False, None, None, None
+        return _look(decoder, content)
+
+    def audit(batches):
+        for batch in batches:
+            seen = [(i, attempt(path)) for i, path in zip(batch["sample_id"], batch[path_col])]
+            found = [(i, s) for i, s in seen if s is not None]
+            yield _audit_rows([i for i, _ in found], [s for _, s in found])
+
+    return images.select("sample_id", path_col).repartition(tasks, path_col).mapInPandas(audit, S.AUDIT_SCHEMA)
 
 
 def audit_images(files, decoder):
@@ -32,32 +87,25 @@ def audit_images(files, decoder):
     array and may raise. Works scan-side, so contents are not shuffled.
     """
 
-    def look(content):
-        try:
-            shape = decoder(bytes(content)).shape
-        except Exception:
-            return False, None, None, None
-        if len(shape) == 2:
-            return True, 2, int(shape[1]), int(shape[0])
-        return True, len(shape), None, None
-
     def audit(batches):
         for batch in batches:
-            seen = pd.DataFrame(
-                [look(content) for content in batch["content"]],
-                columns=["readable", "ndim", "width", "height"],
-            )
-            out = seen.astype({"ndim": "Int32", "width": "Int32", "height": "Int32"})
-            out.insert(0, "sample_id", batch["sample_id"].to_numpy())
-            yield out
+            yield _audit_rows(batch["sample_id"], [_look(decoder, bytes(c)) for c in batch["content"]])
 
     return files.select("sample_id", "content").mapInPandas(audit, S.AUDIT_SCHEMA)
 
 
-def checksum_files(files):
-    """SHA-256 of each file read by :func:`read_files`."""
+def checksum_files(files, root=None):
+    """SHA-256 of each file read by :func:`read_files`.
+
+    Names are base names, or with ``root`` the paths below that folder, which
+    tell apart files of one name in several folders.
+    """
+    base = F.regexp_extract("path", r"([^/]+)$", 1)
+    if root is not None:
+        top = root.rstrip("/") + "/"
+        base = F.when(F.instr("path", top) > 0, F.substring_index("path", top, -1)).otherwise(base)
     return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
+        base.alias("name"),
         F.sha2("content", 256).alias("sha256"),
     )
 

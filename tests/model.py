@@ -3,7 +3,7 @@
 from collections import Counter
 from math import isfinite, isnan
 
-LABELS = {"Lung Opacity": 1, "Normal": 0, "No Lung Opacity / Not Normal": 0}
+from imageset_spark.schemas import CLASS_LABELS as LABELS
 
 
 def _gone(value):

@@ -139,3 +139,33 @@ def test_saved_epochs_and_run_summary(spark):
     assert rows(history.run_summary(frame)) == [
         ("a", 0.6, 5, 5, 0.4), ("b", 0.5, 1, 2, 0.4)
     ]
+
+
+@pytest.mark.parametrize("score, label", [(None, 1), (float("nan"), 0), (0.5, None), (0.5, 2)])
+def test_rows_that_cannot_be_judged_fail(spark, score, label):
+    frame = spark.createDataFrame(
+        [("good", 0.25, 0), ("odd", score, label)], "sample_id string, score double, label int"
+    )
+    for metric in (lambda f: evaluation.confusion(f, 0.5), evaluation.roc_auc, evaluation.roc_points):
+        with pytest.raises(Exception, match="label 0 or 1: odd"):
+            metric(frame).collect()
+
+
+def test_scoring_from_plane_to_logit_is_one_pass(spark):
+    from imageset_spark.operators.images import ImageSpec, to_tensor
+
+    spec = ImageSpec(height=2, width=2)
+    planes = spark.createDataFrame(
+        [(f"s{i}", 2, 2, [i / 10, 0.5, 1.0, 0.0]) for i in range(10)],
+        "sample_id string, height int, width int, plane array<float>",
+    )
+    found = evaluation.score_planes(
+        planes, lambda row: row.plane, spec, lambda: lambda x: x.reshape(len(x), -1).sum(1), batch_size=3,
+        drop=["plane"],
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "transform(" not in plan and "plane" not in found.columns
+    expected = {r.sample_id: sum(r.tensor) for r in to_tensor(planes, spec).collect()}
+    for row in found.collect():
+        assert row.logit == pytest.approx(expected[row.sample_id], abs=1e-4)
+        assert row.score == pytest.approx(1 / (1 + 2.718281828459045 ** -row.logit))

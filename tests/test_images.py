@@ -118,8 +118,66 @@ def test_examples_pair_tensor_and_label(spark, grids):
     spec = images.ImageSpec(height=4, width=4)
     manifest = spark.createDataFrame([("dot", 1), ("gone", 0)], "sample_id string, label int")
     planes = images.preprocess_images(corpus(spark, grids), spec)
-    found = images.training_examples(manifest, planes, spec).collect()
-    assert [(r.sample_id, r.label, len(r.tensor)) for r in found] == [("dot", 1.0, 48)]
+    found = images.training_examples(manifest, planes, spec, missing="keep").collect()
+    assert sorted((r.sample_id, r.label, len(r.tensor or [])) for r in found) == [("dot", 1.0, 48), ("gone", 0.0, 0)]
+    whole = images.training_examples(manifest.where("label = 1"), planes, spec).collect()
+    assert [(r.sample_id, len(r.tensor)) for r in whole] == [("dot", 48)]
+    with pytest.raises(Exception, match="no preprocessed image for gone"):
+        images.training_examples(manifest, planes, spec).collect()
+    with pytest.raises(ValueError):
+        images.training_examples(manifest, planes, spec, missing="drop")
+
+
+def test_float_pixels_need_no_largest_code(spark):
+    grid = np.array([[0.25, 0.5], [0.75, 1.0]])
+    files = spark.createDataFrame([("a", bytearray(b"x"))], "sample_id string, content binary")
+    spec = images.ImageSpec(height=2, width=2)
+    found = images.preprocess_files(files, lambda content: (grid, "MONOCHROME2"), spec).first().plane
+    assert found == pytest.approx([0.0, 1 / 3, 2 / 3, 1.0])
+
+
+def test_images_that_cannot_be_decoded_are_listed_or_fail(spark, tmp_path):
+    (tmp_path / "good").write_bytes(bytes([0, 1, 2, 3]))
+    (tmp_path / "bad").write_bytes(b"")
+    manifest = spark.createDataFrame(
+        [(n, str(tmp_path / n)) for n in ("good", "bad", "absent")], "sample_id string, image_path string"
+    )
+    spec = images.ImageSpec(height=2, width=2)
+
+    def decode(content):
+        return np.frombuffer(content, "uint8").reshape(2, 2), "MONOCHROME2"
+
+    found = {r.sample_id: r for r in images.preprocess_paths(manifest, decode, spec, errors="keep").collect()}
+    assert found["good"].error is None and len(found["good"].plane) == 4
+    assert found["bad"].plane is None and found["bad"].error.startswith("ValueError")
+    assert found["absent"].error.startswith("FileNotFoundError")
+    with pytest.raises(Exception, match="FileNotFoundError|ValueError"):
+        images.preprocess_paths(manifest, decode, spec).collect()
+
+
+@pytest.mark.parametrize(
+    "section, name, value",
+    [
+        ("intensity", "invert_monochrome1", "no"), ("intensity", "output_max", "one"), ("image", "width", 96.0),
+        ("image", "height", True), ("image", "resize", 1), ("normalization", "mean", 0.5),
+        ("normalization", "std", ["a", "b", "c"]), ("tensor", "layout", None),
+    ],
+)
+def test_config_values_are_typed(section, name, value):
+    config = images.ImageSpec().to_config()
+    config[section][name] = value
+    with pytest.raises(ValueError, match=f"{section}.{name}"):
+        images.ImageSpec.from_config(config)
+
+
+def test_config_sections_and_numbers():
+    config = images.ImageSpec().to_config()
+    config["version"], config["intensity"]["output_max"] = 2.5, 1
+    spec = images.ImageSpec.from_config(config)
+    assert (spec.version, spec.output_max) == ("2.5", 1.0)
+    for broken in ({**config, "image": [1, 2]}, None, "text"):
+        with pytest.raises(ValueError, match="mapping"):
+            images.ImageSpec.from_config(broken)
 
 
 @pytest.mark.parametrize(

@@ -30,7 +30,7 @@ def reason(spark, label_rows, class_names, pid="p"):
     [
         ([(*NO_BOX, 0.0)], ["Normal"], None),
         ([(*BOX, 1.0)], ["Lung Opacity"], None),
-        ([(*BOX, 1.0), (562.0, 152.0, 256.0, 453.0, 1.0)], ["Lung Opacity"] * 2, None),
+        ([(*BOX, 1.0), (77.5, 31.0, 120.25, 88.0, 1.0)], ["Lung Opacity"] * 2, None),
         ([(*NO_BOX, 0.0), (*NO_BOX, None)], ["Normal"], None),
         ([(*NO_BOX, 0.0)], ["Normal", "Lung Opacity"], S.CONFLICTING_CLASSES),
         ([(*NO_BOX, 0.0)], ["One", "Two"], S.CONFLICTING_CLASSES),
@@ -74,6 +74,8 @@ def test_class_with_and_without_value_cannot_be_joined(spark):
     labels, classes = frames(spark, [("a", *NO_BOX, 0.0)], [("a", "Normal"), ("a", None)])
     with pytest.raises(Exception, match="not unique per patient"):
         mapping.mapping_verdict(labels, classes).collect()
+    with pytest.raises(Exception, match="not unique per patient"):
+        mapping.join_classes(labels, classes).collect()
     repeated = mapping.duplicate_join_keys(mapping.mergeable_classes(classes))
     assert rows(repeated) == [("a", 2)]
 
@@ -144,7 +146,7 @@ def test_joined_classes_keep_every_label_row(spark):
     names = {}
     for pid, name in class_rows:
         names.setdefault(pid, set()).add(name)
-    joined = mapping.join_classes(labels, classes, hot_rows=3)
+    joined = mapping.join_classes(labels, classes)
     assert joined.count() == len(label_rows)
     for row in joined.select("patientId", "class").distinct().collect():
         own = names.get(row["patientId"], set())

@@ -27,11 +27,18 @@ def test_ingestion_from_files(spark, tmp_path):
     folder.mkdir()
     for name in ("ok", "plain", "outside", "extra"):
         (folder / f"{name}.dcm").write_text(json.dumps([100, 100]))
-    (folder / "broken.dcm").write_text("?")
+    (folder / "broken.dcm").write_text("")
+    opened = tmp_path / "opened"
+    opened.mkdir()
+
+    def count(path, mode):
+        (opened / path.rsplit("/", 1)[-1]).touch()
+        return open(path, mode)
+
     report = ingest_files(
         spark, str(tmp_path / "labels.csv"), str(tmp_path / "classes.csv"), str(folder),
         str(tmp_path / "out_images"), str(tmp_path / "out_boxes"),
-        decoder=lambda content: np.zeros(json.loads(content)),
+        decoder=lambda content: np.zeros(json.loads(content)), opener=count,
     ).first().asDict()
     assert report == {
         "source_rows": 9, "accepted_images": 2, "positive_images": 1, "negative_images": 1,
@@ -41,6 +48,9 @@ def test_ingestion_from_files(spark, tmp_path):
             "missing_class": 1, "unreadable_dicom": 1,
         },
     }
+    # Only mapped images are opened: not the extra file, nor images that mapping refused.
+    names = {p.name for p in opened.iterdir()}
+    assert names == {"ok.dcm", "plain.dcm", "outside.dcm", "nofile.dcm", "broken.dcm"}
     written = sources.read_manifest(spark, str(tmp_path / "out_images"))
     assert rows(written, "sample_id", "label") == [("ok", 1), ("plain", 0)]
     boxes = sources.read_manifest(spark, str(tmp_path / "out_boxes"), S.BOX_SCHEMA)
@@ -89,3 +99,11 @@ def test_staging_needs_a_shared_folder_on_a_cluster():
     shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///stage/"}
     assert staging_dir(session(**shared)) == "hdfs:///stage"
     assert staging_dir(session(**{"spark.master": "local[2]"})).startswith("/")
+
+
+def test_scoring_fails_on_a_manifest_row_without_its_plane(spark, tmp_path):
+    table, manifest = small_corpus(spark, tmp_path)
+    spec = images.ImageSpec(height=2, width=2)
+    planes = images.preprocess_images(table.where("sample_id <> 's003'"), spec)
+    with pytest.raises(Exception, match="no preprocessed image for s003"):
+        score_planes(manifest, planes, spec, lambda: lambda x: x.reshape(len(x), -1).sum(1))

@@ -113,3 +113,26 @@ def test_coverage_and_first_ids(spark):
     assert rows(quality.first_per_class(images), "raw_class", "sample_id") == [
         ("L", "c"), ("N", "a")
     ]
+
+
+def test_reconciled_tables_keep_every_patient(spark):
+    labels = spark.createDataFrame(
+        [("a", 1.0), ("a", 1.0), ("b", 0.0), ("b", 1.0), ("c", None), ("d", 0.0), (None, 1.0), ("g", float("nan"))],
+        "patientId string, Target double",
+    )
+    classes = spark.createDataFrame(
+        [("a", "Normal"), ("b", "Normal"), ("c", "Lung Opacity"), ("e", "Normal"), ("f", None), ("f", "Normal"),
+         ("h", "Normal"), ("h", "Lung Opacity"), (None, "Normal"), ("g", "Normal")],
+        "patientId string, class string",
+    )
+    found = {r.patientId: tuple(r)[1:] for r in quality.reconcile_tables(labels, classes).collect()}
+    assert found == {
+        "a": (1.0, "Normal", 0, "both", True, False),
+        "b": (None, "Normal", 0, "both", True, True),
+        "c": (None, "Lung Opacity", 1, "both", True, False),
+        "d": (0.0, None, None, "left_only", False, False),
+        "e": (None, "Normal", 0, "right_only", False, False),
+        "f": (None, "Normal", 0, "right_only", False, False),
+        "g": (None, "Normal", 0, "both", True, False),
+        "h": (None, None, None, "right_only", False, True),
+    }

@@ -19,12 +19,12 @@ def sides(spark):
     return many, one, many.groupBy("key").agg(F.count("*").alias("n"))
 
 
-@pytest.mark.parametrize("hot_rows, max_keys", [(100, 1024), (5, 3)])
+@pytest.mark.parametrize("hot_rows, most_keys", [(100, 1000), (5, 30), (5, 1)])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(sides, how, hot_rows, max_keys):
+def test_salted_join_equals_plain_join(sides, how, hot_rows, most_keys):
     many, one, counts = sides
     expected = rows(many.join(one, "key", how))
-    limits = {"hot_rows": hot_rows, "max_keys": max_keys}
+    limits = {"hot_rows": hot_rows, "most_keys": most_keys}
     assert rows(salted_join(many, one, "key", how, counts=counts, **limits)) == expected
     sized = one.join(counts, "key", "left").fillna(0, "n")
     assert rows(salted_join(many, sized, "key", how, **limits).drop("n")) == expected
@@ -49,12 +49,29 @@ def test_no_partition_gets_the_whole_hot_key(spark, sides):
     finally:
         for name in settings:
             spark.conf.unset(name)
-    assert sum(found) == 1000 and max(found) < 600
+    # Twenty slices of about 50 rows, dealt over four partitions.
+    assert sum(found) == 1000 and max(found) <= 10 * 50
 
 
-def test_hot_keys_are_bounded(sides):
-    _, _, counts = sides
-    assert hot_keys(counts, "key", "n", hot_rows=1, max_keys=5).count() == 5
+def test_every_key_above_the_threshold_is_cut(spark):
+    counts = spark.range(3000).select(F.col("id").cast("string").alias("key"), F.lit(10).alias("n"))
+    assert hot_keys(counts, "key", "n", hot_rows=9).count() == 3000
+    # No more than most_keys keys can hold more than 1 / most_keys of the rows.
+    assert hot_keys(counts, "key", "n", hot_rows=1, most_keys=2999).count() == 0
+
+
+def test_rows_without_a_key_are_spread(spark):
+    many = spark.range(2000).select(F.lit(None).cast("string").alias("key"), "id")
+    one = spark.createDataFrame([("a", 1)], "key string, n int")
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+        spark.conf.set(name, "-1" if name.endswith("Threshold") else "false")
+    try:
+        joined = salted_join(many, one, "key", "left", salt_cols=["id"])
+        sizes = [r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(name)
+    assert sum(sizes) == 2000 and max(sizes) < 1000
 
 
 def test_outer_join_is_refused(sides):

@@ -48,9 +48,7 @@ def test_missing_columns_are_named(spark, tmp_path):
         sources.read_labels(spark, path)
 
 
-@pytest.mark.parametrize("numbered", [2, 50_000])
-def test_source_order_over_several_files(spark, tmp_path, monkeypatch, numbered):
-    monkeypatch.setattr(sources.annotations, "MAX_NUMBERED_FILES", numbered)
+def test_source_order_over_several_files(spark, tmp_path):
     head = "patientId,x,y,width,height,Target\n"
     sizes = {"b.csv": 400, "a.csv": 3, "c.csv": 50}
     for name, count in sizes.items():
@@ -58,6 +56,21 @@ def test_source_order_over_several_files(spark, tmp_path, monkeypatch, numbered)
     ordered = sources.read_labels(spark, str(tmp_path)).orderBy("row_seq").collect()
     ids = [r.patientId for r in ordered]
     assert ids == sorted(ids) and len(ids) == 453
+    one = sources.read_labels(spark, str(tmp_path / "a.csv"))
+    assert one.schema == sources.read_labels(spark, str(tmp_path)).schema
+
+
+@pytest.mark.parametrize("read, columns", [
+    (sources.read_labels, S.LABELS_SCHEMA.names), (sources.read_classes, S.CLASSES_SCHEMA.names),
+    (sources.read_manifest, S.IMAGE_SCHEMA.names),
+])
+def test_files_of_other_column_order_are_refused(spark, tmp_path, read, columns):
+    cells = [str(i) for i in range(len(columns))]
+    for name, order in (("a.csv", 1), ("b.csv", -1)):
+        write(tmp_path, name, ",".join(columns[::order]) + "\n" + ",".join(cells[::order]) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read(spark, str(tmp_path)).collect()
+    assert read(spark, str(tmp_path / "b.csv")).first()[0] == "0"
 
 
 def test_source_order_within_a_file_cut_in_many_splits(spark, tmp_path):
@@ -106,6 +119,15 @@ def test_listing_uses_stems_and_suffix(spark, tmp_path):
     assert rows(listing, "sample_id", "length") == [("a", 5), ("b.c", 5)]
 
 
+def test_checksum_names_below_a_root(spark):
+    files = spark.createDataFrame(
+        [("file:/x/run/a/part-0", bytearray(b"1")), ("file:/x/run/b/part-0", bytearray(b"2"))],
+        "path string, content binary",
+    )
+    assert [r[0] for r in rows(sources.checksum_files(files, root="/x/run/"))] == ["a/part-0", "b/part-0"]
+    assert [r[0] for r in rows(sources.checksum_files(files))] == ["part-0", "part-0"]
+
+
 def test_audit_of_real_files(spark, tmp_path):
     grids = {"flat": [[1, 2, 3]], "deep": [[[1]]], "empty": [[], []]}
     for name, grid in grids.items():

@@ -9,7 +9,7 @@ from imageset_spark.plans import split_manifest
 
 
 def table(spark, per_label=100, labels=(0, 1)):
-    data = [(f"class-{label}-{i:03d}", label, f"x{i}") for label in labels for i in range(per_label)]
+    data = [(f"scan{i:04d}{'np'[label] if label < 2 else label}", label, f"x{i}") for label in labels for i in range(per_label)]
     return spark.createDataFrame(data, "sample_id string, label int, note string")
 
 
@@ -55,7 +55,10 @@ def test_same_split_for_any_partitioning_and_order(spark):
 
 @pytest.mark.parametrize(
     "ratios",
-    [(0.70, 0.15, 0.10), (0.0, 0.5, 0.5), (0.7, -0.1, 0.4), (float("nan"), 0.5, 0.5)],
+    [
+        (0.6, 0.4, 0.0), (1.0, 0.0, 0.0), (0.2, 1.2, -0.4), (float("inf"), 0.3, 0.3),
+        (0.5, 0.25, float("nan")), (0.5, 0.3, 0.2 + 1e-8), (0.5, 0.3, 0.2 - 1e-8),
+    ],
 )
 def test_bad_ratios(spark, ratios):
     with pytest.raises(ValueError, match="ratios"):
@@ -92,7 +95,7 @@ def test_verification_finds_every_kind_of_damage(spark):
     splits.verify_splits(images, good)
     twice = good.limit(1).withColumn("split", F.lit("nowhere")).unionByName(good)
     assert splits.split_verification(images, twice).first().row_difference == 1
-    lost = good.where("sample_id <> 'class-0-003'")
+    lost = good.where("sample_id <> 'scan0003n'")
     with pytest.raises(RuntimeError, match="cover"):
         splits.verify_splits(images, lost)
     both = good.unionByName(good.withColumn("split", F.when(F.col("split") == "train", "test")
@@ -110,6 +113,11 @@ def test_written_splits_and_report(spark, tmp_path, format):
         "validation": (30, {"0": 15, "1": 15}),
         "test": (30, {"0": 15, "1": 15}),
     }
+    assert {r.seed for r in report.collect()} == {42}
+
+
+def test_ratios_within_the_tolerance(spark):
+    assert splits.create_splits(table(spark), 0.5, 0.3, 0.2 + 1e-10).count() == 200
 
 
 def test_report_as_json(spark):
@@ -125,7 +133,7 @@ def test_report_as_json(spark):
 
 def test_subset_and_epoch_order(spark):
     images = table(spark, 10)
-    assert [r[0] for r in splits.smoke_subset(images, 2).collect()] == ["class-0-000", "class-0-001"]
+    assert [r[0] for r in splits.smoke_subset(images, 2).collect()] == ["scan0000n", "scan0000p"]
     first = [r[0] for r in splits.epoch_order(images, 1).collect()]
     assert first == [r[0] for r in splits.epoch_order(images.repartition(7), 1).collect()]
     assert first != [r[0] for r in splits.epoch_order(images, 2).collect()]

@@ -139,3 +139,16 @@ def test_missing_files(spark):
     assert rows(validation.missing_files(image_rows, audit_rows)) == [
         ("b", S.IMAGE_FILE_NOT_FOUND)
     ]
+
+
+def test_records_without_an_id_reach_the_ledger(spark):
+    result = run(
+        spark, [("a", 1), (None, 1)],
+        [("a", 1.0, 1.0, 5.0, 5.0), (None, 1.0, 1.0, 5.0, 5.0), (None, 1.0, 1.0, 5.0, 5.0), (None, 2.0, 1.0, 5.0, 5.0)],
+        {"a": OK},
+    )
+    found = sorted((str(r.sample_id), r.reason) for r in result.rejections.collect())
+    assert found == [
+        ("None", S.IMAGE_FILE_NOT_FOUND), ("None", S.UNKNOWN_IMAGE_REFERENCE), ("None", S.UNKNOWN_IMAGE_REFERENCE),
+    ]
+    assert rows(result.images, "sample_id") == [("a",)] and result.boxes.count() == 1

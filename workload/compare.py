@@ -3,6 +3,7 @@
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -60,7 +61,8 @@ def differences(spark, con, name, sf_dir):
 def main(sf_dir="/root/testdata/sf0.01", *names):
     spark = build_session(
         master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
-                            "spark.ui.showConsoleProgress": "false"}
+                            "spark.ui.showConsoleProgress": "false",
+                            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

@@ -371,17 +371,20 @@ stats AS (SELECT patientId, min(class) AS class FROM src_classes
 SELECT l.patientId, x, y, width, height, Target, class
 FROM src_labels l LEFT JOIN stats s ON l.patientId = s.patientId""",
     "reconcile_sources": f"""WITH {SRC_LABELS},{SRC_CLASSES},
-t AS (SELECT patientId, min(Target) AS label FROM src_labels
-  GROUP BY patientId HAVING count(DISTINCT Target) = 1),
-c AS (SELECT patientId, min(class) AS raw_class, CASE min(class) WHEN 'Lung Opacity' THEN 1
-    WHEN 'Normal' THEN 0 WHEN 'No Lung Opacity / Not Normal' THEN 0 END AS class_label
-  FROM src_classes GROUP BY patientId HAVING count(DISTINCT class) = 1)
-SELECT coalesce(t.patientId, c.patientId) AS patientId, label, raw_class, class_label,
-  CASE WHEN t.patientId IS NULL THEN 'right_only' WHEN c.patientId IS NULL THEN 'left_only'
-    ELSE 'both' END AS source,
-  t.patientId IS NOT NULL AND c.patientId IS NOT NULL
-    AND coalesce(label <> class_label, true) AS disagrees
-FROM t FULL OUTER JOIN c ON t.patientId = c.patientId""",
+t AS (SELECT patientId, min(Target) AS lo, max(Target) AS hi FROM src_labels
+  WHERE patientId IS NOT NULL GROUP BY patientId),
+c AS (SELECT patientId, min(class) AS lo, max(class) AS hi FROM src_classes
+  WHERE patientId IS NOT NULL GROUP BY patientId),
+j AS (SELECT coalesce(t.patientId, c.patientId) AS patientId,
+    CASE WHEN t.lo = t.hi THEN t.lo END AS label, CASE WHEN c.lo = c.hi THEN c.lo END AS raw_class,
+    CASE WHEN t.patientId IS NULL THEN 'right_only' WHEN c.patientId IS NULL THEN 'left_only'
+      ELSE 'both' END AS source,
+    coalesce(t.lo <> t.hi, false) OR coalesce(c.lo <> c.hi, false) AS conflict
+  FROM t FULL OUTER JOIN c ON t.patientId = c.patientId),
+k AS (SELECT *, CASE raw_class WHEN 'Lung Opacity' THEN 1 WHEN 'Normal' THEN 0
+    WHEN 'No Lung Opacity / Not Normal' THEN 0 END AS class_label FROM j)
+SELECT patientId, label, raw_class, class_label, source, conflict,
+  source = 'both' AND coalesce(label <> class_label, true) AS disagrees FROM k""",
     "mergeable_classes": f"""WITH {SRC_CLASSES} SELECT DISTINCT patientId, class FROM src_classes
 WHERE patientId NOT IN (SELECT patientId FROM src_classes GROUP BY patientId
   HAVING count(DISTINCT class) > 1)""",
@@ -398,7 +401,12 @@ FROM (SELECT DISTINCT patientId, class FROM src_classes) t GROUP BY patientId
 HAVING count(*) > 1""",
     "training_examples": f"""WITH {SPLIT_INPUT},{TENSOR}
 SELECT sample_id, CAST(label AS DOUBLE) AS label, place, value
-FROM split_input JOIN tensor USING (sample_id)""",
+FROM split_input LEFT JOIN tensor USING (sample_id)""",
+    "score_images": f"""WITH {TENSOR}
+SELECT sample_id, round(sum(value * (((place * 5) % 11 - 5) / 100.0::DOUBLE)), 4) AS logit
+FROM tensor GROUP BY sample_id""",
+    "image_listing": r"""SELECT url AS path, regexp_extract(url, '([^/]+)\.html$', 1) AS sample_id
+FROM pages WHERE ends_with(url, '.html')""",
     "distinct_classes": f"WITH {SRC_CLASSES} SELECT DISTINCT patientId, class FROM src_classes",
     "conflicting_classes": f"""WITH {SRC_CLASSES}
 SELECT patientId, count(DISTINCT class) AS n_classes FROM src_classes
@@ -508,7 +516,8 @@ split_input AS (SELECT sample_id, label FROM mapped_images),{_QUOTAS}
 SELECT sample_id, label, split FROM assigned""",
     "split_report": f"""WITH {SPLIT}
 SELECT split, CAST(sum(n) AS BIGINT) AS n_rows,
-  '{{' || string_agg('"' || label || '":' || n, ',' ORDER BY label) || '}}' AS class_counts
+  '{{' || string_agg('"' || label || '":' || n, ',' ORDER BY label) || '}}' AS class_counts,
+  42 AS seed
 FROM (SELECT split, label, count(*) AS n FROM assigned GROUP BY split, label) t
 GROUP BY split""",
     "split_verification": f"""WITH {SPLIT}

@@ -97,7 +97,8 @@ def scan_manifest(spark, sf_dir):
 
 @query
 def image_listing(spark, sf_dir):
-    return sources.list_images(spark, sf_dir, suffix=".parquet", recursive=True)
+    pages = tables.read(spark, sf_dir, "pages").select(F.col("url").alias("path"))
+    return sources.listed_paths(pages, suffix=".html")
 
 
 @query
@@ -175,7 +176,7 @@ def checksum_verification(spark, sf_dir):
         F.sha2(F.when(F.col("page_id") % 10 == 0, F.col("url")).otherwise(F.col("html")), 256)
         .alias("sha256"),
     )
-    return sources.verify_checksums(sources.checksum_files(artifacts), stored)
+    return sources.verify_checksums(sources.checksum_files(artifacts, root="/exports"), stored)
 
 
 # --- projections and filters ------------------------------------------------
@@ -241,13 +242,7 @@ def label_class_join(spark, sf_dir):
 
 @query
 def reconcile_sources(spark, sf_dir):
-    labels, classes = tables.labels(spark, sf_dir), tables.classes(spark, sf_dir)
-    conflicts = mapping.conflicting_targets(labels).select("patientId")
-    targets = quality.image_targets(labels).where("label IS NOT NULL").join(
-        conflicts, "patientId", "left_anti"
-    )
-    info = quality.class_info(mapping.mergeable_classes(classes))
-    return quality.reconcile_sources(targets, info)
+    return quality.reconcile_tables(tables.labels(spark, sf_dir), tables.classes(spark, sf_dir))
 
 
 @query
@@ -287,7 +282,7 @@ def dup_join_keys(spark, sf_dir):
 def training_examples(spark, sf_dir):
     spec = images.ImageSpec(height=5, width=5)
     planes = images.preprocess_images(tables.pixels(spark, sf_dir), spec)
-    examples = images.training_examples(tables.split_input(spark, sf_dir), planes, spec)
+    examples = images.training_examples(tables.split_input(spark, sf_dir), planes, spec, missing="keep")
     tensor = F.posexplode_outer("tensor").alias("place", "value")
     return examples.select("sample_id", F.col("label").cast("double").alias("label"), tensor) \
         .withColumn("value", F.col("value").cast("double"))
@@ -509,6 +504,26 @@ def batch_score(spark, sf_dir):
     )
 
 
+@query
+def score_images(spark, sf_dir):
+    """From pixels to score in one pass of Python."""
+    spec = images.ImageSpec(height=5, width=5)
+
+    def predictor():
+        import numpy as np
+
+        weights = np.array([((i * 5) % 11 - 5) / 100.0 for i in range(75)])
+        return lambda tensors: tensors.reshape(len(tensors), -1).astype("float64") @ weights
+
+    pixels = tables.pixels(spark, sf_dir)
+    inputs = ["rows", "cols", "code_max", "photometric", "pixels"]
+    table = pixels.select("sample_id", *inputs)
+    scored = evaluation.score_planes(
+        table, lambda row: images.row_plane(row, spec), spec, predictor, drop=inputs
+    )
+    return scored.select("sample_id", F.round("logit", 4).alias("logit"))
+
+
 @query
 def score(spark, sf_dir):
     return _scored(spark, sf_dir).select(

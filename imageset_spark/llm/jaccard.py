@@ -42,9 +42,11 @@ from .rows import bound_batches, fresh, left_join
 from .text import Chunk, chunks, mix, series
 
 SHINGLE = 5
-DIMS = 64
+DIMS = 256
 FINE_GROUPS = 1 << 16
 LEAF, SLICE = 32, 4096
+#: Documents on one side of a block of pairs that are verified together.
+BLOCK = 512
 ID_BITS = 1 << 23
 _U = np.uint64
 _TAG = series(2, 31)
@@ -111,7 +113,9 @@ def points(texts, kind, ranks):
             for begin, sizes, values, row in shingle_sets(batch.column(1), ranks):
                 n = len(sizes)
                 group = row * DIMS + ((values >> _U(42)) & _U(DIMS - 1)).astype(np.int64)
-                vec = np.bincount(group, minlength=n * DIMS).astype(np.int32)
+                exact = np.bincount(group, minlength=n * DIMS)
+                vec = np.minimum(exact, 255).astype(np.uint8)
+                lost = (exact - vec).reshape(n, DIMS).sum(1)
                 digests = []
                 for tag in _TAG:
                     total = np.concatenate((np.zeros(1, _U), np.cumsum(mix(values ^ tag))))
@@ -124,23 +128,71 @@ def points(texts, kind, ranks):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(begin, n), pa.array(sizes.astype(np.int64)), pa.array(digests[0]),
                      pa.array(digests[1]),
-                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * DIMS), pa.array(vec)),
+                     pa.array(lost),
+                     pa.Array.from_buffers(pa.binary(), n, [
+                         None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(DIMS)), pa.py_buffer(vec)]),
                      pa.ListArray.from_arrays(pa.array(starts), pa.array(values[first].view(np.int64)))],
-                    ["id", "n", "d1", "d2", "vec", "keys"],
+                    ["id", "n", "d1", "d2", "lost", "vec", "keys"],
                 )
 
     return texts.mapInArrow(
-        run, f"id {kind}, n bigint, d1 bigint, d2 bigint, vec array<int>, keys array<bigint>"
+        run, f"id {kind}, n bigint, d1 bigint, d2 bigint, lost bigint, vec binary, keys array<bigint>"
     )
 
 
-def possible(a, b):
-    """Whether points ``a`` and ``b`` (prefixes of column names) can be linked."""
-    least = F.zip_with(f"{a}vec", f"{b}vec", lambda x, y: F.least(x, y))
-    total = F.aggregate(least, F.lit(0), lambda s, x: s + x)
-    sizes = F.col(f"{a}n") + F.col(f"{b}n")
-    near = (4 * F.col(f"{a}n") >= 3 * F.col(f"{b}n")) & (4 * F.col(f"{b}n") >= 3 * F.col(f"{a}n"))
-    return F.when(near, 7 * total >= 3 * sizes).otherwise(F.lit(False))
+def matrix(column):
+    """Count vectors of a binary Arrow column, one row each."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(column):
+        return np.zeros((0, DIMS), np.uint8)
+    first = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+    data = np.frombuffer(column.buffers()[2], np.uint8)
+    return data[first : first + len(column) * DIMS].reshape(-1, DIMS)
+
+
+class Points:
+    """Sizes and count vectors; counts above 255 are held back in ``lost``.
+
+    Of what is held back, two sets share at most the smaller sum.
+    """
+
+    def __init__(self, n, lost, vec, label):
+        self.n, self.lost, self.vec, self.label = n, lost, vec, label
+
+    def part(self, a, b):
+        return Points(self.n[a:b], self.lost[a:b], self.vec[a:b], self.label[a:b])
+
+    def shared(self, left, right):
+        """Upper bounds of the overlap of index pairs."""
+        least = np.minimum(self.vec[left], self.vec[right]).sum(1, dtype=np.int64)
+        return least + np.minimum(self.lost[left], self.lost[right])
+
+    def possible(self, left, right):
+        """Of the index pairs, those of different labels that may be linked."""
+        n, label = self.n, self.label
+        keep = (label[left] != label[right]) & (4 * np.minimum(n[left], n[right]) >= 3 * np.maximum(n[left], n[right]))
+        left, right = left[keep], right[keep]
+        parts = [[np.empty(0, np.int64)] * 2]
+        for i in range(0, len(left), 1 << 14):
+            a, b = left[i : i + (1 << 14)], right[i : i + (1 << 14)]
+            some = self.shared(a, b) >= needed(n[a], n[b])
+            parts.append([a[some], b[some]])
+        return [np.concatenate(p) for p in zip(*parts)]
+
+
+def bounded(pairs, kind):
+    """The pairs, with columns of :func:`_beside`, that pass the bound."""
+
+    def run(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            side = [np.concatenate([table[f"{x}_{c}"].to_numpy() for x in "ab"]) for c in ("n", "lost")]
+            vec = np.concatenate([matrix(table[f"{x}_vec"]) for x in "ab"])
+            k = len(batch)
+            left, _ = Points(*side, vec, np.arange(2 * k)).possible(np.arange(k), np.arange(k) + k)
+            yield batch.select(["a", "b"]).take(pa.array(left))
+
+    return pairs.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def _beside(pairs, side, table, columns):
@@ -148,11 +200,10 @@ def _beside(pairs, side, table, columns):
     return pairs.join(table.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
 
 
-def verified(texts, kind, pairs):
-    """The pairs (``a``, ``b``) whose texts are linked."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+def _picked(texts, kind, ids):
+    """Texts that may be among ``ids``: a bitmap of a fixed size keeps most others out of the shuffles."""
     bit = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
-    words = wanted.groupBy(F.shiftright(bit, 6).alias("w")).agg(
+    words = ids.groupBy(F.shiftright(bit, 6).alias("w")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, int(pmod(xxhash64(id), {ID_BITS}) & 63))")).alias("b")
     ).collect()
     bits = np.zeros(ID_BITS // 64, np.int64)
@@ -166,45 +217,64 @@ def verified(texts, kind, pairs):
             some = (bits[at >> 6] >> (at & 63).astype(_U)) & _U(1) > 0
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["id", "text"]).filter(pa.array(some))
 
-    # The bitmap, of a fixed size, keeps most texts out of the shuffles; the joins are exact.
-    near = texts.select("id", "text", bit.alias("bit")).mapInArrow(pick, f"id {kind}, text string")
+    return texts.where("id is not null").select("id", "text", bit.alias("bit")).mapInArrow(pick, f"id {kind}, text string")
 
-    def compare(batches):
-        for batch in batches:
-            left, right = (
-                [v for _, sizes, values, _ in shingle_sets(batch.column(i)) for v in np.split(values, np.cumsum(sizes)[:-1])]
-                for i in (2, 3)
-            )
-            linked = [
-                7 * len(np.intersect1d(x, y, assume_unique=True)) >= 3 * (len(x) + len(y)) and len(x) > 0
-                for x, y in zip(left, right)
-            ]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    both = _beside(_beside(pairs, "a", near, ["text"]), "b", near, ["text"]).select("a", "b", "a_text", "b_text")
-    return both.mapInArrow(compare, f"a {kind}, b {kind}")
-
-
-def _bounded_pairs(vec, n, label, left, right):
-    """Of the index pairs, those of different components whose minima sum to enough."""
-    keep = (label[left] != label[right]) & (4 * np.minimum(n[left], n[right]) >= 3 * np.maximum(n[left], n[right]))
-    left, right = left[keep], right[keep]
-    out = [np.empty(0, np.int64)] * 2
-    parts = [out]
-    for i in range(0, len(left), 1 << 14):
-        a, b = left[i : i + (1 << 14)], right[i : i + (1 << 14)]
-        some = np.minimum(vec[a], vec[b]).sum(1) >= needed(n[a], n[b])
-        parts.append([a[some], b[some]])
-    return [np.concatenate(p) for p in zip(*parts)]
-
-
-def tree_pairs(vec, n, label, home):
+
+def _compare(batches):
+    """Verify pairs block by block: the texts of a block come first, then its pairs."""
+    block, sets = None, {}
+    for batch in batches:
+        blocks, ids, others = (batch.column(i).to_pylist() for i in (0, 2, 3))
+        pair = np.asarray(batch.column(1)) == 1
+        values = iter(
+            v for _, sizes, values, _ in shingle_sets(batch.column(4)) for v in np.split(values, np.cumsum(sizes)[:-1])
+        )
+        left, right = [], []
+        for g, i, j, is_pair in zip(blocks, ids, others, pair.tolist()):
+            own = next(values)
+            if g != block:
+                block, sets = g, {}
+            if not is_pair:
+                sets.setdefault(i, []).append(own)
+            elif any(
+                len(x) and 7 * len(np.intersect1d(x, y, assume_unique=True)) >= 3 * (len(x) + len(y))
+                for x in sets.get(i, ()) for y in sets.get(j, ())
+            ):
+                left.append(i)
+                right.append(j)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(left, batch.schema.field(2).type), pa.array(right, batch.schema.field(2).type)], ["a", "b"]
+        )
+
+
+def verified(texts, kind, pairs):
+    """The pairs (``tree``, ``a``, ``b``) whose texts are linked, as ``a``, ``b``.
+
+    Pairs of one subtree are verified together, so that a text is moved once for
+    each block of about ``BLOCK`` documents and not once for each pair.
+    """
+    ids = pairs.select("tree", F.col("a").alias("id")).union(pairs.select("tree", "b")).distinct()
+    sides = ids.groupBy("tree").agg(F.ceil(F.count("*") / BLOCK).alias("sides"))
+    dealt = stage(pairs.join(sides, "tree").select(
+        F.xxhash64("tree", F.pmod(F.xxhash64("a"), "sides"), F.pmod(F.xxhash64("b"), "sides")).alias("block"), "a", "b"
+    ), "dealt-pairs")
+    members = dealt.select("block", F.col("a").alias("id")).union(dealt.select("block", "b")).distinct()
+    none = F.lit(None)
+    rows = members.join(_picked(texts, kind, members), "id").select(
+        "block", F.lit(0).alias("part"), "id", none.cast(kind).alias("other"), "text"
+    ).union(dealt.select("block", F.lit(1), "a", "b", none.cast("string")))
+    placed = rows.repartition("block").sortWithinPartitions("block", "part", "id")
+    return placed.mapInArrow(_compare, f"a {kind}, b {kind}")
+
+
+def tree_pairs(points, home):
     """Pairs (home point, any point) of one subtree that the bound lets through.
 
     The home points are packed in boxes; a point meets those boxes only whose
     upper corner, by summed minima, could hold a partner.
     """
     inside = np.flatnonzero(home)
+    n, vec = points.n, points.vec
     order = inside[np.lexsort((vec[inside, 1], vec[inside, 0], n[inside]))]
     found = [[np.empty(0, np.int64)] * 2]
     every = np.arange(len(n))
@@ -212,10 +282,10 @@ def tree_pairs(vec, n, label, home):
         box = order[i : i + LEAF]
         high, least, most = vec[box].max(0), n[box].min(), n[box].max()
         reach = every[(4 * n >= 3 * least) & (4 * most >= 3 * n)]
-        some = np.minimum(vec[reach], high).sum(1) >= needed(n[reach], least)
-        reach = reach[some]
-        left, right = np.repeat(box, len(reach)), np.tile(reach, len(box))
-        found.append(_bounded_pairs(vec, n, label, left, right))
+        shared = np.minimum(vec[reach], high).sum(1, dtype=np.int64)
+        shared += np.minimum(points.lost[reach], points.lost[box].max())
+        reach = reach[shared >= needed(n[reach], least)]
+        found.append(points.possible(np.repeat(box, len(reach)), np.tile(reach, len(box))))
     return [np.concatenate(p) for p in zip(*found)]
 
 
@@ -227,8 +297,7 @@ def _search(batches):
         if not len(key):
             return
         home = table["home"].to_numpy(zero_copy_only=False)
-        n, label = table["n"].to_numpy(), table["label"].to_numpy()
-        vec = table["vec"].combine_chunks().flatten().to_numpy().reshape(-1, DIMS)
+        points = Points(table["n"].to_numpy(), table["lost"].to_numpy(), matrix(table["vec"]), table["label"].to_numpy())
         edge = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
         small = [np.empty(0, np.int64)]
         found = [[small[0], small[0]]]
@@ -238,13 +307,15 @@ def _search(batches):
         single = np.repeat(size <= LEAF, size)
         for step in range(1, min(LEAF, int(size.max()))):
             left = np.flatnonzero(single & (rest > step))
-            found.append(_bounded_pairs(vec, n, label, left, left + step))
+            found.append(points.possible(left, left + step))
         for a, b in zip(edge[:-1][size > LEAF].tolist(), edge[1:][size > LEAF].tolist()):
-            left, right = tree_pairs(vec[a:b], n[a:b], label[a:b], home[a:b])
+            left, right = tree_pairs(points.part(a, b), home[a:b])
             found.append([left + a, right + a])
         left, right = (np.concatenate(p) for p in zip(*found))
         ids = table["id"].combine_chunks()
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right))], ["x", "y"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key[left]), ids.take(pa.array(left)), ids.take(pa.array(right))], ["tree", "x", "y"]
+        )
 
     held = None
     for batch in batches:
@@ -269,17 +340,22 @@ def cross_pairs(cells, place, known, kind):
         .where("low <> high").select("key", F.ceil(F.col("size") / SLICE).cast("int").alias("slices")),
         "mixed-subtrees",
     )
-    rows = labelled.join(mixed, "key").join(known.select("id", "n", "vec"), "id")
+    rows = labelled.join(mixed, "key").join(known.select("id", "n", "lost", "vec"), "id")
     own = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
     filed = rows.select(
-        "id", "n", "vec", "label", own.alias("own"), "key",
+        "id", "n", "lost", "vec", "label", own.alias("own"), "key",
         F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
     ).select(
-        F.xxhash64("key", "slice").alias("tree"), "id", "n", "vec", F.xxhash64("label").alias("label"),
+        F.xxhash64("key", "slice").alias("tree"), "id", "n", "lost", "vec", F.xxhash64("label").alias("label"),
         (F.col("own") == F.col("slice")).alias("home"),
     )
-    found = filed.repartition("tree").sortWithinPartitions("tree", "id").mapInArrow(_search, f"x {kind}, y {kind}")
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
+    found = filed.repartition("tree").sortWithinPartitions("tree", "id").mapInArrow(
+        _search, f"tree bigint, x {kind}, y {kind}"
+    )
+    # A pair meets in every subtree of a shared shingle; the pairs of a group agree on few least ones.
+    return found.where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
+        F.min("tree").alias("tree")
+    )
 
 
 def jaccard_links(docs, id_col="doc_id", text_col="text"):
@@ -287,7 +363,7 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     bound_batches(docs.sparkSession)
     texts, kind = _texts(docs, id_col, text_col)
     table = stage(points(texts, kind, fine_ranks(texts)), "points")
-    known = table.select("id", "n", "d1", "d2", "vec")
+    known = table.drop("keys")
     filed = table.where("id is not null").select("id", F.explode("keys").alias("key"))
     hubs = stage(
         filed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
@@ -296,13 +372,15 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     )
     cells = stage(filed.join(hubs, "key"), "cells")
     stars = cells.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    measured = _beside(_beside(stars, "a", known, ["n", "d1", "d2", "vec"]), "b", known, ["n", "d1", "d2", "vec"])
-    equal = F.expr("a_n = b_n and a_d1 = b_d1 and a_d2 = b_d2")
-    tried = stage(
-        measured.where(equal | possible("a_", "b_")).select("a", "b", equal.alias("equal")).distinct(), "star-pairs"
-    )
-    same = tried.where("equal").select("a", "b")
-    first = stage(same.union(verified(texts, kind, tried.where("not equal").select("a", "b"))).distinct(), "star-links")
+    tried = stage(_beside(_beside(stars, "a", known, ["d1", "d2", "n"]), "b", known, ["d1", "d2", "n"]), "star-pairs")
+    same = F.expr("a_n = b_n and a_d1 = b_d1 and a_d2 = b_d2")
+    near = F.expr("4 * a_n >= 3 * b_n and 4 * b_n >= 3 * a_n")
+    open_pairs = tried.where(~same & near).select("a", "b")
+    open_pairs = _beside(_beside(open_pairs, "a", known, ["n", "lost", "vec"]), "b", known, ["n", "lost", "vec"])
+    open_pairs = bounded(open_pairs, kind).distinct().withColumn("tree", F.xxhash64("a"))
+    open_pairs = stage(open_pairs, "open-pairs")
+    first = tried.where(same).select("a", "b").union(verified(texts, kind, open_pairs))
+    first = stage(first.distinct(), "star-links")
     place = components(first)
     crossed = stage(cross_pairs(cells, place, known, kind), "cross-pairs")
     # The components found so far stand for the first links.

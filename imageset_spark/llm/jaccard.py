@@ -19,8 +19,8 @@ subtrees of shingles they share.
 Subtrees of copies would hold all pairs of the group. Linking goes in two
 passes. First, each member of a subtree is tried with one hub, which links groups
 of copies in linear work (equal sets without looking at texts). Components are
-formed, and subtrees that lie in one component are done. In the others an R-tree
-is packed over the points (sorted by size and coordinates, boxes of ``LEAF``
+formed, and subtrees whose other points lie in one component are done. In the rest
+an R-tree is packed over the points (sorted by size and coordinates, boxes of ``LEAF``
 points, cut in slices of ``SLICE`` points so that a large subtree is many tasks),
 and only pairs of different components that pass the bound are verified. Two
 documents with the same component need no link between them.
@@ -33,6 +33,7 @@ only the columns below are returned.
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import functions as F
 
 from imageset_spark.functions import stage
@@ -201,7 +202,7 @@ def _beside(pairs, side, table, columns):
 
 
 def _picked(texts, kind, ids):
-    """Texts that may be among ``ids``: a bitmap of a fixed size keeps most others out of the shuffles."""
+    """Packed texts that may be among ``ids``: a bitmap of a fixed size keeps most others out of the shuffles."""
     bit = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
     words = ids.groupBy(F.shiftright(bit, 6).alias("w")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, int(pmod(xxhash64(id), {ID_BITS}) & 63))")).alias("b")
@@ -214,10 +215,12 @@ def _picked(texts, kind, ids):
     def pick(batches):
         for batch in batches:
             at = batch.column(2).to_numpy()
-            some = (bits[at >> 6] >> (at & 63).astype(_U)) & _U(1) > 0
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["id", "text"]).filter(pa.array(some))
+            some = pa.array((bits[at >> 6] >> (at & 63).astype(_U)) & _U(1) > 0)
+            packer = zstandard.ZstdCompressor(level=3)
+            packed = [packer.compress(t.as_buffer()) if t.is_valid else None for t in batch.column(1).filter(some)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), pa.array(packed, pa.binary())], ["id", "text"])
 
-    return texts.where("id is not null").select("id", "text", bit.alias("bit")).mapInArrow(pick, f"id {kind}, text string")
+    return texts.where("id is not null").select("id", "text", bit.alias("bit")).mapInArrow(pick, f"id {kind}, text binary")
 
 
 def _compare(batches):
@@ -226,8 +229,11 @@ def _compare(batches):
     for batch in batches:
         blocks, ids, others = (batch.column(i).to_pylist() for i in (0, 2, 3))
         pair = np.asarray(batch.column(1)) == 1
+        opener = zstandard.ZstdDecompressor()
+        raw = [opener.decompress(t.as_buffer()).decode() if t.is_valid else None for t in batch.column(4)]
         values = iter(
-            v for _, sizes, values, _ in shingle_sets(batch.column(4)) for v in np.split(values, np.cumsum(sizes)[:-1])
+            v for _, sizes, values, _ in shingle_sets(pa.array(raw, pa.large_string()))
+            for v in np.split(values, np.cumsum(sizes)[:-1])
         )
         left, right = [], []
         for g, i, j, is_pair in zip(blocks, ids, others, pair.tolist()):
@@ -262,7 +268,7 @@ def verified(texts, kind, pairs):
     none = F.lit(None)
     rows = members.join(_picked(texts, kind, members), "id").select(
         "block", F.lit(0).alias("part"), "id", none.cast(kind).alias("other"), "text"
-    ).union(dealt.select("block", F.lit(1), "a", "b", none.cast("string")))
+    ).union(dealt.select("block", F.lit(1), "a", "b", none.cast("binary")))
     placed = rows.repartition("block").sortWithinPartitions("block", "part", "id")
     return placed.mapInArrow(_compare, f"a {kind}, b {kind}")
 
@@ -314,7 +320,8 @@ def _search(batches):
         left, right = (np.concatenate(p) for p in zip(*found))
         ids = table["id"].combine_chunks()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key[left]), ids.take(pa.array(left)), ids.take(pa.array(right))], ["tree", "x", "y"]
+            [ids.take(pa.array(left)), ids.take(pa.array(right)), pa.array(points.label[left]),
+             pa.array(points.label[right])], ["x", "y", "lx", "ly"],
         )
 
     held = None
@@ -331,8 +338,13 @@ def _search(batches):
 
 
 def cross_pairs(cells, place, known, kind):
-    """Candidate pairs of different components that meet in a subtree."""
-    labelled = stage(left_join(cells.select("key", "id"), place.withColumnRenamed("node", "id"), ["id"]).select(
+    """Candidate pairs of different components that meet in a subtree.
+
+    All pairs with a subtree's hub have been tried, so the hub is left out, and
+    subtrees of two points have nothing else.
+    """
+    others = cells.where("size > 2 and hub <> id")
+    labelled = stage(left_join(others.select("key", "id"), place.withColumnRenamed("node", "id"), ["id"]).select(
         "key", "id", F.coalesce("component", "id").alias("label")
     ), "labelled-cells")
     mixed = stage(
@@ -350,12 +362,22 @@ def cross_pairs(cells, place, known, kind):
         (F.col("own") == F.col("slice")).alias("home"),
     )
     found = filed.repartition("tree").sortWithinPartitions("tree", "id").mapInArrow(
-        _search, f"tree bigint, x {kind}, y {kind}"
+        _search, f"x {kind}, y {kind}, lx bigint, ly bigint"
     )
-    # A pair meets in every subtree of a shared shingle; the pairs of a group agree on few least ones.
-    return found.where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
-        F.min("tree").alias("tree")
+    # A pair meets in every subtree of a shared shingle.
+    pairs = stage(
+        found.where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
+            F.max(F.when(F.col("x") < F.col("y"), F.col("lx")).otherwise(F.col("ly"))).alias("la"),
+            F.max(F.when(F.col("x") < F.col("y"), F.col("ly")).otherwise(F.col("lx"))).alias("lb"),
+        ),
+        "cross-pairs",
     )
+    # Verified with the component that takes part in more pairs: its texts are then moved once for all of them.
+    busy = pairs.select(F.explode(F.array("la", "lb")).alias("l")).groupBy("l").agg(F.count("*").alias("n"))
+    busy = stage(busy, "busy-components")
+    for side in ("la", "lb"):
+        pairs = pairs.join(busy.select(F.col("l").alias(side), F.col("n").alias(f"n_{side}")), side)
+    return pairs.select("a", "b", F.expr("if(n_la > n_lb or (n_la = n_lb and la < lb), la, lb)").alias("tree"))
 
 
 def jaccard_links(docs, id_col="doc_id", text_col="text"):
@@ -366,8 +388,8 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     known = table.drop("keys")
     filed = table.where("id is not null").select("id", F.explode("keys").alias("key"))
     hubs = stage(
-        filed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-        .where("hub <> last").select("key", "hub"),
+        filed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("size"))
+        .where("hub <> last").select("key", "hub", "size"),
         "hubs",
     )
     cells = stage(filed.join(hubs, "key"), "cells")
@@ -382,7 +404,7 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     first = tried.where(same).select("a", "b").union(verified(texts, kind, open_pairs))
     first = stage(first.distinct(), "star-links")
     place = components(first)
-    crossed = stage(cross_pairs(cells, place, known, kind), "cross-pairs")
+    crossed = cross_pairs(cells, place, known, kind)
     # The components found so far stand for the first links.
     links = place.select(F.col("node").alias("a"), F.col("component").alias("b")).union(verified(texts, kind, crossed))
     return table.select("id", "n"), stage(links, "jaccard-links")

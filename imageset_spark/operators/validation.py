@@ -34,15 +34,16 @@ class ValidationResult(NamedTuple):
 def image_state(images, boxes, audit):
     """One row per id seen in any input: copies, label, audit result, box rows.
 
-    ``audit`` has one row per existing image file; no row means no file. Image
-    records without an id are counted like any other id, so that the ledger
-    names them.
+    ``audit`` has one row per existing image file; no row means no file. Boxes
+    may be deduplicated already, with their number of ``copies``. Image records
+    without an id are counted like any other id, so that the ledger names them.
     """
+    box_rows = F.col("copies") if "copies" in boxes.columns else F.lit(1)
 
     def part(df, **given):
         types = {
             "image": "int", "label": "int", "file": "int", "readable": "boolean",
-            "ndim": "int", "width": "int", "height": "int", "box": "int",
+            "ndim": "int", "width": "int", "height": "int", "box": "bigint",
         }
         columns = [
             given.get(name, F.lit(0 if name in ("image", "file", "box") else None))
@@ -58,7 +59,7 @@ def image_state(images, boxes, audit):
             part(audit, file=F.lit(1), readable=col("readable"), ndim=col("ndim"),
                  width=col("width"), height=col("height"))
         )
-        .unionByName(part(boxes, box=F.lit(1)))
+        .unionByName(part(boxes, box=box_rows))
     )
     return rows.groupBy("sample_id").agg(
         F.sum("image").alias("n_images"),
@@ -251,9 +252,13 @@ def removed_duplicates(unique_boxes):
 
 def validate_records(images, boxes, audit, order_col, rejections=None,
                      keep=lambda df, name: df):
-    """Run all checks. ``keep`` may stage the frames that several results share."""
-    state = keep(image_state(images, boxes, audit), "image-state")
-    judged = keep(judge_boxes(dedupe_boxes(boxes, order_col), state), "judged-boxes")
+    """Run all checks. ``keep`` may stage the frames that several results share.
+
+    ``boxes`` is read once: counts and geometry both work on the distinct boxes.
+    """
+    unique = keep(dedupe_boxes(boxes, order_col), "unique-boxes")
+    state = keep(image_state(images, unique, audit), "image-state")
+    judged = keep(judge_boxes(unique, state), "judged-boxes")
     geometry = keep(geometry_verdict(judged, order_col), "geometry")
     verdict = keep(image_verdict(state, geometry), "image-verdict")
     return ValidationResult(

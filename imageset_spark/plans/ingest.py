@@ -87,13 +87,12 @@ def ingest(labels, classes, audit, image_directory, order_col="row_seq",
     mapped = mapping.map_records(
         labels, classes, image_directory, source_dataset, order_col, verdict=verdict
     )
-    boxes = stage(mapped.boxes, "mapped-boxes")
     images = mapped.images
     if callable(audit):
         images = stage(images, "mapped-images")
         audit = stage(audit(images), "image-audit")
     checked = validation.validate_records(
-        images, boxes, audit, order_col, mapped.rejections, keep=stage
+        images, mapped.boxes, audit, order_col, mapped.rejections, keep=stage
     )
     return IngestResult(
         images=checked.images,

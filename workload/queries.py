@@ -49,8 +49,10 @@ def _state(spark, sf_dir):
 
 def _judged(spark, sf_dir, state=None):
     """Judged boxes of the records that skip the mapping stage."""
-    state = stage(_state(spark, sf_dir), "image-state") if state is None else state
-    unique = validation.dedupe_boxes(tables.direct_boxes(spark, sf_dir), "row_seq")
+    unique = stage(validation.dedupe_boxes(tables.direct_boxes(spark, sf_dir), "row_seq"), "unique-boxes")
+    if state is None:
+        images, headers = tables.direct_images(spark, sf_dir), tables.headers(spark, sf_dir)
+        state = stage(validation.image_state(images, unique, headers), "image-state")
     return validation.judge_boxes(unique, state)
 
 

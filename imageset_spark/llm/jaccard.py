@@ -46,11 +46,11 @@ SHINGLE = 5
 DIMS = 256
 FINE_GROUPS = 1 << 16
 LEAF, SLICE = 32, 4096
-#: Documents on one side of a block of pairs that are verified together.
-BLOCK = 512
+#: Shingles on one side of a block of pairs that are verified together.
+BLOCK = 1 << 20
 ID_BITS = 1 << 23
 _U = np.uint64
-_TAG = series(2, 31)
+_TAG = series(1, 31)[0]
 
 
 def needed(a, b):
@@ -107,7 +107,7 @@ def fine_ranks(texts):
 
 
 def points(texts, kind, ranks):
-    """One row per text: ``id``, size ``n``, digests, count vector ``vec``, fine coordinates ``keys``."""
+    """One row per text: ``id``, size ``n``, ``digest`` of the set, count vector ``vec``, fine coordinates ``keys``."""
 
     def run(batches):
         for batch in batches:
@@ -117,27 +117,24 @@ def points(texts, kind, ranks):
                 exact = np.bincount(group, minlength=n * DIMS)
                 vec = np.minimum(exact, 255).astype(np.uint8)
                 lost = (exact - vec).reshape(n, DIMS).sum(1)
-                digests = []
-                for tag in _TAG:
-                    total = np.concatenate((np.zeros(1, _U), np.cumsum(mix(values ^ tag))))
-                    edge = np.concatenate(([0], np.cumsum(sizes)))
-                    digests.append((total[edge[1:]] - total[edge[:-1]]).view(np.int64))
+                edge = np.concatenate(([0], np.cumsum(sizes)))
+                total = np.concatenate((np.zeros(1, _U), np.cumsum(mix(values ^ _TAG))))
+                digest = (total[edge[1:]] - total[edge[:-1]]).view(np.int64)
                 taken = np.where(sizes > 0, sizes - (3 * sizes + 3) // 4 + 1, 0)
                 place = np.arange(len(values)) - np.repeat(edge[:-1], sizes)
                 first = place < np.repeat(taken, sizes)
                 starts = np.concatenate(([0], np.cumsum(taken))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, n), pa.array(sizes.astype(np.int64)), pa.array(digests[0]),
-                     pa.array(digests[1]),
+                    [batch.column(0).slice(begin, n), pa.array(sizes.astype(np.int64)), pa.array(digest),
                      pa.array(lost),
                      pa.Array.from_buffers(pa.binary(), n, [
                          None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(DIMS)), pa.py_buffer(vec)]),
                      pa.ListArray.from_arrays(pa.array(starts), pa.array(values[first].view(np.int64)))],
-                    ["id", "n", "d1", "d2", "lost", "vec", "keys"],
+                    ["id", "n", "digest", "lost", "vec", "keys"],
                 )
 
     return texts.mapInArrow(
-        run, f"id {kind}, n bigint, d1 bigint, d2 bigint, lost bigint, vec binary, keys array<bigint>"
+        run, f"id {kind}, n bigint, digest bigint, lost bigint, vec binary, keys array<bigint>"
     )
 
 
@@ -191,9 +188,10 @@ def bounded(pairs, kind):
             vec = np.concatenate([matrix(table[f"{x}_vec"]) for x in "ab"])
             k = len(batch)
             left, _ = Points(*side, vec, np.arange(2 * k)).possible(np.arange(k), np.arange(k) + k)
-            yield batch.select(["a", "b"]).take(pa.array(left))
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "a_n", "b_n")]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "na", "nb"]).take(pa.array(left))
 
-    return pairs.mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.mapInArrow(run, f"a {kind}, b {kind}, na bigint, nb bigint")
 
 
 def _beside(pairs, side, table, columns):
@@ -254,13 +252,13 @@ def _compare(batches):
 
 
 def verified(texts, kind, pairs):
-    """The pairs (``tree``, ``a``, ``b``) whose texts are linked, as ``a``, ``b``.
+    """The pairs (``tree``, ``a``, ``b``, sizes ``na``, ``nb``) whose texts are linked, as ``a``, ``b``.
 
-    Pairs of one subtree are verified together, so that a text is moved once for
-    each block of about ``BLOCK`` documents and not once for each pair.
+    Pairs of one ``tree`` are verified together, so that a text is moved once for
+    each block, whose sides hold about ``BLOCK`` shingles, and not once for each pair.
     """
-    ids = pairs.select("tree", F.col("a").alias("id")).union(pairs.select("tree", "b")).distinct()
-    sides = ids.groupBy("tree").agg(F.ceil(F.count("*") / BLOCK).alias("sides"))
+    ids = pairs.select("tree", F.col("a").alias("id"), F.col("na").alias("n")).union(pairs.select("tree", "b", "nb"))
+    sides = ids.distinct().groupBy("tree").agg(F.ceil(F.sum("n") / BLOCK).alias("sides"))
     dealt = stage(pairs.join(sides, "tree").select(
         F.xxhash64("tree", F.pmod(F.xxhash64("a"), "sides"), F.pmod(F.xxhash64("b"), "sides")).alias("block"), "a", "b"
     ), "dealt-pairs")
@@ -320,8 +318,7 @@ def _search(batches):
         left, right = (np.concatenate(p) for p in zip(*found))
         ids = table["id"].combine_chunks()
         yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(left)), ids.take(pa.array(right)), pa.array(points.label[left]),
-             pa.array(points.label[right])], ["x", "y", "lx", "ly"],
+            [ids.take(pa.array(left)), ids.take(pa.array(right))], ["x", "y"]
         )
 
     held = None
@@ -362,22 +359,24 @@ def cross_pairs(cells, place, known, kind):
         (F.col("own") == F.col("slice")).alias("home"),
     )
     found = filed.repartition("tree").sortWithinPartitions("tree", "id").mapInArrow(
-        _search, f"x {kind}, y {kind}, lx bigint, ly bigint"
+        _search, f"x {kind}, y {kind}"
     )
     # A pair meets in every subtree of a shared shingle.
-    pairs = stage(
-        found.where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
-            F.max(F.when(F.col("x") < F.col("y"), F.col("lx")).otherwise(F.col("ly"))).alias("la"),
-            F.max(F.when(F.col("x") < F.col("y"), F.col("ly")).otherwise(F.col("lx"))).alias("lb"),
-        ),
-        "cross-pairs",
+    pairs = found.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    facts = left_join(known.select("id", "n"), place.withColumnRenamed("node", "id"), ["id"]).select(
+        "id", "n", F.coalesce("component", "id").alias("label")
     )
-    # Verified with the component that takes part in more pairs: its texts are then moved once for all of them.
-    busy = pairs.select(F.explode(F.array("la", "lb")).alias("l")).groupBy("l").agg(F.count("*").alias("n"))
-    busy = stage(busy, "busy-components")
+    pairs = _beside(_beside(stage(pairs, "cross-pairs"), "a", facts, ["n", "label"]), "b", facts, ["n", "label"])
+    pairs = stage(pairs.select(
+        "a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb"), F.col("a_label").alias("la"),
+        F.col("b_label").alias("lb"),
+    ), "measured-pairs")
+    # Components that meet often share their least neighbour; verified under it, their texts move about once.
+    both = pairs.select("la", "lb").union(pairs.select("lb", "la"))
+    least = stage(both.groupBy("la").agg(F.least(F.min("lb"), F.first("la")).alias("tree")), "least-neighbours")
     for side in ("la", "lb"):
-        pairs = pairs.join(busy.select(F.col("l").alias(side), F.col("n").alias(f"n_{side}")), side)
-    return pairs.select("a", "b", F.expr("if(n_la > n_lb or (n_la = n_lb and la < lb), la, lb)").alias("tree"))
+        pairs = pairs.join(least.select(F.col("la").alias(side), F.col("tree").alias(f"t_{side}")), side)
+    return pairs.select("a", "b", "na", "nb", F.xxhash64(F.least("t_la", "t_lb")).alias("tree"))
 
 
 def jaccard_links(docs, id_col="doc_id", text_col="text"):
@@ -388,14 +387,14 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     known = table.drop("keys")
     filed = table.where("id is not null").select("id", F.explode("keys").alias("key"))
     hubs = stage(
-        filed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("size"))
-        .where("hub <> last").select("key", "hub", "size"),
+        filed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size"))
+        .where("size > 1"),
         "hubs",
     )
     cells = stage(filed.join(hubs, "key"), "cells")
     stars = cells.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    tried = stage(_beside(_beside(stars, "a", known, ["d1", "d2", "n"]), "b", known, ["d1", "d2", "n"]), "star-pairs")
-    same = F.expr("a_n = b_n and a_d1 = b_d1 and a_d2 = b_d2")
+    tried = stage(_beside(_beside(stars, "a", known, ["digest", "n"]), "b", known, ["digest", "n"]), "star-pairs")
+    same = F.expr("a_n = b_n and a_digest = b_digest")
     near = F.expr("4 * a_n >= 3 * b_n and 4 * b_n >= 3 * a_n")
     open_pairs = tried.where(~same & near).select("a", "b")
     open_pairs = _beside(_beside(open_pairs, "a", known, ["n", "lost", "vec"]), "b", known, ["n", "lost", "vec"])

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 #: Bytes of text in one Arrow batch handed to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def fresh(df, *names):

@@ -3,14 +3,14 @@
 Texts arrive as Arrow string arrays. Their UTF-8 bytes lie one after another
 in one buffer, so words, lines and hashes come from a handful of array
 operations over a few megabytes, whatever the number of texts. Memory is
-about 60 bytes per byte of a chunk; a chunk holds ``CHUNK_BYTES``, or one text
+about 100 bytes per byte of a chunk; a chunk holds ``CHUNK_BYTES``, or one text
 if that is longer.
 """
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 SHINGLE = 5
 
 _U = np.uint64

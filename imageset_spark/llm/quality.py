@@ -14,6 +14,7 @@ named like an output column are replaced.
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 from .rows import bound_batches
@@ -95,7 +96,7 @@ def judge_documents(docs, text_col="text"):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             m = measure(texts)
-            m["_bytes"] = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            m["_bytes"] = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
             failed, kept = judge(m)
             columns = [pa.array(m[c].to_numpy(), pa.float64() if c == "ratio" else pa.int64()) for c in COLUMNS]
             columns += [pa.array(failed.to_numpy(bool)), pa.array(kept.to_numpy(bool))]

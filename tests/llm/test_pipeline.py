@@ -6,7 +6,7 @@ import pytest
 from samples import clashing, documents, odd_documents, prose
 from test_jaccard import edited
 from test_jaccard import model as components
-from test_quality import model as quality
+from test_quality_rules import model as quality
 
 import __spark_entry__ as entry
 import corpus_pipeline

@@ -1,17 +1,21 @@
 """Benchmark decontamination by canonical templates.
 
 Words are compared by their letters and digits, in lower case. A word with a
-digit becomes a number slot, a unit behind a number a unit slot, and a
-capitalised word inside a sentence a name slot. Windows of five template words
-are hashed and joined to those of the benchmark. A document is contaminated
-with an item if it holds three quarters or more of the item's different
-windows in alignments whose slots are consistent: a value of the item always
-stands for the same value of the document and the other way round. So copies
-are caught as well as questions with other numbers and names.
+digit and a number word become a number slot ("three" holds the value of "3"),
+a unit behind a number a unit slot, and a capitalised word inside a sentence a
+name slot. Windows of five template words are hashed and joined to those of the
+benchmark. A document is contaminated with an item if it holds three quarters or
+more of the item's different windows, each with consistent slots: within an
+alignment a value of the item stands for one value of the document among slots of
+a kind (the one with the most window slots), and windows with another are left
+out, not the alignment. Two values may become the same. So copies are caught as
+well as questions with other numbers and names.
 
 Only windows with two or more plain words count, as a row of numbers says
-nothing. The first word of an item opens a sentence there but maybe not in the
-document, so its window is looked for with that word as a name, too.
+nothing. A capitalised word that opens a sentence may be a name or not, so on both
+sides its windows are made with it as a plain word and as a name; of several such
+words in a window, with every choice. The window counts if it does with all of them
+plain.
 
 Documents are read once. A bitmap of the benchmark's windows, ``BITMAP_BITS``
 long whatever the benchmark's size, drops nearly all windows where they are
@@ -27,6 +31,7 @@ apart inside and reported once; empty tables match nothing.
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from imageset_spark.functions import stage
@@ -45,6 +50,15 @@ UNITS = (
     "minutes h hr hour hours day days week weeks month months year years dollar dollars cent cents euro euros pound "
     "pounds degree degrees kmh mph hz khz mhz w kw v a j kj cal kcal b kb mb gb tb"
 ).split()
+#: Words for whole numbers, as they are read here without hyphens.
+NUMBER_WORDS = dict(zip(
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
+    "eighteen nineteen".split(), range(20),
+))
+for _i, _tens in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2):
+    NUMBER_WORDS[_tens] = 10 * _i
+    NUMBER_WORDS |= {_tens + w: 10 * _i + n for w, n in list(NUMBER_WORDS.items())[1:10]}
+NUMBER_WORDS |= {"dozen": 12, "hundred": 100, "thousand": 1000, "million": 10**6, "billion": 10**9}
 _U = np.uint64
 NUMBER, NAME, UNIT = series(3, 11)
 SOLID = np.zeros(256, bool)
@@ -84,45 +98,92 @@ def words(chunk):
     return chunk.row[keep], hashes[keep], number[keep], (capital & ~number)[keep], opens[keep]
 
 
+def _word_hashes(texts):
+    _, data, offsets = next(chunks(pa.array(texts)))
+    return words(Chunk(data, offsets))[1]
+
+
 def _unit_hashes():
-    _, data, offsets = next(chunks(pa.array(UNITS)))
-    return np.unique(words(Chunk(data, offsets))[1])
+    return np.unique(_word_hashes(UNITS))
+
+
+def _number_hashes():
+    """Hashes of the number words in order, and of their digits."""
+    said = _word_hashes(list(NUMBER_WORDS))
+    order = np.argsort(said)
+    return said[order], _word_hashes([str(n) for n in NUMBER_WORDS.values()])[order]
+
 
+def template_windows(chunk, unit_hashes, variants=False, keep_hashes=None):
+    """(text, window hash, position, slot values) of the windows that count.
 
-def template_windows(chunk, unit_hashes, first_as_name=False):
-    """(text, window hash, position, slot values) of the windows that count."""
+    With ``variants`` also those with words that open a sentence as names;
+    ``keep_hashes`` filters hashes.
+    """
     row, value, number, capital, opens = words(chunk)
+    said, digits = _number_hashes()
+    place = np.minimum(np.searchsorted(said, value), len(said) - 1)
+    spoken = said[place] == value
+    value = np.where(spoken, digits[place], value)
+    number, capital = number | spoken, capital & ~spoken
     first = np.ones(len(row), bool)
     first[1:] = row[1:] != row[:-1]
-    name = capital & ~(opens & ~first) & ~first
-    if first_as_name:
-        name |= capital & first
+    opens = opens | first
     unit = np.zeros(len(row), bool)
     unit[1:] = number[:-1] & ~first[1:] & np.isin(value[1:], unit_hashes) & ~number[1:]
+    name = capital & ~opens & ~unit
+    either = capital & opens
     slot = number | name | unit
-    template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, value)))
-    held = np.where(slot, value, _U(0))
+    kind = np.where(number, NUMBER, np.where(unit, UNIT, NAME))
+    template = np.where(slot, kind, value)
+    # Values of different kinds of slots are never equal.
+    held = np.where(slot, value ^ kind, _U(0))
     hashes, at = windows(template, row, WINDOW)
     plain = _running(~slot)
     keep = plain[at + WINDOW] - plain[at] >= LEAST_PLAIN
     hashes, at = hashes[keep], at[keep]
     begins = np.flatnonzero(first)
-    pos = at - begins[np.searchsorted(begins, at, "right") - 1] if len(at) else at
-    slots = held[at[:, None] + np.arange(WINDOW)]
-    out = [(row[at], hashes, pos, slots)]
-    # Texts of fewer words: all of them are one window.
     count = np.diff(np.concatenate((begins, [len(row)])))
+    steps = np.arange(WINDOW)
+    out = []
+
+    def add(hashes, at, length, names):
+        """Windows of ``length`` words, of which those of the bits ``names`` are names."""
+        if keep_hashes is not None:
+            some = keep_hashes(hashes)
+            hashes, at = hashes[some], at[some]
+        pos = at - begins[np.searchsorted(begins, at, "right") - 1] if len(at) else at
+        words_at = np.minimum(at[:, None] + steps, max(len(row) - 1, 0))
+        slots = np.where((names >> steps) & 1 > 0, value[words_at] ^ NAME, held[words_at])
+        slots[:, length:] = 0
+        out.append((row[at], hashes, pos, slots))
+
+    def add_variants(at, length):
+        bits = sum((either[at + j].astype(np.int64) << j for j in range(length)), np.zeros(len(at), np.int64))
+        at, bits = at[bits > 0], bits[bits > 0]
+        for names in range(1, 1 << length) if len(at) else ():
+            some = at[bits & names == names]
+            if len(some):
+                total = np.full(len(some), _U(length if length < WINDOW else WINDOW * int(PLACES[15]) & ((1 << 64) - 1)))
+                for j in range(length):
+                    total += (np.full(len(some), NAME) if names >> j & 1 else template[some + j]) * PLACES[j]
+                add(mix(total), some, length, names)
+
+    add(hashes, at, WINDOW, 0)
+    if variants:
+        add_variants(at, WINDOW)
+    # Texts of fewer words: all of them are one window.
     for i in np.flatnonzero(count < WINDOW) if len(begins) else ():
-        a, n = begins[i], count[i]
+        a, n = begins[i], int(count[i])
         if plain[a + n] - plain[a] >= min(n, LEAST_PLAIN):
             total = (template[a : a + n] * PLACES[:n]).sum(dtype=_U, keepdims=True) + np.array([n], _U)
-            filled = np.zeros((1, WINDOW), _U)
-            filled[0, :n] = held[a : a + n]
-            out.append((row[a : a + 1], mix(total), np.zeros(1, np.int64), filled))
+            add(mix(total), np.array([a]), n, 0)
+            if variants:
+                add_variants(np.array([a]), n)
     return [np.concatenate(part) for part in zip(*out)]
 
 
-def _windows_frame(rows, text_col, keep, variants=False):
+def _windows_frame(rows, text_col, keep):
     """Windows of the texts of ``rows``, with its other columns; ``keep`` filters hashes."""
     bound_batches(rows.sparkSession)
     others = [f for f in rows.schema.fields if f.name != text_col]
@@ -134,24 +195,17 @@ def _windows_frame(rows, text_col, keep, variants=False):
             texts = batch.column(batch.schema.get_field_index(text_col))
             for begin, data, offsets in chunks(texts):
                 chunk = Chunk(data, offsets)
-                for as_name in (False, True) if variants else (False,):
-                    row, hashes, pos, slots = template_windows(chunk, unit_hashes, as_name)
-                    if as_name:
-                        some = pos == 0
-                        row, hashes, pos, slots = row[some], hashes[some], pos[some], slots[some]
-                    if keep is not None:
-                        some = keep(hashes)
-                        row, hashes, pos, slots = row[some], hashes[some], pos[some], slots[some]
-                    taken = pa.array(row + begin)
-                    columns = [batch.column(batch.schema.get_field_index(f.name)).take(taken) for f in others]
-                    lists = pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(row) + 1, dtype=np.int32) * WINDOW),
-                        pa.array(np.ascontiguousarray(slots).reshape(-1).view(np.int64)),
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [*columns, pa.array(hashes.view(np.int64)), pa.array(pos.astype(np.int64)), lists],
-                        [*[f.name for f in others], "wh", "pos", "slots"],
-                    )
+                row, hashes, pos, slots = template_windows(chunk, unit_hashes, True, keep)
+                taken = pa.array(row + begin)
+                columns = [batch.column(batch.schema.get_field_index(f.name)).take(taken) for f in others]
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(row) + 1, dtype=np.int32) * WINDOW),
+                    pa.array(np.ascontiguousarray(slots).reshape(-1).view(np.int64)),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(hashes.view(np.int64)), pa.array(pos.astype(np.int64)), lists],
+                    [*[f.name for f in others], "wh", "pos", "slots"],
+                )
 
     return rows.mapInArrow(run, schema)
 
@@ -175,7 +229,7 @@ def find_leaks(docs, benchmark, id_col="doc_id", text_col="text", item_col="item
     items = benchmark.select(
         F.col(item_col).alias("item"), text_key(item_text_col).alias("it"), F.col(item_text_col).alias("text")
     ).dropDuplicates(["item", "it"])
-    known = stage(_windows_frame(items, "text", None, variants=True), "benchmark-windows")
+    known = stage(_windows_frame(items, "text", None), "benchmark-windows")
     bits = bitmap(known)
 
     def keep(hashes):
@@ -183,8 +237,8 @@ def find_leaks(docs, benchmark, id_col="doc_id", text_col="text", item_col="item
         return (bits[at >> _U(6)] >> (at & _U(63))) & _U(1) > 0
 
     texts = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("t"), F.col(text_col).alias("text"))
-    hits = stage(_windows_frame(texts, "text", keep), "window-hits").dropDuplicates(["id", "t", "pos"])
-    # Window number: the variant of the first window counts as that window.
+    hits = stage(_windows_frame(texts, "text", keep), "window-hits").dropDuplicates(["id", "t", "pos", "wh"])
+    # Window number: the variants of a window count as that window.
     first = known.groupBy("item", "it", "pos").agg(F.min("wh").alias("w"))
     numbered = known.join(first, ["item", "it", "pos"])
     size = numbered.groupBy("item", "it").agg(F.count_distinct("w").alias("n"))
@@ -206,23 +260,28 @@ def find_leaks(docs, benchmark, id_col="doc_id", text_col="text", item_col="item
     aligned = aligned.join(
         items_of, aligned["item"].eqNullSafe(items_of["k_item"]) & (aligned["it"] == items_of["k_it"])
         & (aligned["wh"] == items_of["k_wh"]),
-    ).select(*key, (F.col("pos") - F.col("ipos")).alias("delta"), "w", "n", "slots", "islots")
-    slots = (
-        aligned.select(*key, "delta", F.explode(F.arrays_zip("islots", "slots")).alias("s"))
-        .where("s.slots <> 0 or s.islots <> 0")
-        .select(*key, "delta", F.col("s.islots").alias("a"), F.col("s.slots").alias("b")).distinct()
-        .groupBy(*key, "delta").agg(
-            F.count("*").alias("both"), F.count_distinct("a").alias("na"), F.count_distinct("b").alias("nb"),
-            F.count_if(F.col("a") != F.col("b")).alias("changed"),
-        )
+    ).select(*key, (F.col("pos") - F.col("ipos")).alias("delta"), "ipos", "wh", "w", "n", F.explode_outer(
+        F.filter(F.arrays_zip("islots", "slots"), lambda s: (s["islots"] != 0) | (s["slots"] != 0))
+    ).alias("s")).select("*", F.col("s.islots").alias("a"), F.col("s.slots").alias("b")).drop("s")
+    # A value of the item stands for the value of the document that most window slots give it.
+    support = aligned.withColumn("support", F.count("*").over(W.partitionBy(*key, "delta", "a", "b")))
+    chosen = F.max(F.struct("support", "b")).over(W.partitionBy(*key, "delta", "a"))["b"]
+    changed = F.max(F.coalesce(F.col("a") != F.col("b"), F.lit(False))).over(W.partitionBy(*key, "delta"))
+    judged = support.withColumns({"chosen": chosen, "changed": changed}).groupBy(*key, "delta", "ipos", "wh").agg(
+        F.first("w").alias("w"), F.first("n").alias("n"), F.first("changed").alias("changed"),
+        F.count_if(F.col("b") != F.col("chosen")).alias("other"),
+    ).where("other = 0")
+    per_delta = judged.groupBy(*key, "delta").agg(
+        F.collect_set("w").alias("ws"), F.first("n").alias("n"), F.first("changed").alias("changed")
     )
-    per_delta = aligned.groupBy(*key, "delta").agg(F.collect_set("w").alias("ws"), F.first("n").alias("n"))
-    judged = left_join(per_delta, slots, [*key, "delta"]).where("both is null or (both = na and both = nb)")
+    # Chance alignments of a few windows say nothing about the values of one that holds the item.
+    whole = F.when(F.size("ws") >= contained * F.col("n"), F.col("changed"))
     return (
-        judged.select(*key, "n", F.coalesce("changed", F.lit(0)).alias("changed"), F.explode("ws").alias("w"))
-        .groupBy(*key).agg(F.count_distinct("w").alias("found"), F.first("n").alias("n"), F.max("changed").alias("c"))
+        per_delta.select(*key, "n", "changed", whole.alias("whole"), F.explode("ws").alias("w"))
+        .groupBy(*key).agg(F.count_distinct("w").alias("found"), F.first("n").alias("n"),
+                           F.coalesce(F.max("whole"), F.max("changed")).alias("changed"))
         .where(F.col("found") >= contained * F.col("n"))
-        .select("id", "t", "item", (F.col("found") / F.col("n")).alias("contained"), (F.col("c") > 0).alias("changed"))
+        .select("id", "t", "item", (F.col("found") / F.col("n")).alias("contained"), "changed")
     )
 
 

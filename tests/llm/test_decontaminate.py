@@ -78,3 +78,20 @@ def test_odd_rows(spark):
     got = D.leak_report(documents(spark, twice), benchmark(spark, items)).collect()
     assert [r["items"] for r in got] == ["2"] * 4
     assert D.drop_leaks(documents(spark, twice), benchmark(spark)).collect() == []
+
+
+def test_names_that_open_sentences_and_number_words_are_slots(spark):
+    item = "Alice has 5 apples. Bob has three apples. How many apples do they have together?"
+    other = "Carol has 7 apples. Dan has eight apples. How many apples do they have together?"
+    inside = "we read that Carol has 7 apples and more. " + prose(9, 4)
+    got = found(spark, [around(other, 1), "so " + other, other.replace("eight", "8"), inside, around(item, 2)], [(0, item)])
+    assert [got[i] for i in range(5)] == [("0", True)] * 3 + [("", False), ("0", False)]
+
+
+def test_only_inconsistent_windows_are_discarded(spark):
+    # Two values become one; and one value of a long item becomes two.
+    short = "Alice has 5 apples and Bob has 3 apples. How many apples do they have together?"
+    long = "we count 3 pears at noon " + prose(40, 601) + " we count 3 plums later on " + prose(9, 602)
+    texts = [around(short.replace("5", "4").replace("3", "4"), 1), around(long.replace("3 pears", "8 pears"), 2)]
+    got = found(spark, texts, [(0, short), (1, long)])
+    assert [got[i] for i in range(2)] == [("0", True), ("1", True)]

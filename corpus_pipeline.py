@@ -3,7 +3,7 @@
 Each stage takes what its predecessor kept, as a written table. All but the
 last return the columns of ``documents``; the last adds ``size``, ``shard`` and
 ``slot``. Empty tables pass through; rows with null text fail the quality rules;
-rows without id are never duplicates of others; null sources are mixed as the
+rows without id are duplicates like any others; null sources are mixed as the
 last source.
 """
 

@@ -25,10 +25,13 @@ points, cut in slices of ``SLICE`` points so that a large subtree is many tasks)
 and only pairs of different components that pass the bound are verified. Two
 documents with the same component need no link between them.
 
+The join runs on nodes: a 64-bit hash of id and text, so rows without id take part
+and texts of one id are told apart. A component is named by its smallest id.
+
 Defined results: null, empty and blank texts have an empty set and link with
-nothing; rows without id link with nothing and have a null component; rows that
-share an id are one document of several texts; empty tables give empty results;
-only the columns below are returned.
+nothing; a component of rows without id only is null; rows of one id and text are
+one document, also those without id; empty tables give empty results; only the
+columns below are returned.
 """
 
 import numpy as np
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 from imageset_spark.functions import stage
 
 from .components import components
-from .rows import bound_batches, fresh, left_join
+from .rows import bound_batches, fresh, left_join, text_key, text_of
 from .text import Chunk, chunks, mix, series
 
 SHINGLE = 5
@@ -49,6 +52,7 @@ LEAF, SLICE = 32, 4096
 #: Shingles on one side of a block of pairs that are verified together.
 BLOCK = 1 << 20
 ID_BITS = 1 << 23
+WORD = r"[^\x20\x09-\x0D]"
 _U = np.uint64
 _TAG = series(1, 31)[0]
 
@@ -82,9 +86,14 @@ def shingle_sets(texts, ranks=None):
         yield begin, np.bincount(row, minlength=chunk.rows), values[new], row
 
 
+def _node(id_col, text_col):
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), text_key(text_col))
+
+
 def _texts(docs, id_col, text_col):
-    kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), kind
+    """Node as ``id``, text and document id ``doc`` of all rows, and whether any node repeats."""
+    texts = docs.select(_node(id_col, text_col).alias("id"), F.col(text_col).alias("text"), F.col(id_col).alias("doc"))
+    return texts, not texts.groupBy("id").count().where("count > 1").isEmpty()
 
 
 def fine_ranks(texts):
@@ -106,8 +115,8 @@ def fine_ranks(texts):
     return ranks
 
 
-def points(texts, kind, ranks):
-    """One row per text: ``id``, size ``n``, ``digest`` of the set, count vector ``vec``, fine coordinates ``keys``."""
+def points(texts, ranks):
+    """One row per text: ``id``, ``doc``, size ``n``, ``digest`` of the set, count vector ``vec``, fine coordinates ``keys``."""
 
     def run(batches):
         for batch in batches:
@@ -125,16 +134,16 @@ def points(texts, kind, ranks):
                 first = place < np.repeat(taken, sizes)
                 starts = np.concatenate(([0], np.cumsum(taken))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, n), pa.array(sizes.astype(np.int64)), pa.array(digest),
+                    [batch.column(0).slice(begin, n), batch.column(2).slice(begin, n), pa.array(sizes.astype(np.int64)), pa.array(digest),
                      pa.array(lost),
                      pa.Array.from_buffers(pa.binary(), n, [
                          None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(DIMS)), pa.py_buffer(vec)]),
                      pa.ListArray.from_arrays(pa.array(starts), pa.array(values[first].view(np.int64)))],
-                    ["id", "n", "digest", "lost", "vec", "keys"],
+                    ["id", "doc", "n", "digest", "lost", "vec", "keys"],
                 )
 
     return texts.mapInArrow(
-        run, f"id {kind}, n bigint, digest bigint, lost bigint, vec binary, keys array<bigint>"
+        run, f"id bigint, doc {dict(texts.dtypes)['doc']}, n bigint, digest bigint, lost bigint, vec binary, keys array<bigint>"
     )
 
 
@@ -178,7 +187,7 @@ class Points:
         return [np.concatenate(p) for p in zip(*parts)]
 
 
-def bounded(pairs, kind):
+def bounded(pairs):
     """The pairs, with columns of :func:`_beside`, that pass the bound."""
 
     def run(batches):
@@ -191,7 +200,7 @@ def bounded(pairs, kind):
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "a_n", "b_n")]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "na", "nb"]).take(pa.array(left))
 
-    return pairs.mapInArrow(run, f"a {kind}, b {kind}, na bigint, nb bigint")
+    return pairs.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint")
 
 
 def _beside(pairs, side, table, columns):
@@ -199,8 +208,8 @@ def _beside(pairs, side, table, columns):
     return pairs.join(table.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
 
 
-def _picked(texts, kind, ids):
-    """Packed texts that may be among ``ids``: a bitmap of a fixed size keeps most others out of the shuffles."""
+def _picked(texts, repeats, ids):
+    """Packed texts that may be among ``ids``, one of each: a bitmap of a fixed size keeps most others out of the shuffles."""
     bit = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
     words = ids.groupBy(F.shiftright(bit, 6).alias("w")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, int(pmod(xxhash64(id), {ID_BITS}) & 63))")).alias("b")
@@ -218,7 +227,8 @@ def _picked(texts, kind, ids):
             packed = [packer.compress(t.as_buffer()) if t.is_valid else None for t in batch.column(1).filter(some)]
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), pa.array(packed, pa.binary())], ["id", "text"])
 
-    return texts.where("id is not null").select("id", "text", bit.alias("bit")).mapInArrow(pick, f"id {kind}, text binary")
+    picked = texts.select("id", "text", bit.alias("bit")).mapInArrow(pick, "id bigint, text binary")
+    return stage(picked.dropDuplicates(["id"]), "picked-texts") if repeats else picked
 
 
 def _compare(batches):
@@ -251,7 +261,7 @@ def _compare(batches):
         )
 
 
-def verified(texts, kind, pairs):
+def verified(texts, repeats, pairs):
     """The pairs (``tree``, ``a``, ``b``, sizes ``na``, ``nb``) whose texts are linked, as ``a``, ``b``.
 
     Pairs of one ``tree`` are verified together, so that a text is moved once for
@@ -264,11 +274,11 @@ def verified(texts, kind, pairs):
     ), "dealt-pairs")
     members = dealt.select("block", F.col("a").alias("id")).union(dealt.select("block", "b")).distinct()
     none = F.lit(None)
-    rows = members.join(_picked(texts, kind, members), "id").select(
-        "block", F.lit(0).alias("part"), "id", none.cast(kind).alias("other"), "text"
+    rows = members.join(_picked(texts, repeats, members), "id").select(
+        "block", F.lit(0).alias("part"), "id", none.cast("bigint").alias("other"), "text"
     ).union(dealt.select("block", F.lit(1), "a", "b", none.cast("binary")))
     placed = rows.repartition("block").sortWithinPartitions("block", "part", "id")
-    return placed.mapInArrow(_compare, f"a {kind}, b {kind}")
+    return placed.mapInArrow(_compare, "a bigint, b bigint")
 
 
 def tree_pairs(points, home):
@@ -334,7 +344,7 @@ def _search(batches):
         yield from searched(held)
 
 
-def cross_pairs(cells, place, known, kind):
+def cross_pairs(cells, place, known):
     """Candidate pairs of different components that meet in a subtree.
 
     All pairs with a subtree's hub have been tried, so the hub is left out, and
@@ -359,7 +369,7 @@ def cross_pairs(cells, place, known, kind):
         (F.col("own") == F.col("slice")).alias("home"),
     )
     found = filed.repartition("tree").sortWithinPartitions("tree", "id").mapInArrow(
-        _search, f"x {kind}, y {kind}"
+        _search, "x bigint, y bigint"
     )
     # A pair meets in every subtree of a shared shingle.
     pairs = found.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -380,12 +390,13 @@ def cross_pairs(cells, place, known, kind):
 
 
 def jaccard_links(docs, id_col="doc_id", text_col="text"):
-    """(sizes, links): one row per text with ``id`` and ``n``, and links ``a``, ``b`` that span all components."""
+    """(sizes, links): one row per text with ``id`` (its node), ``doc`` and ``n``, and links ``a``, ``b`` of nodes that span all components."""
     bound_batches(docs.sparkSession)
-    texts, kind = _texts(docs, id_col, text_col)
-    table = stage(points(texts, kind, fine_ranks(texts)), "points")
-    known = table.drop("keys")
-    filed = table.where("id is not null").select("id", F.explode("keys").alias("key"))
+    texts, repeats = _texts(docs, id_col, text_col)
+    table = stage(points(texts, fine_ranks(texts)), "points")
+    single = stage(table.dropDuplicates(["id"]), "single-points") if repeats else table
+    known = single.drop("keys", "doc")
+    filed = single.select("id", F.explode("keys").alias("key"))
     hubs = stage(
         filed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size"))
         .where("size > 1"),
@@ -398,31 +409,51 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     near = F.expr("4 * a_n >= 3 * b_n and 4 * b_n >= 3 * a_n")
     open_pairs = tried.where(~same & near).select("a", "b")
     open_pairs = _beside(_beside(open_pairs, "a", known, ["n", "lost", "vec"]), "b", known, ["n", "lost", "vec"])
-    open_pairs = bounded(open_pairs, kind).distinct().withColumn("tree", F.xxhash64("a"))
+    open_pairs = bounded(open_pairs).distinct().withColumn("tree", F.xxhash64("a"))
     open_pairs = stage(open_pairs, "open-pairs")
-    first = tried.where(same).select("a", "b").union(verified(texts, kind, open_pairs))
+    first = tried.where(same).select("a", "b").union(verified(texts, repeats, open_pairs))
     first = stage(first.distinct(), "star-links")
     place = components(first)
-    crossed = cross_pairs(cells, place, known, kind)
+    crossed = cross_pairs(cells, place, known)
     # The components found so far stand for the first links.
-    links = place.select(F.col("node").alias("a"), F.col("component").alias("b")).union(verified(texts, kind, crossed))
-    return table.select("id", "n"), stage(links, "jaccard-links")
+    links = place.select(F.col("node").alias("a"), F.col("component").alias("b")).union(verified(texts, repeats, crossed))
+    return table.select("id", "doc", "n"), stage(links, "jaccard-links")
+
+
+def _placed(sizes, links):
+    """(``id``, ``component``, ``least``, ``kept``) of all linked nodes: the component's smallest document id, and its node that stays."""
+    place = components(links).select(F.col("node").alias("id"), "component")
+    named = place.join(sizes.select("id", "doc"), "id").groupBy("component").agg(
+        # Null is greater than all ids here.
+        F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "id")).alias("first")
+    )
+    named = stage(named, "named-components")
+    return stage(place.join(named, "component").select(
+        "id", "component", F.col("first.doc").alias("least"), F.col("first.id").alias("kept")), "placed")
 
 
 def jaccard_components(docs, id_col="doc_id", text_col="text"):
     """One row per document: id, ``n_shingles`` and ``component_id`` (the smallest id it reaches)."""
     sizes, links = jaccard_links(docs, id_col, text_col)
-    place = components(links).select(F.col("node").alias("id"), "component")
-    return left_join(sizes, place, ["id"]).select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
+    return left_join(sizes, _placed(sizes, links), ["id"]).select(
+        F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "doc").alias("component_id")
     )
 
 
 def drop_near_duplicates(docs, id_col="doc_id", text_col="text"):
-    """One document of each component stays, the one of the smallest id; rows without id stay."""
-    place, = fresh(docs, "_component")
-    _, links = jaccard_links(docs, id_col, text_col)
-    found = components(links).where("node <> component").select(
-        F.col("node").alias(id_col), F.col("component").alias(place)
+    """One document of each component stays, the one of the smallest id.
+
+    Of rows without id that repeat a text one stays; rows that repeat id and text are one document.
+    """
+    node, gone = fresh(docs, "_node", "_gone")
+    found = _placed(*jaccard_links(docs, id_col, text_col)).where("id <> kept").select(
+        F.col("id").alias(node), F.lit(True).alias(gone)
     )
-    return left_join(docs, found, [id_col]).where(F.col(place).isNull()).select(*docs.columns)
+    found = stage(found, "near-copies")
+    nameless = F.col(id_col).isNull() & text_of(text_col).rlike(WORD)
+    keyed = docs.withColumn(node, _node(id_col, text_col))
+
+    def kept(rows):
+        return left_join(rows, found, [node]).where(F.col(gone).isNull()).select(*docs.columns, node)
+
+    return kept(keyed.where(~nameless)).union(kept(keyed.where(nameless)).dropDuplicates([node])).select(*docs.columns)

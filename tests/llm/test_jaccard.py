@@ -114,6 +114,22 @@ def test_odd_rows(spark):
     assert J.jaccard_components(empty).collect() == [] and J.drop_near_duplicates(empty).collect() == []
 
 
+def test_rows_without_id_and_texts_of_one_id(spark):
+    w = prose(120, 31).split(" ")
+    part = lambda a: " ".join(w[a : a + 90])
+    rows = [(1, part(0)), (None, part(8)), (2, part(16)), (None, part(8)), (3, prose(50, 32)), (3, prose(70, 33)),
+            (4, prose(70, 33)), (None, prose(60, 34)), (None, prose(60, 34) + " end"), (None, ""), (None, ""), (5, prose(55, 35))]
+    docs = documents(spark, rows)
+    out = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(docs).collect()), key=str)
+    shared = [1, 1, 1, 1, 3, 3, 3, None, None, None, None, 5]
+    assert out == sorted(((i, len(shingles(t)), c) for (i, t), c in zip(rows, shared)), key=str)
+    kept = [(r.doc_id, r.text) for r in J.drop_near_duplicates(docs).collect()]
+    # One text of each component, the unique text of 3 too; blank texts are no copies.
+    assert sorted(k for k in kept if k[0]) == [rows[0], *sorted(rows[4:6]), rows[11]]
+    nameless = [t for i, t in kept if i is None]
+    assert len(nameless) == 3 and nameless.count("") == 2
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "random"])
 def test_components_of_graphs(spark, shape):
     rng = random.Random(shape)

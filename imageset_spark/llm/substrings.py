@@ -12,13 +12,13 @@ Chunks are deduplicated by 64-bit digest. Consecutive chunks that some other
 document has too form a run. A run of ``LEAST_RUN`` words or more is a
 repeated passage if, with the chunks around it, which the passage may reach
 into, it can be longer than ``PASSAGE`` words. One chance collision of digests
-cannot make a run. The first holder of a chunk is the document of lowest id;
-``later`` passages are those that begin in another document.
+cannot make a run. The first holder of a chunk is the document of lowest id, and of
+lowest text key among texts of one id; ``later`` passages are those that begin in another document.
 
-Defined results: null and empty texts have no chunks; rows without id are one
-document; rows of one id and text are one document, rows of one id and
-different texts are told apart but do not count as other documents; empty
-tables give empty results; only the columns below are returned.
+Defined results: null and empty texts have no chunks; each row without id is a
+document of its own; rows of one id and text are one document, rows of one id
+and different texts are different documents; empty tables give empty results;
+only the columns below are returned.
 """
 
 import numpy as np
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from imageset_spark.functions import stage
 
-from .rows import bound_batches, fresh, left_join, text_of
+from .rows import bound_batches, fresh, left_join, text_key
 from .text import Chunk, chunks, series
 
 GEAR = (series(256, 21) & np.uint64(0xFFFF)).astype(np.uint16)
@@ -109,16 +109,24 @@ def cut(texts):
         yield row + begin, chunk.spans(start, stop), points[start] - base, points[stop] - base, words, around
 
 
-def chunk_table(docs, id_col="doc_id", text_col="text"):
-    """One row per chunk: ``id``, ``t`` (checksum of the text), digest, span, words.
+def keyed_documents(docs, id_col, text_col, key, t):
+    """``docs`` with the document key: ``key`` (id, ``NO_ID`` if there is none) and ``t`` (text key, else the row).
+
+    Rows without id are written, so that their row numbers stay.
+    """
+    number = F.col(id_col).cast("bigint")
+    nameless = stage(docs.where(number.isNull()).withColumn(t, F.monotonically_increasing_id()), "rows-without-id")
+    named = docs.where(number.isNotNull()).withColumns({key: number, t: text_key(text_col)})
+    return named.unionByName(nameless.withColumn(key, F.lit(NO_ID)))
+
+
+def chunk_table(keyed):
+    """One row per chunk of texts ``id``, ``t``, ``text``: document key, digest, span, words.
 
     ``around`` packs the words of the chunks before and behind.
     """
-    bound_batches(docs.sparkSession)
-    rows = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"),
-        F.crc32(text_of(text_col)).alias("t"), F.col(text_col).alias("text"),
-    )
+    bound_batches(keyed.sparkSession)
+    rows = keyed.select("id", "t", "text")
 
     def run(batches):
         for batch in batches:
@@ -133,11 +141,12 @@ def chunk_table(docs, id_col="doc_id", text_col="text"):
     return rows.mapInArrow(run, f"id bigint, t bigint, {CHUNK_COLUMNS}")
 
 
-def repeated_passages(docs, id_col="doc_id", text_col="text", least_run=LEAST_RUN, passage=PASSAGE):
-    """One row per repeated passage: id, ``t``, start, stop (code points), words, ``later``."""
-    table = chunk_table(docs, id_col, text_col)
+def repeated_passages(keyed, least_run=LEAST_RUN, passage=PASSAGE):
+    """One row per repeated passage of texts ``id``, ``t``, ``text``: id, ``t``, start, stop (code points), words, ``later``."""
+    table = chunk_table(keyed)
+    holder = F.struct("id", "t")
     shared = stage(
-        table.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        table.groupBy("digest").agg(F.min(holder).alias("first"), F.max(holder).alias("last"))
         .where("first <> last").select("digest", "first"),
         "shared-chunks",
     )
@@ -154,7 +163,7 @@ def repeated_passages(docs, id_col="doc_id", text_col="text", least_run=LEAST_RU
         .groupBy("id", "t", "run").agg(
             F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words"),
             F.min_by("around", "start").alias("head"), F.max_by("around", "start").alias("tail"),
-            F.max(F.col("first") != F.col("id")).alias("later"),
+            F.max(F.col("first") != F.struct("id", "t")).alias("later"),
         )
     )
     reach = F.col("words") + F.shiftright("head", 16) + F.col("tail").bitwiseAND(0xFFFF)
@@ -171,17 +180,16 @@ def passage_report(docs, id_col="doc_id", text_col="text", **options):
     def joined(entries):
         return F.array_join(F.transform(F.sort_array(entries), lambda e: e["span"]), ",")
 
-    found = repeated_passages(docs, id_col, text_col, **options).groupBy("id", "t").agg(
+    keyed = keyed_documents(
+        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")), "_id", "text", "id", "t"
+    )
+    found = repeated_passages(keyed, **options).groupBy("id", "t").agg(
         F.count("*").alias("n_passages"), F.sum("words").alias("repeated_words"),
         joined(F.collect_list(entry)).alias("passages"),
         joined(F.collect_list(F.when(F.col("later"), entry))).alias("later_passages"),
     )
-    keyed = docs.select(
-        F.col(id_col).alias("_id"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"),
-        F.crc32(text_of(text_col)).alias("t"),
-    )
     zero, none = F.lit(0).cast("bigint"), F.lit("")
-    return left_join(keyed, stage(found, "passages"), ["id", "t"]).select(
+    return left_join(keyed.select("_id", "id", "t"), stage(found, "passages"), ["id", "t"]).select(
         F.col("_id").alias(id_col), F.coalesce("n_passages", zero).alias("n_passages"),
         F.coalesce("repeated_words", zero).alias("repeated_words"), F.coalesce("passages", none).alias("passages"),
         F.coalesce("later_passages", none).alias("later_passages"),
@@ -191,12 +199,11 @@ def passage_report(docs, id_col="doc_id", text_col="text", **options):
 def drop_repeats(docs, id_col="doc_id", text_col="text", **options):
     """The documents without their later passages, with the columns they came with."""
     key, t, spans, marks = fresh(docs, "_key", "_t", "_spans", "_marks")
-    found = repeated_passages(docs, id_col, text_col, **options).where("later").groupBy("id", "t").agg(
+    keyed = keyed_documents(docs, id_col, text_col, key, t)
+    texts = keyed.select(F.col(key).alias("id"), F.col(t).alias("t"), F.col(text_col).alias("text"))
+    found = repeated_passages(texts, **options).where("later").groupBy("id", "t").agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias(spans)
     ).select(F.col("id").alias(key), F.col("t").alias(t), spans)
-    keyed = docs.withColumns({
-        key: F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)), t: F.crc32(text_of(text_col))
-    })
     # Where a kept piece starts and the next later passage begins, by turns.
     edges = F.concat(
         F.array(F.lit(0)), F.flatten(F.transform(spans, lambda s: F.array(s["start"], s["stop"]))),

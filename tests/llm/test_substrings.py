@@ -84,3 +84,16 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count()
     empty = clashing(documents(spark, []))
     assert S.passage_report(empty).collect() == [] and S.drop_repeats(empty).collect() == []
+
+
+def test_rows_without_id_and_texts_of_one_id_are_holders(spark):
+    shared, copy, own = prose(80, 61), prose(120, 62), prose(90, 63)
+    rows = [(None, prose(60, 64) + " " + shared), (None, prose(60, 65) + " " + shared), (None, copy), (None, copy),
+            (1, prose(60, 66) + " " + own), (1, prose(60, 67) + " " + own), (2, prose(100, 68)), (2, prose(100, 68))]
+    docs = documents(spark, rows)
+    out = S.passage_report(docs).collect()
+    assert sorted((str(r.doc_id), r.n_passages, r.later_passages != "") for r in out) == sorted(
+        [("None", 1, False), ("None", 1, True)] * 2 + [("1", 1, False), ("1", 1, True)] + [("2", 0, False)] * 2)
+    kept = [r.text for r in S.drop_repeats(docs).collect()]
+    assert sum(copy == t for t in kept) == 1 and len(kept) == len(rows)
+    assert sum(shared[30:-30] in t for t in kept) == 1 and sum(own[30:-30] in t for t in kept) == 1

@@ -4,8 +4,9 @@ A mixture takes ``share`` times the words of the corpus. Targets follow the
 weights of the sources, stop at ``most`` times a source's size, and what is cut
 off is shared again by weight until no source is above. The words to take are
 cut in blocks of ``block`` words, and blocks go to sources by the highest
-quotients target/(2k+1). The order in which blocks are handed out also gives
-every shard its integer quota of each source.
+quotients target/(2k+1). The order in which blocks are handed out would also give
+every shard its integer quota of each source (:func:`shard_quotas`); the mixture
+does not use them, it takes one quota of each source for the whole corpus.
 
 Documents of a source lie on a line in seeded order, which is cut in the same
 blocks. A source that gets ``q`` of its ``m`` blocks takes the whole line

@@ -144,11 +144,18 @@ def _siblings(k, fanout):
 
 
 def _descend(levels, above, fanout, every):
-    """Members of the lowest subtrees with the siblings on their whole way up, from those of the trees' tops."""
-    carried = [c for c in above.columns if c not in ("grp", "block", "siblings")]
+    """Members of the lowest subtrees with the siblings on their whole way up, from those of the trees' tops.
+
+    Without ``above`` the one top is the root.
+    """
+    carried = [c for c in above.columns if c not in ("grp", "block", "siblings")] if above is not None else ["root"]
     for subtrees in reversed(levels):
         nodes = [f"level_{k}" for k in range(every)]
-        met = _interior(subtrees, fanout, every).join(above, ["grp", "block"])
+        met = _interior(subtrees, fanout, every)
+        if above is None:
+            met = met.withColumns({"root": F.element_at(f"level_{every}", 1), "siblings": _no_siblings()})
+        else:
+            met = met.join(above, ["grp", "block"])
         rows = met.select(
             "grp", "siblings", *carried, "alone", *nodes, F.posexplode("members").alias("i", "member")
         )
@@ -168,11 +175,7 @@ def proofs(manifest):
     """One row for each row of the table: ``id``, ``leaf``, what was kept beside it, ``subroot``, ``root`` and
     ``siblings``: for each level up to the root, the digests ``left`` and ``right`` of it in its run.
     """
-    start = root(manifest).select(
-        F.lit("").alias("grp"), F.lit(0).cast("bigint").alias("block"), "root",
-        _no_siblings().alias("siblings"),
-    )
-    groups = _descend(manifest.top_levels, start, manifest.fanout, manifest.every).select(
+    groups = _descend(manifest.top_levels, None, manifest.fanout, manifest.every).select(
         F.col("member.of").alias("grp"), F.lit(0).cast("bigint").alias("block"), "siblings", "root",
         F.col("member.digest").alias("subroot"),
     )

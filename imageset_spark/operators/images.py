@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.folders import open_path
+
 # Fixed values of the preprocessing contract.
 CHANNEL_MEAN = (0.485, 0.456, 0.406)
 CHANNEL_STD = (0.229, 0.224, 0.225)
@@ -276,7 +278,7 @@ def preprocess_files(files, decoder, spec):
     return files.select("sample_id", "content").mapInPandas(run, PLANE_SCHEMA)
 
 
-def preprocess_paths(manifest, decoder, spec, opener=open, path_col="image_path", tasks=None,
+def preprocess_paths(manifest, decoder, spec, opener=open_path, path_col="image_path", tasks=None,
                      errors="raise"):
     """Read, decode and preprocess the image of every manifest row inside the task.
 

@@ -4,6 +4,7 @@ from ..functions import stage
 from ..operators import evaluation
 from ..operators.evaluation import eval_report
 from ..operators.images import decoded_plane, with_planes
+from ..sources import open_path
 
 
 def score_planes(manifest, planes, spec, make_predictor):
@@ -16,7 +17,7 @@ def score_planes(manifest, planes, spec, make_predictor):
     return stage(scored.select(*manifest.columns, "logit", "score"), "predictions")
 
 
-def score_files(manifest, decoder, spec, make_predictor, opener=open, path_col="image_path", tasks=None):
+def score_files(manifest, decoder, spec, make_predictor, opener=open_path, path_col="image_path", tasks=None):
     """Predictions for manifest rows straight from their image files.
 
     One pass of Python from file to logit: no pixel leaves the task that reads

@@ -10,6 +10,7 @@ from ..functions import stage
 from ..operators import mapping, validation
 from ..sources import (
     audit_paths,
+    open_path,
     read_classes,
     read_labels,
     write_canonical,
@@ -105,7 +106,7 @@ def ingest(labels, classes, audit, image_directory, order_col="row_seq",
 
 
 def ingest_files(spark, labels_path, classes_path, image_directory, images_output,
-                 boxes_output, decoder, format="csv", opener=open):
+                 boxes_output, decoder, format="csv", opener=open_path):
     """The whole job over files. Returns the one-row report.
 
     Only the images that pass the mapping rules are opened, each once, in the

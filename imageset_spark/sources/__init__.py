@@ -5,15 +5,16 @@ from .files import (
     checksum_files,
     checksum_lines,
     checksum_paths,
-    list_images,
     listed_paths,
     read_files,
     verify_checksums,
 )
+from .folders import list_images, open_path, read_images
 from .sinks import (
     append_history,
     report_json,
     write_canonical,
+    write_files,
     write_planes,
     write_report,
     write_splits,
@@ -21,6 +22,7 @@ from .sinks import (
 
 __all__ = [
     "append_history", "audit_images", "audit_paths", "checksum_files", "checksum_lines", "checksum_paths",
-    "list_images", "listed_paths", "read_classes", "read_files", "read_labels", "read_manifest",
-    "report_json", "verify_checksums", "write_canonical", "write_planes", "write_report", "write_splits",
+    "list_images", "listed_paths", "open_path", "read_classes", "read_files", "read_images", "read_labels",
+    "read_manifest", "report_json", "verify_checksums", "write_canonical", "write_files", "write_planes",
+    "write_report", "write_splits",
 ]

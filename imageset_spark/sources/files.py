@@ -1,4 +1,4 @@
-"""Image and artifact files: listing, decoding audit and checksums."""
+"""Image and artifact files: decoding audit and checksums."""
 
 import hashlib
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import stem
+from .folders import open_path
 
 
 def read_files(spark, folder, suffix=S.IMAGE_SUFFIX, recursive=False):
@@ -26,16 +27,10 @@ def listed_paths(paths, path_col="path", suffix=S.IMAGE_SUFFIX):
     return named.withColumn("sample_id", stem(path_col, suffix))
 
 
-def list_images(spark, folder, suffix=S.IMAGE_SUFFIX, recursive=False):
-    """Image files with their id, which is the file name without its suffix."""
-    files = read_files(spark, folder, suffix, recursive).select("path", "length")
-    return listed_paths(files, "path", suffix).select("sample_id", "path", "length")
-
-
 def _look(decoder, content):
-    """What decoding some bytes gave: readable, dimensions, width, height."""
+    """What decoding some bytes gave: readable, dimensions, width, height. No bytes are unreadable."""
     try:
-        shape = decoder(content).shape
+        shape = decoder(bytes(content)).shape
     except Exception:
         return False, None, None, None
     if len(shape) == 2:
@@ -50,12 +45,12 @@ def _audit_rows(ids, seen):
     return out
 
 
-def audit_paths(images, decoder, opener=open, path_col="image_path", tasks=None):
+def audit_paths(images, decoder, opener=open_path, path_col="image_path", tasks=None):
     """Read and decode the file of every image record inside the task.
 
     Only ids and paths are moved between executors, and only files that a record
-    names are opened. An absent file gives no row; one that cannot be read or
-    decoded, an empty one too, is unreadable. ``opener(path, "rb")`` opens a
+    names are opened. A path without a file, or with a folder in its place, gives
+    no row; a file that cannot be read or decoded, an empty one too, is unreadable. ``opener(path, "rb")`` opens a
     file that every executor can reach; rows are spread over ``tasks`` by path,
     by default one per shuffle partition.
     """
@@ -65,7 +60,7 @@ def audit_paths(images, decoder, opener=open, path_col="image_path", tasks=None)
         try:
             with opener(path, "rb") as handle:
                 content = handle.read()
-        except FileNotFoundError:
+        except (FileNotFoundError, IsADirectoryError, NotADirectoryError):
             return None
         except OSError:
             return False, None, None, None
@@ -83,13 +78,14 @@ def audit_paths(images, decoder, opener=open, path_col="image_path", tasks=None)
 def audit_images(files, decoder):
     """Decode every file and report what came out.
 
-    ``files`` has ``sample_id`` and ``content``; ``decoder`` turns bytes into an
-    array and may raise. Works scan-side, so contents are not shuffled.
+    ``files`` has ``sample_id`` and ``content`` (NULL for a file that could not be
+    read); ``decoder`` turns bytes into an array and may raise. Works scan-side, so
+    contents are not shuffled.
     """
 
     def audit(batches):
         for batch in batches:
-            yield _audit_rows(batch["sample_id"], [_look(decoder, bytes(c)) for c in batch["content"]])
+            yield _audit_rows(batch["sample_id"], [_look(decoder, c) for c in batch["content"]])
 
     return files.select("sample_id", "content").mapInPandas(audit, S.AUDIT_SCHEMA)
 
@@ -117,7 +113,7 @@ def checksum_lines(checksums):
     )
 
 
-def checksum_paths(paths, opener=open, chunk_bytes=8 * 1024 * 1024, tasks=None):
+def checksum_paths(paths, opener=open_path, chunk_bytes=8 * 1024 * 1024, tasks=None):
     """SHA-256 of files too large for one row, read in chunks inside the task.
 
     ``paths`` has ``name`` and ``path``; ``opener(path, "rb")`` opens a file

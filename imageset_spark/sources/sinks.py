@@ -1,7 +1,12 @@
-"""Writers for canonical tables, split manifests and reports."""
+"""Writers for canonical tables, split manifests, reports and files."""
 
+from uuid import uuid4
+
+import pandas as pd
 from pyspark.sql import functions as F
 
+from .folders import file_system
+
 
 def write_canonical(df, path, schema, format="csv", mode="overwrite", sort_by=None):
     """Write exactly the columns of ``schema``, with a header even when empty.
@@ -64,3 +69,25 @@ def append_history(rows, path):
     rows.write.mode("append").parquet(path)
 
 
+def write_files(files, path_col="path", content_col="content"):
+    """Write the content of every row to its path, creating folders; returns path and length of what was written.
+
+    Each file appears under its name only when it is whole, so a retried task
+    leaves the same files. The result is lazy: writing happens when it is read.
+    """
+
+    def run(batches):
+        for batch in batches:
+            lengths = []
+            for path, content in zip(batch[path_col], batch[content_col]):
+                system, inner = file_system(path)
+                folder, name = inner.rsplit("/", 1)
+                system.create_dir(folder, recursive=True)
+                part = f"{folder}/._{name}.{uuid4().hex}"
+                with system.open_output_stream(part) as handle:
+                    handle.write(bytes(content))
+                system.move(part, inner)
+                lengths.append(len(content))
+            yield pd.DataFrame({"path": batch[path_col], "length": lengths})
+
+    return files.select(path_col, content_col).mapInPandas(run, "path string, length bigint")

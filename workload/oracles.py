@@ -318,6 +318,15 @@ tensor AS (
     ((v::FLOAT::DOUBLE - m) / s)::FLOAT::DOUBLE AS value
   FROM small, channels)"""
 
+# What became of each image file: the first fault counts.
+_FILES = """
+files AS (
+  SELECT vec_id, CAST(vec_id AS VARCHAR) AS sample_id,
+    CASE WHEN vec_id % 37 = 0 OR vec_id % 41 = 0 THEN 'image_file_not_found'
+         WHEN vec_id % 31 = 0 OR vec_id % 29 = 0 THEN 'unreadable_dicom'
+         WHEN vec_id % 23 = 0 THEN 'invalid_image_dimensions' END AS reason
+  FROM embeddings)"""
+
 _PATH = "replace(url, 'http://', '/mnt/c/') || '/mnt/c/' || page_id || '.dcm'"
 _ROW = "patientId, x, y, width, height, Target"
 _BOX = "sample_id, x, y, width, height"
@@ -596,4 +605,22 @@ channels(ch, m, s) AS (VALUES (0, 0.485::DOUBLE, 0.229::DOUBLE),
 SELECT sample_id, CAST(ch * 64 + place AS INTEGER) AS place, (v - m) / s AS value
 FROM scaled, channels""",
     "preprocess_images": f"WITH {TENSOR} SELECT sample_id, place, value FROM tensor",
+    "listed_files": f"""WITH {_FILES}
+SELECT sample_id, '/p' || vec_id % 8 || '/' || sample_id || '.grid' AS path,
+  CASE WHEN vec_id % 31 = 0 THEN 0 WHEN vec_id % 29 = 0 THEN 8
+    ELSE 11 + CASE WHEN vec_id % 23 = 0 THEN 6 ELSE 4 END + 1 + 128 END AS length
+FROM files WHERE reason IS DISTINCT FROM 'image_file_not_found'""",
+    "audited_files": f"""WITH {_FILES}
+SELECT sample_id, reason IS DISTINCT FROM 'unreadable_dicom' AS readable,
+  CASE WHEN reason = 'unreadable_dicom' THEN NULL WHEN reason IS NULL THEN 2 ELSE 3 END AS ndim,
+  CASE WHEN reason IS NULL THEN 8 END AS width, CASE WHEN reason IS NULL THEN 8 END AS height, reason
+FROM files WHERE reason IS DISTINCT FROM 'image_file_not_found'""",
+    "audited_paths": f"""WITH {_FILES} SELECT sample_id, reason,
+  CASE WHEN reason IS NULL THEN 8 END AS image_width, CASE WHEN reason IS NULL THEN 8 END AS image_height FROM files""",
+    "preprocessed_paths": f"""WITH {_FILES},{TENSOR}
+SELECT f.sample_id, s.place, s.v::FLOAT::DOUBLE AS value
+FROM files f LEFT JOIN small s ON s.sample_id = f.sample_id AND reason IS NULL""",
+    "scored_files": f"""WITH {_FILES},{TENSOR}
+SELECT sample_id, round(sum(value * (((place * 5) % 11 - 5) / 100.0::DOUBLE)), 4) AS logit
+FROM tensor JOIN files USING (sample_id) WHERE reason IS NULL GROUP BY sample_id""",
 }

@@ -9,7 +9,7 @@ from imageset_spark.functions import remap_prefix as rewrite_prefix
 from imageset_spark.functions.staging import staged_path
 from imageset_spark.operators import evaluation, history, images, mapping, quality, splits
 from imageset_spark.operators import validation
-from imageset_spark.plans import ingest, split_manifest
+from imageset_spark.plans import ingest, score_files, split_manifest
 from imageset_spark.plans.ingest import rejection_histogram as histogram
 
 from . import tables
@@ -181,6 +181,64 @@ def checksum_verification(spark, sf_dir):
     return sources.verify_checksums(sources.checksum_files(artifacts, root="/exports"), stored)
 
 
+# --- image files ------------------------------------------------------------
+
+
+def _grids(spark, sf_dir):
+    folder = staged_path(spark, "grids")
+    return folder, tables.grid_files(spark, sf_dir, folder)
+
+
+def _codes(content):
+    return tables.decode_grid(content)[0]
+
+
+@query
+def listed_files(spark, sf_dir):
+    """Image files below a folder and its subfolders; their bytes are not read."""
+    folder, _ = _grids(spark, sf_dir)
+    listing = sources.list_images(spark, folder, ".grid", recursive=True, slices=2)
+    below = F.substr("path", F.lit(len(folder) + 1)).alias("path")
+    return listing.select("sample_id", below, "length")
+
+
+@query
+def audited_files(spark, sf_dir):
+    """Every image file below a folder, decoded where it is read."""
+    folder, _ = _grids(spark, sf_dir)
+    files = sources.read_images(spark, folder, ".grid", recursive=True)
+    return validation.image_audit(sources.audit_images(files, _codes))
+
+
+@query
+def audited_paths(spark, sf_dir):
+    """Every image record with the reason for which its file is refused, if any."""
+    _, records = _grids(spark, sf_dir)
+    audit = sources.audit_paths(records, _codes)
+    no_boxes = spark.createDataFrame([], S.BOX_SCHEMA)
+    state = validation.image_state(records, no_boxes, audit)
+    return state.select("sample_id", validation.image_reason().alias("reason"), "image_width", "image_height")
+
+
+@query
+def preprocessed_paths(spark, sf_dir):
+    """Planes of all image records; a file that cannot be used gives none."""
+    _, records = _grids(spark, sf_dir)
+    spec = images.ImageSpec(height=5, width=5)
+    planes = images.preprocess_paths(records, tables.decode_grid, spec, errors="keep")
+    return _points(planes, "plane").withColumn("value", F.col("value").cast("double"))
+
+
+@query
+def scored_files(spark, sf_dir):
+    """From image files to scores, for the records whose files pass the audit."""
+    _, records = _grids(spark, sf_dir)
+    audit = validation.image_audit(sources.audit_paths(records, _codes))
+    good = records.join(audit.where("reason IS NULL").select("sample_id"), "sample_id", "left_semi")
+    scored = score_files(good, tables.decode_grid, images.ImageSpec(height=5, width=5), _pixel_predictor)
+    return scored.select("sample_id", F.round("logit", 4).alias("logit"))
+
+
 # --- projections and filters ------------------------------------------------
 
 
@@ -506,22 +564,22 @@ def batch_score(spark, sf_dir):
     )
 
 
+def _pixel_predictor():
+    import numpy as np
+
+    weights = np.array([((i * 5) % 11 - 5) / 100.0 for i in range(75)])
+    return lambda tensors: tensors.reshape(len(tensors), -1).astype("float64") @ weights
+
+
 @query
 def score_images(spark, sf_dir):
     """From pixels to score in one pass of Python."""
     spec = images.ImageSpec(height=5, width=5)
-
-    def predictor():
-        import numpy as np
-
-        weights = np.array([((i * 5) % 11 - 5) / 100.0 for i in range(75)])
-        return lambda tensors: tensors.reshape(len(tensors), -1).astype("float64") @ weights
-
     pixels = tables.pixels(spark, sf_dir)
     inputs = ["rows", "cols", "code_max", "photometric", "pixels"]
     table = pixels.select("sample_id", *inputs)
     scored = evaluation.score_planes(
-        table, lambda row: images.row_plane(row, spec), spec, predictor, drop=inputs
+        table, lambda row: images.row_plane(row, spec), spec, _pixel_predictor, drop=inputs
     )
     return scored.select("sample_id", F.round("logit", 4).alias("logit"))
 

@@ -6,6 +6,8 @@ and faults. Every row of the tables takes part.
 
 from pyspark.sql import functions as F
 
+from imageset_spark import sources
+
 
 def read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -194,3 +196,36 @@ def paths(spark, sf_dir):
     return read(spark, sf_dir, "pages").select(
         "page_id", F.concat(folder, file).alias("image_path")
     )
+
+
+def grid_files(spark, sf_dir, folder):
+    """Write every 8 x 8 image as a file below ``folder``; returns its records: sample_id, image_path, label.
+
+    A file is a line of text (photometric type and dimensions) and the codes as 16-bit
+    numbers. Some files are broken, empty or absent, some have three dimensions, and some
+    are folders.
+    """
+    k = F.col("sample_id").cast("bigint")
+    path = F.concat(F.lit(f"{folder}/p"), (k % 8).cast("string"), F.lit("/"), F.col("sample_id"), F.lit(".grid"))
+    shape = F.when(k % 23 == 0, " 2 4 8").otherwise(" 8 8")
+    codes = F.transform("pixels", lambda v: F.concat(F.lpad(F.hex(v % 256), 2, "0"), F.lpad(F.hex(F.floor(v / 256)), 2, "0")))
+    whole = F.concat(
+        F.encode(F.concat("photometric", shape, F.lit("\n")), "UTF-8"), F.unhex(F.array_join(codes, ""))
+    )
+    content = (
+        F.when(k % 31 == 0, F.encode(F.lit(""), "UTF-8")).when(k % 29 == 0, F.encode(F.lit("no image"), "UTF-8"))
+        .otherwise(whole)
+    )
+    records = pixels(spark, sf_dir).select("sample_id", path.alias("image_path"), F.lit(1).alias("label"), content.alias("content"))
+    place = F.when(k % 41 == 0, F.concat("image_path", F.lit("/inside"))).otherwise(F.col("image_path"))
+    sources.write_files(records.where(k % 37 != 0).withColumn("path", place)).agg(F.sum("length")).collect()
+    return records.drop("content")
+
+
+def decode_grid(content):
+    """Codes and photometric type of a file that :func:`grid_files` wrote."""
+    import numpy as np
+
+    line, codes = content.split(b"\n", 1)
+    photometric, *shape = line.decode().split(" ")
+    return np.frombuffer(codes, "<u2").reshape([int(n) for n in shape]), photometric

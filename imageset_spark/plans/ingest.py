@@ -10,10 +10,11 @@ from ..functions import stage
 from ..operators import mapping, validation
 from ..sources import (
     audit_paths,
+    canonical,
     open_path,
+    prepare,
     read_classes,
     read_labels,
-    write_canonical,
 )
 
 
@@ -122,8 +123,25 @@ def ingest_files(spark, labels_path, classes_path, image_directory, images_outpu
 
     result = ingest(labels, classes, audit, image_directory)
     images, boxes = stage(result.images, "images"), stage(result.boxes, "boxes")
-    write_canonical(images, images_output, S.IMAGE_SCHEMA, format, sort_by="sample_id")
-    write_canonical(
-        boxes, boxes_output, S.BOX_SCHEMA, format, sort_by=["sample_id", "row_seq"]
-    )
+    # Both tables are written and checked before readers see either.
+    drafts = [
+        prepare(canonical(rows, schema, order), output, format, check=_same_rows(rows))
+        for rows, schema, order, output in (
+            (images, S.IMAGE_SCHEMA, "sample_id", images_output),
+            (boxes, S.BOX_SCHEMA, ["sample_id", "row_seq"], boxes_output),
+        )
+    ]
+    for draft in drafts:
+        draft.commit(spark)
     return result.report
+
+
+def _same_rows(source):
+    """A check that as many rows were written as there are."""
+
+    def check(written):
+        found, wanted = written.count(), source.count()
+        if found != wanted:
+            raise RuntimeError(f"{found} rows were written instead of {wanted}")
+
+    return check

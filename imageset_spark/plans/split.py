@@ -4,22 +4,18 @@ from pyspark.sql import functions as F
 
 from ..functions import stage
 from ..operators.splits import create_splits, split_report, verify_splits
-from ..sources import write_splits
+from ..sources import read_published, write_splits
 
 
 def split_manifest(images, path, train=0.70, validation=0.15, test=0.15, seed=42,
                    format="parquet"):
-    """Write the splits, verify what was written, and return the report frame, which names the seed."""
+    """Write the splits, verify what was written, publish it, and return the report frame, which names the seed.
+
+    Splits that fail the verification are never seen by readers, who keep the
+    version that they had.
+    """
     images = stage(images, "split-source")
     assigned = create_splits(images, train, validation, test, seed)
-    write_splits(assigned, path, format)
-    spark = images.sparkSession
-    reader = spark.read.schema(assigned.schema).format(format)
-    if format == "csv":
-        # The partition column is appended by the reader.
-        fields = [f for f in assigned.schema.fields if f.name != "split"]
-        reader = spark.read.schema(type(assigned.schema)(fields)).option("header", True)
-        reader = reader.format(format)
-    written = reader.load(path)
-    verify_splits(images, written)
+    write_splits(assigned, path, format, check=lambda written: verify_splits(images, written))
+    written = read_published(images.sparkSession, path, assigned.schema, format)
     return split_report(written).withColumn("seed", F.lit(seed))

@@ -12,6 +12,7 @@ from .files import (
 from .folders import list_images, open_path, read_images
 from .sinks import (
     append_history,
+    canonical,
     report_json,
     write_canonical,
     write_files,
@@ -19,10 +20,12 @@ from .sinks import (
     write_report,
     write_splits,
 )
+from .versions import prepare, publish, read_published, verify_published
 
 __all__ = [
-    "append_history", "audit_images", "audit_paths", "checksum_files", "checksum_lines", "checksum_paths",
+    "append_history", "audit_images", "audit_paths", "canonical", "checksum_files", "checksum_lines", "checksum_paths",
     "list_images", "listed_paths", "open_path", "read_classes", "read_files", "read_images", "read_labels",
-    "read_manifest", "report_json", "verify_checksums", "write_canonical", "write_files", "write_planes",
+    "prepare", "publish", "read_manifest", "read_published", "report_json", "verify_checksums", "verify_published",
+    "write_canonical", "write_files", "write_planes",
     "write_report", "write_splits",
 ]

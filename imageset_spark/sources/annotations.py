@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import nan_to_null, row_positions
+from .versions import published_paths, read_published
 
 # Room for the byte offset of a split and for the row within a partition.
 _ROW_DIGITS = 10
@@ -114,8 +115,14 @@ def read_classes(spark, path):
 
 
 def read_manifest(spark, path, schema=S.IMAGE_SCHEMA, format="csv"):
-    """A canonical or split manifest, columns found by name and typed by ``schema``."""
+    """A canonical or split manifest, columns found by name and typed by ``schema``.
+
+    Where a table was published, the files of its last version are read.
+    """
+    files = published_paths(spark, path)
     if format != "csv":
+        if files is not None:
+            return read_published(spark, path, schema, format)
         return spark.read.schema(schema).format(format).load(path)
-    rows = _texts(_scan(spark, path, schema.names), schema.names)
+    rows = _texts(_scan(spark, path if files is None else files, schema.names), schema.names)
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

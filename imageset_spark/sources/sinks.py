@@ -6,33 +6,31 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from .folders import file_system
+from .versions import publish
 
 
-def write_canonical(df, path, schema, format="csv", mode="overwrite", sort_by=None):
-    """Write exactly the columns of ``schema``, with a header even when empty.
+def canonical(df, schema, sort_by=None):
+    """Exactly the columns of ``schema``; with ``sort_by`` in that order."""
+    out = df.orderBy(sort_by) if sort_by else df
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def write_canonical(df, path, schema, format="csv", sort_by=None, check=None):
+    """Publish exactly the columns of ``schema``, with a header even when empty.
 
-    With ``sort_by`` the part files follow each other in that order.
+    With ``sort_by`` the part files follow each other in that order. ``check`` is
+    given the rows as written and raises to refuse them; readers then keep the
+    version that they had. See ``versions.py``.
     """
-    out = df.orderBy(sort_by) if sort_by else df
-    out = out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    writer = out.write.mode(mode)
-    if format == "csv":
-        writer = writer.option("header", True)
-    writer.format(format).save(path)
+    publish(canonical(df, schema, sort_by), path, format, check=check)
 
 
-def write_splits(assigned, path, format="parquet", mode="overwrite"):
-    """Write a frame with a ``split`` column, one folder per split, in id order.
+def write_splits(assigned, path, format="parquet", check=None):
+    """Publish a frame with a ``split`` column, one folder per split, in id order.
 
     Sorting by split first also means that a task writes one split, not all three.
     """
-    writer = (
-        assigned.orderBy("split", "sample_id")
-        .write.mode(mode).partitionBy("split").format(format)
-    )
-    if format == "csv":
-        writer = writer.option("header", True)
-    writer.save(path)
+    publish(assigned.orderBy("split", "sample_id"), path, format, ["split"], check)
 
 
 def report_json(report, pretty=False):

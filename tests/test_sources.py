@@ -108,8 +108,9 @@ def test_canonical_tables_round_trip(spark, tmp_path, format):
 def test_empty_table_still_has_a_header(spark, tmp_path):
     path = tmp_path / "boxes"
     sources.write_canonical(spark.createDataFrame([], S.BOX_SCHEMA), str(path), S.BOX_SCHEMA)
-    (part,) = path.glob("part-*.csv")
+    (part,) = path.glob("_published/*/data/part-*.csv")
     assert part.read_text().strip() == "sample_id,x,y,width,height"
+    assert sources.read_manifest(spark, str(path), S.BOX_SCHEMA).collect() == []
 
 
 def test_listing_uses_stems_and_suffix(spark, tmp_path):

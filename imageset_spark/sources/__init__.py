@@ -11,8 +11,10 @@ from .files import (
 )
 from .folders import list_images, open_path, read_images
 from .sinks import (
+    append_batch,
     append_history,
     canonical,
+    read_batches,
     report_json,
     write_canonical,
     write_files,
@@ -23,9 +25,9 @@ from .sinks import (
 from .versions import prepare, publish, read_published, verify_published
 
 __all__ = [
-    "append_history", "audit_images", "audit_paths", "canonical", "checksum_files", "checksum_lines", "checksum_paths",
+    "append_batch", "append_history", "audit_images", "audit_paths", "canonical", "checksum_files", "checksum_lines", "checksum_paths",
     "list_images", "listed_paths", "open_path", "read_classes", "read_files", "read_images", "read_labels",
-    "prepare", "publish", "read_manifest", "read_published", "report_json", "verify_checksums", "verify_published",
+    "prepare", "publish", "read_batches", "read_manifest", "read_published", "report_json", "verify_checksums", "verify_published",
     "write_canonical", "write_files", "write_planes",
     "write_report", "write_splits",
 ]

@@ -4,6 +4,7 @@ from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .folders import file_system
 from .versions import publish
@@ -62,9 +63,35 @@ def write_planes(planes, table, path, buckets):
     return planes.sparkSession.table(table)
 
 
-def append_history(rows, path):
-    """Append finished epochs to the training history table."""
-    rows.write.mode("append").parquet(path)
+BATCH = "batch"
+
+
+def append_batch(rows, path, batch):
+    """Add the rows of one batch to the table at ``path``; a batch sent again replaces itself.
+
+    The batch is a partition of the table, and only the partition written is
+    replaced, so a job that is run again never adds its rows twice.
+    """
+    if BATCH in (name.lower() for name in rows.columns):
+        raise ValueError(f"the rows have a column {BATCH} of their own")
+    if not str(batch).strip():
+        raise ValueError("a batch needs a name")
+    (
+        rows.withColumn(BATCH, F.lit(str(batch))).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+    )
+
+
+def read_batches(spark, path, schema, batch=None):
+    """The rows of all batches, or of one; a batch's scan reads its own files only."""
+    batched = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
+    rows = spark.read.schema(batched).parquet(path)
+    return (rows if batch is None else rows.where(F.col(BATCH) == str(batch))).drop(BATCH)
+
+
+def append_history(rows, path, batch):
+    """Append the finished epochs of a batch to the training history table, once however often it is sent."""
+    append_batch(rows, path, batch)
 
 
 def write_files(files, path_col="path", content_col="content"):

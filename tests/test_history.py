@@ -1,0 +1,84 @@
+import random
+
+import pytest
+from conftest import rows
+
+from imageset_spark import sources
+from imageset_spark.functions import stage
+from imageset_spark.operators import history
+
+SCHEMA = "run string, epoch bigint, val_loss double, val_acc double"
+
+
+def epochs(seed, n=60):
+    rng = random.Random(seed)
+    # Losses repeat often, so that ties decide.
+    return [(f"r{k % 3}", i, rng.randrange(8) / 4.0, round(rng.random(), 3)) for k in range(3) for i in range(1 + k, n + k)]
+
+
+def model(data):
+    best, summary, saves = {}, {}, []
+    for run, epoch, loss, acc in sorted(data, key=lambda r: r[1]):
+        low = best.get(run)
+        saves.append((run, epoch, low[0] if low else None, low is None or loss < low[0]))
+        if low is None or loss < low[0]:
+            best[run] = (loss, epoch)
+        summary[run] = (run, *best[run], epoch, acc)
+    return sorted(saves, key=str), sorted(summary.values())
+
+
+@pytest.mark.parametrize("cuts", [[10], [1, 30], [5, 6, 7, 40]])
+def test_batches_give_what_the_whole_history_gives(spark, cuts):
+    data = epochs(len(cuts))
+    expected, summary = model(data)
+    state, saves = None, []
+    for low, high in zip([0, *cuts], [*cuts, 1000]):
+        part = [r for r in data if low <= r[1] < high]
+        step = history.extend_history(spark.createDataFrame(part, SCHEMA), state, n_buckets=2)
+        saves += rows(step.saves, "run", "epoch", "best_before", "saved")
+        state = stage(step.state, "state")
+    assert sorted(saves, key=str) == expected
+    names = ["run", "best_val_loss", "best_epoch", "last_epoch", "final_val_acc"]
+    assert rows(state, *names) == summary
+    assert rows(history.run_summary(spark.createDataFrame(data, SCHEMA)), *names) == summary
+
+
+def test_summaries_merge_in_any_grouping(spark):
+    data = epochs(9)
+    parts = [history.run_summary(spark.createDataFrame(data[k::4], SCHEMA)) for k in range(4)]
+    names = ["run", "best_val_loss", "best_epoch", "last_epoch", "final_val_acc"]
+    one = history.merge_states(*parts)
+    other = history.merge_states(parts[3], history.merge_states(parts[1], parts[0]), parts[2])
+    assert rows(one, *names) == rows(other, *names) == model(data)[1]
+
+
+def test_a_run_may_begin_in_a_later_batch(spark):
+    first = spark.createDataFrame([("a", 1, 0.5, 0.1)], SCHEMA)
+    second = spark.createDataFrame([("b", 1, 0.9, 0.2), ("a", 2, 0.5, 0.3)], SCHEMA)
+    step = history.extend_history(second, stage(history.extend_history(first).state, "state"))
+    assert rows(step.saves, "run", "epoch", "best_before", "saved") == [("a", 2, 0.5, False), ("b", 1, None, True)]
+
+
+def test_epochs_already_covered_fail(spark):
+    first = spark.createDataFrame([("a", 3, 0.5, 0.1)], SCHEMA)
+    state = stage(history.extend_history(first).state, "state")
+    again = history.extend_history(spark.createDataFrame([("a", 3, 0.4, 0.1)], SCHEMA), state)
+    with pytest.raises(Exception, match="already covered by the summary: a 3"):
+        again.saves.collect()
+
+
+def test_a_new_batch_reads_itself_and_the_summary(spark, tmp_path):
+    path, data = str(tmp_path / "history"), epochs(2)
+    whole = spark.createDataFrame(data, SCHEMA)
+    state = None
+    for number, (low, high) in enumerate([(0, 20), (20, 40), (40, 100)]):
+        sources.append_history(whole.where(f"epoch >= {low} AND epoch < {high}"), path, number)
+        batch = sources.read_batches(spark, path, whole.schema, number)
+        step = history.extend_history(batch, state)
+        plan = step.state._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.split("\n") if "FileScan" in line]
+        of_batches = [line for line in scans if "PartitionFilters: [isnotnull(batch" in line and f"= {number})" in line]
+        # One scan of the batch, and one of the summary once there is one.
+        assert len(of_batches) == 1 and len(scans) == (1 if state is None else 2)
+        state = stage(step.state, "state")
+    assert rows(state, "run", "best_val_loss", "best_epoch", "last_epoch", "final_val_acc") == model(data)[1]

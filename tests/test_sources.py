@@ -174,9 +174,22 @@ def test_report_is_written_as_json(spark, tmp_path):
     assert json.loads(part.read_text()) == {"a": 1, "b": 0.5}
 
 
-def test_history_is_appended(spark, tmp_path):
+def test_a_batch_sent_again_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "history")
-    for epoch in (1, 2):
-        row = spark.createDataFrame([("run", epoch, 0.5)], "run string, epoch int, val_loss double")
-        sources.append_history(row, path)
-    assert rows(spark.read.parquet(path), "epoch") == [(1,), (2,)]
+    schema = "run string, epoch int, val_loss double"
+
+    def epochs(*numbers):
+        return spark.createDataFrame([("run", n, 0.5) for n in numbers], schema)
+
+    for batch, numbers in (("a", (1, 2)), ("b/2", (3,)), ("a", (1, 2)), ("b/2", (3, 4))):
+        sources.append_history(epochs(*numbers), path, batch)
+    found = sources.read_batches(spark, path, epochs(1).schema)
+    assert found.columns == ["run", "epoch", "val_loss"]
+    assert rows(found, "epoch") == [(1,), (2,), (3,), (4,)]
+    one = sources.read_batches(spark, path, epochs(1).schema, "b/2")
+    assert rows(one, "epoch") == [(3,), (4,)]
+    for wrong in ("", " "):
+        with pytest.raises(ValueError, match="name"):
+            sources.append_history(epochs(1), path, wrong)
+    with pytest.raises(ValueError, match="batch"):
+        sources.append_batch(epochs(1).withColumnRenamed("run", "Batch"), path, "a")

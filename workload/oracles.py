@@ -626,3 +626,7 @@ FROM files f LEFT JOIN small s ON s.sample_id = f.sample_id AND reason IS NULL""
 SELECT sample_id, round(sum(value * (((place * 5) % 11 - 5) / 100.0::DOUBLE)), 4) AS logit
 FROM tensor JOIN files USING (sample_id) WHERE reason IS NULL GROUP BY sample_id""",
 }
+
+# The same answers, however the history arrives.
+ORACLES["checkpoint_saves_by_batch"] = ORACLES["checkpoint_saves"]
+ORACLES["run_summary_by_batch"] = ORACLES["run_summary"]

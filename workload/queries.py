@@ -542,12 +542,41 @@ def run_summary(spark, sf_dir):
 
 @query
 def append_history(spark, sf_dir):
-    """The history as it grows: odd and even epochs arrive in two appends."""
+    """The history as it grows: odd and even epochs are two batches, each sent twice."""
     path = staged_path(spark, "history")
     rows = tables.history(spark, sf_dir)
-    for half in (1, 0):
-        sources.append_history(rows.where(F.col("epoch") % 2 == half), path)
-    return spark.read.schema(rows.schema).parquet(path)
+    for half in (1, 0, 0, 1):
+        sources.append_history(rows.where(F.col("epoch") % 2 == half), path, f"half-{half}")
+    return sources.read_batches(spark, path, rows.schema)
+
+
+def _history_steps(spark, sf_dir):
+    """The history in three batches of later and later epochs: the saves of each, and the last summary."""
+    path = staged_path(spark, "history")
+    rows = tables.history(spark, sf_dir)
+    last = rows.agg(F.max("epoch")).scalar()
+    third = F.least(F.floor(F.col("epoch") * 3 / (last + 1)), F.lit(2))
+    state, saves = None, []
+    for number in range(3):
+        sources.append_history(rows.where(third == number), path, number)
+        batch = sources.read_batches(spark, path, rows.schema, number)
+        step = history.extend_history(batch, state)
+        saves.append(step.saves)
+        state = stage(step.state, "run-state")
+    return saves, state
+
+
+@query
+def checkpoint_saves_by_batch(spark, sf_dir):
+    """Saved epochs of a history that arrives in three batches."""
+    (first, second, third), _ = _history_steps(spark, sf_dir)
+    return first.unionByName(second).unionByName(third).select("run", "epoch", "val_loss", "best_before", "saved")
+
+
+@query
+def run_summary_by_batch(spark, sf_dir):
+    """Run summaries carried through three batches; only the last batch and one row per run are read."""
+    return _history_steps(spark, sf_dir)[1]
 
 
 @query

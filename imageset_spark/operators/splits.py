@@ -13,7 +13,7 @@ from math import ceil, floor, isfinite
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import is_blank, number_of
+from ..functions import is_blank, number_of, row_positions, shuffled_place, stage
 from ..schemas import SPLIT_NAMES
 
 _SLICE_DIGITS = 4
@@ -257,6 +257,27 @@ def smoke_subset(manifest, n, order_col="sample_id"):
 
 
 def epoch_order(examples, epoch, seed=42, id_col="sample_id"):
-    """Examples in the shuffled order of one epoch, the same for every partitioning."""
+    """Examples in the shuffled order of one epoch, the same for every partitioning.
+
+    Sorts all rows; :func:`epoch_places` gives every row its place without a sort.
+    """
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(str(epoch)), F.col(id_col)))
     return examples.withColumn("shuffle_key", key).orderBy("shuffle_key")
+
+
+def number_examples(examples, id_col="sample_id", out="number"):
+    """Examples with their number in id order, written once for all epochs."""
+    return stage(row_positions(examples, id_col, out), "numbered-examples")
+
+
+def epoch_places(numbered, epoch, seed=42, batch_size=32, n=None, number_col="number"):
+    """Place and batch of every numbered example in one epoch.
+
+    Each row's place follows from its number alone (``functions/shuffles.py``): a new
+    epoch sorts and moves nothing, and a worker that wants one batch filters for it.
+    ``n`` is the number of rows, counted if not given.
+    """
+    n = numbered.count() if n is None else n
+    place = shuffled_place(number_col, max(n, 1), f"{seed}:{epoch}")
+    placed = numbered.withColumn("place", place)
+    return placed.withColumn("batch_no", F.expr(f"place div {int(batch_size)}"))

@@ -630,3 +630,20 @@ FROM tensor JOIN files USING (sample_id) WHERE reason IS NULL GROUP BY sample_id
 # The same answers, however the history arrives.
 ORACLES["checkpoint_saves_by_batch"] = ORACLES["checkpoint_saves"]
 ORACLES["run_summary_by_batch"] = ORACLES["run_summary"]
+
+# Two halves of a row's number are mixed in turn, eight times and again while the number is too high.
+ORACLES["epoch_places"] = f"""WITH RECURSIVE {SPLIT_INPUT},
+total AS (SELECT count(*) AS n, floor(sqrt(count(*)))::BIGINT AS top FROM split_input),
+dims AS (
+  SELECT n, a, (n + a - 1) // a AS b FROM total, unnest(range(greatest(least(2, top), top // 16), top + 1)) AS t(a)
+  ORDER BY (n + a - 1) // a * a - n, a DESC LIMIT 1),
+mixed AS (
+  SELECT epoch, sample_id, label, n, a, b, number // b AS l, number % b AS r, 0 AS step
+  FROM (SELECT *, row_number() OVER (ORDER BY sample_id) - 1 AS number FROM split_input), dims, (VALUES (1), (2)) e(epoch)
+  UNION ALL
+  SELECT epoch, sample_id, label, n, a, b,
+    CASE WHEN s % 2 = 0 THEN (l + ('0x' || substr(md5('42:' || epoch || ':' || s || ':' || r), 1, 8))::BIGINT) % a ELSE l END,
+    CASE WHEN s % 2 = 1 THEN (r + ('0x' || substr(md5('42:' || epoch || ':' || s || ':' || l), 1, 8))::BIGINT) % b ELSE r END,
+    s + 1
+  FROM (SELECT *, step % 8 AS s FROM mixed WHERE step < 8 OR l * b + r >= n))
+SELECT epoch, sample_id, label, l * b + r AS place, (l * b + r) // 32 AS batch_no FROM mixed WHERE step = 8 AND l * b + r < n"""

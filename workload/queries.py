@@ -520,6 +520,15 @@ def epoch_order(spark, sf_dir):
     return splits.epoch_order(tables.split_input(spark, sf_dir), epoch=1)
 
 
+@query
+def epoch_places(spark, sf_dir):
+    """Place and batch of every example in two epochs; the examples are numbered once."""
+    numbered = splits.number_examples(tables.split_input(spark, sf_dir))
+    n = numbered.count()
+    found = [splits.epoch_places(numbered, epoch, n=n).withColumn("epoch", F.lit(epoch)) for epoch in (1, 2)]
+    return found[0].unionByName(found[1]).select("epoch", "sample_id", "label", "place", "batch_no")
+
+
 # --- order and windows ------------------------------------------------------
 
 

@@ -159,16 +159,17 @@ def box_flags(labels):
     )
 
 
-def patient_state(labels, classes):
+def patient_state(labels, classes, unnamed=False):
     """One row per patient with everything the mapping rules need.
 
     Keeps patients with label rows and patients with conflicting classes. Raises
     at run time if a patient has a class row and a row with no class, because
-    such a table cannot be joined many-to-one.
+    such a table cannot be joined many-to-one. With ``unnamed`` the label rows without
+    a patient are one more row, so that all label rows are counted in this pass.
     """
     flags = _row_flags()
     label_rows = (
-        labels.where(F.col("patientId").isNotNull())
+        labels.where(F.col("patientId").isNotNull() | F.lit(unnamed))
         .select(
             "patientId",
             F.lit(1).alias("label_row"),
@@ -235,9 +236,12 @@ def mapping_reason():
     )
 
 
-def mapping_verdict(labels, classes):
-    """One row per patient: ``reason`` (NULL = accepted), label, class and row count."""
-    return patient_state(labels, classes).select(
+def mapping_verdict(labels, classes, unnamed=False):
+    """One row per patient: ``reason`` (NULL = accepted), label, class and row count.
+
+    ``unnamed`` as in :func:`patient_state`.
+    """
+    return patient_state(labels, classes, unnamed).select(
         F.col("patientId").alias("sample_id"),
         mapping_reason().alias("reason"),
         F.col("lowest_target").alias("target"),

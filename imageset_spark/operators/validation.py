@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import HOT_ROWS, hot_keys, is_finite, name_of, salted_join
+from ..functions import HOT_ROWS, hot_keys, is_finite, name_of, row_positions, salted_join
 from .quality import file_coverage
 
 # Codes of box faults, so that the first fault is found over plain integers.
@@ -29,6 +29,7 @@ class ValidationResult(NamedTuple):
     rejections: DataFrame
     duplicates: DataFrame
     verdict: DataFrame
+    ledger: DataFrame
 
 
 def image_state(images, boxes, audit):
@@ -164,9 +165,9 @@ def judge_boxes(unique_boxes, state, hot_rows=HOT_ROWS):
     )
 
 
-def unknown_box_refs(judged):
-    """One row per distinct box whose image is in no image record."""
-    return judged.where("NOT known").select("sample_id", *S.COORDINATES)
+def unknown_box_refs(judged, order_col=None):
+    """One row per distinct box whose image is in no image record, with its place in the source if that is given."""
+    return judged.where("NOT known").select("sample_id", *S.COORDINATES, *([order_col] if order_col else []))
 
 
 def negative_with_boxes(state):
@@ -197,7 +198,7 @@ def image_verdict(state, geometry):
         state.where("n_images > 0")
         .join(faults, "sample_id", "left")
         .select(
-            "sample_id", "label", "n_images",
+            "sample_id", "label", "n_images", "n_boxes",
             F.when(early.isNotNull(), S.STAGE_IMAGE).otherwise(S.STAGE_GEOMETRY).alias("stage"),
             F.coalesce(early, late).alias("reason"),
         )
@@ -213,21 +214,43 @@ def valid_boxes(judged, geometry, hot_rows=HOT_ROWS):
     ).drop("copies", "known", "candidate", "label", "n_boxes", "fault")
 
 
-def rejection_ledger(verdict, judged, prior=None):
-    """Every rejection of both stages; an id may occur more than once."""
+def rejection_ledger(verdict, judged, prior=None, order_col=None):
+    """Every rejection of both stages; an id may occur more than once.
+
+    With ``order_col`` the column ``seq`` holds the source place of a box whose image is
+    unknown, which :func:`ordered_ledger` needs; it is NULL for all other rows.
+    """
     found = verdict.where("reason IS NOT NULL").select("stage", "sample_id", "reason")
     if prior is not None:
         listed = prior.where(F.col("reason") == S.DUPLICATE_IMAGE_RECORD)
         found = found.join(
             listed.select("sample_id", "reason").distinct(), ["sample_id", "reason"], "left_anti"
         ).select("stage", "sample_id", "reason")
-    ledger = found.unionByName(
-        unknown_box_refs(judged).select(
+        found = prior.unionByName(found)
+    refs = unknown_box_refs(judged, order_col)
+    place = {}
+    if order_col is not None:
+        place = {"seq": F.col(order_col)}
+        found = found.withColumn("seq", F.lit(None).cast(refs.schema[order_col].dataType))
+    return found.unionByName(
+        refs.select(
             F.lit(S.STAGE_REFERENCE).alias("stage"), "sample_id",
-            F.lit(S.UNKNOWN_IMAGE_REFERENCE).alias("reason"),
+            F.lit(S.UNKNOWN_IMAGE_REFERENCE).alias("reason"), *[c.alias(n) for n, c in place.items()],
         )
     )
-    return prior.unionByName(ledger) if prior is not None else ledger
+
+
+def ordered_ledger(ledger, out="place"):
+    """The ledger with the place of every row, from 0, in the order in which the rejections are found.
+
+    Mapping first (conflicting classes, then all others, each by id), then images by
+    id, then boxes of unknown images in source order, then geometry by image id.
+    ``ledger`` has the column ``seq`` of :func:`rejection_ledger`. Rows are placed by
+    range partitioning, so no task sorts them all.
+    """
+    later = (F.col("stage") == S.STAGE_MAPPING) & (F.col("reason") != S.CONFLICTING_CLASSES)
+    keyed = ledger.withColumn("_key", F.struct("stage", later.alias("later"), "seq", "sample_id", "reason"))
+    return row_positions(keyed, "_key", out).select(out, "stage", "sample_id", "reason")
 
 
 def valid_images(images, verdict, hot_rows=HOT_ROWS):
@@ -259,12 +282,15 @@ def validate_records(images, boxes, audit, order_col, rejections=None,
     unique = keep(dedupe_boxes(boxes, order_col), "unique-boxes")
     state = keep(image_state(images, unique, audit), "image-state")
     judged = keep(judge_boxes(unique, state), "judged-boxes")
-    geometry = keep(geometry_verdict(judged, order_col), "geometry")
-    verdict = keep(image_verdict(state, geometry), "image-verdict")
+    verdict = keep(image_verdict(state, geometry_verdict(judged, order_col)), "image-verdict")
+    # The images refused for a box, or for having any, as they stand in the verdict.
+    refused = verdict.where((F.col("stage") == S.STAGE_GEOMETRY) & F.col("reason").isNotNull())
+    ledger = rejection_ledger(verdict, judged, rejections, order_col)
     return ValidationResult(
         images=valid_images(images, verdict),
-        boxes=valid_boxes(judged, geometry),
-        rejections=rejection_ledger(verdict, judged, rejections),
+        boxes=valid_boxes(judged, refused.select("sample_id", "reason", "n_boxes")),
+        rejections=ledger.drop("seq"),
         duplicates=removed_duplicates(judged),
         verdict=verdict,
+        ledger=ledger,
     )

@@ -23,15 +23,19 @@ class IngestResult(NamedTuple):
     boxes: DataFrame
     rejections: DataFrame
     report: DataFrame
+    ledger: DataFrame
 
 
 def rejection_histogram(rejections):
     return rejections.groupBy("reason").agg(F.count("*").alias("n_rows"))
 
 
-def ingestion_report(labels, verdict, boxes, rejections, duplicates):
+def ingestion_report(patients, verdict, boxes, rejections, duplicates):
     """One row of totals; ``source_rows`` counts label rows, also those without an id.
 
+    ``patients`` holds the label rows of each patient (``n_rows``), one row for those
+    without an id among them, so that the labels are not read again to be counted.
+
     Accepted images are counted on the image verdict, where each is one row.
     """
 
@@ -45,7 +49,7 @@ def ingestion_report(labels, verdict, boxes, rejections, duplicates):
         ).select("f.name", "f.n", F.lit(None).cast("string").alias("reason"))
 
     facts = (
-        figures(labels, source_rows=F.count("*"))
+        figures(patients, source_rows=F.sum("n_rows"))
         .unionByName(
             figures(
                 verdict.where("reason IS NULL"),
@@ -82,10 +86,11 @@ def ingest(labels, classes, audit, image_directory, order_col="row_seq",
     """Map and validate; ``audit`` has one row per image file, or makes it from the mapped images.
 
     The frames that several results read are written once to the staging folder,
-    so the source tables are scanned twice in all and a lost executor never
+    so labels are scanned twice in all, classes once, and a lost executor never
     sends the job back to them.
     """
-    verdict = stage(mapping.mapping_verdict(labels, classes), "mapping-verdict")
+    patients = stage(mapping.mapping_verdict(labels, classes, unnamed=True), "mapping-verdict")
+    verdict = patients.where("sample_id IS NOT NULL")
     mapped = mapping.map_records(
         labels, classes, image_directory, source_dataset, order_col, verdict=verdict
     )
@@ -100,8 +105,9 @@ def ingest(labels, classes, audit, image_directory, order_col="row_seq",
         images=checked.images,
         boxes=checked.boxes,
         rejections=checked.rejections,
+        ledger=checked.ledger,
         report=ingestion_report(
-            labels, checked.verdict, checked.boxes, checked.rejections, checked.duplicates
+            patients, checked.verdict, checked.boxes, checked.rejections, checked.duplicates
         ),
     )
 

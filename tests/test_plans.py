@@ -1,4 +1,5 @@
 import json
+import sys
 from types import SimpleNamespace
 
 import numpy as np
@@ -57,6 +58,36 @@ def test_ingestion_from_files(spark, tmp_path):
     assert rows(boxes) == [("ok", 1.0, 2.0, 3.0, 4.0), ("ok", 10.0, 20.0, 30.0, 40.0)]
 
 
+def test_the_report_reads_labels_twice_and_classes_once(spark, tmp_path):
+    labels = [("a", 1.0, 2.0, 3.0, 4.0, 1.0, 1), ("b", None, None, None, None, 0.0, 2), (None, None, None, None, None, 0.0, 3)]
+    tables = {
+        "labels": spark.createDataFrame(labels, "patientId string, x double, y double, width double, height double, Target double, row_seq bigint"),
+        "classes": spark.createDataFrame([("a", "Lung Opacity"), ("b", "Normal")], S.CLASSES_SCHEMA),
+        "audit": spark.createDataFrame([("a", True, 2, 9, 9), ("b", True, 2, 9, 9)], S.AUDIT_SCHEMA),
+    }
+    for name, table in tables.items():
+        table.write.parquet(str(tmp_path / name))
+    scans, ingest_job = [], sys.modules["imageset_spark.plans.ingest"]
+    read = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+    whole = ingest_job.stage
+
+    def counted(df, name):
+        scans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return whole(df, name)
+
+    ingest_job.stage = counted
+    try:
+        result = ingest_job.ingest(read["labels"], read["classes"], read["audit"], "/images")
+    finally:
+        ingest_job.stage = whole
+    plans = [plan for _, plan in scans] + [result.report._jdf.queryExecution().executedPlan().toString()]
+    lines = [line for plan in plans for line in plan.split("\n") if "FileScan" in line]
+    assert sum("[patientId#" in line and ",Target#" in line for line in lines) == 2
+    assert sum("[patientId#" in line and ",class#" in line for line in lines) == 1
+    assert [name for name, _ in scans] == ["mapping-verdict", "unique-boxes", "image-state", "judged-boxes", "image-verdict"]
+    assert result.report.first().source_rows == 3
+
+
 def small_corpus(spark, folder):
     data = [(f"s{i:03d}", [0, 255, 255 * (i % 2), 0]) for i in range(80)]
     for name, codes in data:

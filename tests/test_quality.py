@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from imageset_spark import schemas as S
 from imageset_spark.operators import quality
@@ -136,3 +137,34 @@ def test_reconciled_tables_keep_every_patient(spark):
         "g": (None, "Normal", 0, "both", True, False),
         "h": (None, None, None, "right_only", False, True),
     }
+
+
+def test_expectations_read_every_table_once(spark, tmp_path, clean):
+    names = ("labels", "classes", "files")
+    for name, table in zip(names, clean):
+        table.write.parquet(str(tmp_path / name))
+    read = [spark.read.parquet(str(tmp_path / name)) for name in names]
+    plan = quality.expectations(*read)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    assert len(scans) == 3
+
+
+def test_rows_without_id_count_for_boxes_and_classes_only(spark, clean):
+    labels = clean[0].unionByName(spark.createDataFrame(
+        [(None, -1.0, 2.0, 3.0, 4.0, 1.0), (None, -1.0, 2.0, 3.0, 4.0, 1.0), (None, 1.0, 2.0, 3.0, 0.0, 1.0), (None, *NONE, 7.0)],
+        S.LABELS_SCHEMA))
+    classes = clean[1].unionByName(spark.createDataFrame([(None, "Odd"), (None, "Odd"), (None, "Even"), (None, None)], S.CLASSES_SCHEMA))
+    found = {r.check_name: r.violations for r in quality.expectations(labels, classes, clean[2]).collect() if r.violations}
+    assert found == {"box_geometry_valid": 2, "classes_supported": 2}
+
+
+def test_sketches_of_batches_merge(spark):
+    whole = spark.range(30_000).select(F.col("id").cast("string").alias("patientId"))
+    parts = [quality.key_sketches({"t": whole.where(f"id % 3 >= {k}"), "u": whole.limit(k)}) for k in range(3)]
+    merged = quality.merge_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    found = {r.table_name: r for r in quality.sketched_counts(merged).collect()}
+    assert found["t"].n_rows == 60_000 and abs(found["t"].unique_ids - 30_000) < 600
+    assert (found["u"].n_rows, found["u"].unique_ids) == (3, 2)
+    # A sketch does not grow with what it counts.
+    sizes = {r.table_name: r.n for r in parts[0].selectExpr("table_name", "length(keys) AS n").collect()}
+    assert sizes["t"] < 20_000

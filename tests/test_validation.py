@@ -152,3 +152,17 @@ def test_records_without_an_id_reach_the_ledger(spark):
         ("None", S.IMAGE_FILE_NOT_FOUND), ("None", S.UNKNOWN_IMAGE_REFERENCE), ("None", S.UNKNOWN_IMAGE_REFERENCE),
     ]
     assert rows(result.images, "sample_id") == [("a",)] and result.boxes.count() == 1
+
+
+@pytest.mark.parametrize("seed, parts", [(4, 1), (5, 23)])
+def test_the_ordered_ledger_is_the_row_models(spark, seed, parts):
+    images, boxes, audit = random_records(seed)
+    images = sorted(images)
+    prior = [(0, "m2", "missing_class"), (0, "m9", S.CONFLICTING_CLASSES), (0, "m1", "missing_target"), (0, "m3", S.CONFLICTING_CLASSES)]
+    mapped = [("m3", S.CONFLICTING_CLASSES), ("m9", S.CONFLICTING_CLASSES), ("m1", "missing_target"), ("m2", "missing_class")]
+    expected = mapped + validate(images, boxes, audit)[2]
+    result = run(spark, images, boxes, audit, parts, rejections=spark.createDataFrame(prior, S.REJECTION_SCHEMA))
+    found = sorted(tuple(r) for r in validation.ordered_ledger(result.ledger).collect())
+    assert [(i, reason) for _, _, i, reason in found] == expected
+    assert [place for place, *_ in found] == list(range(len(expected)))
+    assert result.rejections.columns == ["stage", "sample_id", "reason"]

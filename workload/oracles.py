@@ -116,7 +116,8 @@ in_boxes AS (
     CASE WHEN l_orderkey % 61 = 0 AND l_linenumber % 2 = 1 THEN 0.0::DOUBLE
          WHEN l_orderkey % 47 = 0 THEN 40.0::DOUBLE ELSE 60.0::DOUBLE + l_quantity END AS height,
     row_number() OVER (PARTITION BY l_orderkey
-      ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS row_seq
+      ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS row_seq,
+    dense_rank() OVER (ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS source_place
   FROM lineitem)"""
 
 MAPPED = f"""{VERDICT},{SRC_HEADERS},
@@ -647,3 +648,15 @@ mixed AS (
     s + 1
   FROM (SELECT *, step % 8 AS s FROM mixed WHERE step < 8 OR l * b + r >= n))
 SELECT epoch, sample_id, label, l * b + r AS place, (l * b + r) // 32 AS batch_no FROM mixed WHERE step = 8 AND l * b + r < n"""
+
+ORACLES["sketched_counts"] = f"SELECT table_name, n_rows, unique_ids, true AS is_near FROM ({ORACLES['profile_counts']})"
+
+ORACLES["ordered_ledger"] = f"""WITH {DIRECT_CHECKED},
+found AS (
+  SELECT stage, sample_id, reason, NULL AS seq FROM late_rejections WHERE stage <> 2
+  UNION ALL SELECT 2, sample_id, 'unknown_image_reference', min(source_place) FROM in_boxes
+  WHERE sample_id NOT IN (SELECT sample_id FROM in_images) GROUP BY sample_id, x, y, width, height)
+SELECT row_number() OVER (ORDER BY stage, seq NULLS FIRST, sample_id, reason) - 1 AS place, stage, sample_id, reason FROM found"""
+ORACLES["ordered_rejections"] = f"""WITH {MAPPED_CHECKED}
+SELECT row_number() OVER (ORDER BY stage, stage = 0 AND reason <> 'conflicting_classes', sample_id, reason) - 1 AS place,
+  stage, sample_id, reason FROM ledger"""

@@ -426,6 +426,18 @@ def direct_ledger(spark, sf_dir):
     return _checked(spark, sf_dir).rejections
 
 
+@query
+def ordered_ledger(spark, sf_dir):
+    """The ledger of direct records in the order in which its rows are found."""
+    return validation.ordered_ledger(_checked(spark, sf_dir).ledger)
+
+
+@query
+def ordered_rejections(spark, sf_dir):
+    """The ledger of the ingest job, mapping included, in that order."""
+    return validation.ordered_ledger(_ingested(spark, sf_dir).ledger)
+
+
 @query
 def ingest_report(spark, sf_dir):
     report = _ingested(spark, sf_dir).report
@@ -454,6 +466,22 @@ def profile_counts(spark, sf_dir):
     )
 
 
+@query
+def sketched_counts(spark, sf_dir):
+    """Distinct ids from the kept sketches of eight slices, and whether each lies within 3% of the exact count."""
+    found = {"labels": tables.labels(spark, sf_dir), "classes": tables.classes(spark, sf_dir)}
+    path = staged_path(spark, "sketches")
+    slice_of = F.pmod(F.crc32("patientId"), F.lit(8))
+    for number in range(8):
+        part = {name: table.where(slice_of == number) for name, table in found.items()}
+        sources.append_batch(quality.key_sketches(part), path, number)
+    schema = quality.key_sketches(found).schema
+    rough = quality.sketched_counts(sources.read_batches(spark, path, schema)).withColumnRenamed("unique_ids", "estimate")
+    exact = quality.profile_counts(found).select("table_name", "unique_ids")
+    near = F.abs(F.col("estimate") - F.col("unique_ids")) <= 0.03 * F.col("unique_ids")
+    return rough.join(exact, "table_name").select("table_name", "n_rows", "unique_ids", near.alias("is_near"))
+
+
 @query
 def boxes_per_image_hist(spark, sf_dir):
     return quality.boxes_per_image_hist(quality.positive_boxes(tables.labels(spark, sf_dir)))

@@ -5,6 +5,7 @@ not depend on partitioning and need no binning.
 """
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,30 +39,28 @@ def batch_score(examples, make_predictor, input_col="tensor", batch_size=32,
     return add_score(examples.withColumn("logit", predict(F.col(input_col))))
 
 
-def score_planes(table, plane_of, spec, make_predictor, batch_size=32, drop=()):
+def score_planes(table, planes_of, spec, make_predictor, batch_size=32, drop=()):
     """Add the ``logit`` of every row in one pass of Python from image to model.
 
-    ``plane_of(row)`` makes the resized plane of a row; channels and
-    normalisation follow in numpy, so no tensor ever leaves the worker.
+    ``planes_of(batch)`` makes the resized planes of an Arrow batch, one per row;
+    channels and normalisation follow in numpy, so no tensor ever leaves the worker.
     ``make_predictor()`` runs once per task. Columns in ``drop`` go in, but not out.
     """
     fields = [f for f in table.schema.fields if f.name not in drop]
+    names = [f.name for f in fields]
     mean, std = (np.array(v, "float64").reshape(-1, 1, 1) for v in (spec.mean, spec.std))
 
-    def run(frames):
+    def run(batches):
         predictor = make_predictor()
-        for frame in frames:
-            logits = []
-            for begin in range(0, len(frame), batch_size):
-                part = frame.iloc[begin : begin + batch_size]
-                planes = [np.asarray(plane_of(row), "float64") for row in part.itertuples(index=False)]
-                grey = np.stack(planes).reshape(-1, 1, spec.height, spec.width)
+        for batch in batches:
+            for begin in range(0, len(batch), batch_size):
+                part = batch.slice(begin, batch_size)
+                grey = np.asarray(planes_of(part), "float64").reshape(-1, 1, spec.height, spec.width)
                 tensors = ((grey - mean) / std).astype("float32")
-                logits.append(np.asarray(predictor(tensors), dtype="float64").reshape(-1))
-            out = frame.drop(columns=list(drop))
-            yield out.assign(logit=np.concatenate(logits) if logits else np.zeros(0))
+                logits = np.asarray(predictor(tensors), dtype="float64").reshape(-1)
+                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(logits)], [*names, "logit"])
 
-    return add_score(table.mapInPandas(run, T.StructType([*fields, T.StructField("logit", T.DoubleType())])))
+    return add_score(table.mapInArrow(run, T.StructType([*fields, T.StructField("logit", T.DoubleType())])))
 
 
 def add_score(predictions):

@@ -11,6 +11,8 @@ from math import isfinite
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +41,8 @@ CONFIG_KEYS = {
     ("normalization", "std"): "std",
 }
 
+#: Pixels that are worked on at once, 8 bytes each and a few copies.
+STACK_PIXELS = 1 << 21
 PLANE_SCHEMA = "sample_id string, height int, width int, plane array<float>"
 
 
@@ -191,70 +195,146 @@ def _axis_weights(size_in, size_out):
     return left, np.minimum(left + 1, size_in - 1), place - left
 
 
-def resize_plane(plane, height, width):
-    """Bilinear resize with half-pixel centres, edges clamped, no smoothing."""
-    top, bottom, down = _axis_weights(plane.shape[0], height)
-    left, right, across = _axis_weights(plane.shape[1], width)
-    wide = plane[:, left] * (1.0 - across) + plane[:, right] * across
+def resize_planes(stack, height, width):
+    """Bilinear resize of images of one size, stacked: half-pixel centres, edges clamped, no smoothing.
+
+    Rows across first, then down; only the rows that some output row reads are
+    worked out. All images of the stack at once.
+    """
+    top, bottom, down = _axis_weights(stack.shape[1], height)
+    left, right, across = _axis_weights(stack.shape[2], width)
+    needed, place = np.unique(np.concatenate((top, bottom)), return_inverse=True)
+    read = stack[:, needed]
+    wide = read[:, :, left] * (1.0 - across) + read[:, :, right] * across
     down = down[:, None]
-    return wide[top] * (1.0 - down) + wide[bottom] * down
+    return wide[:, place[:height]] * (1.0 - down) + wide[:, place[height:]] * down
+
+
+def resize_plane(plane, height, width):
+    """:func:`resize_planes` of one image."""
+    return resize_planes(plane[None], height, width)[0]
 
 
-def _scaled(codes, code_max, inverted):
+def scale_planes(codes, code_max=None, inverted=None):
+    """Codes of stacked images (one image per row) scaled by the range of each; uniform images become zeros.
+
+    Images that ``inverted`` marks are mirrored first.
+    """
     codes = codes.astype("float64")
-    if inverted:
-        codes = code_max - codes
-    low, high = codes.min(), codes.max()
-    return (codes - low) / (high - low) if high > low else np.zeros_like(codes)
+    if inverted is not None and inverted.any():
+        codes[inverted] = code_max[inverted, None] - codes[inverted]
+    low, high = codes.min(1, keepdims=True), codes.max(1, keepdims=True)
+    span = high - low
+    return np.divide(codes - low, span, out=np.zeros_like(codes), where=span > 0)
 
 
 def decoded_plane(codes, photometric, spec):
     """The resized plane of a decoded image; only inversion needs the type's largest code."""
     inverted = spec.invert_monochrome1 and photometric == INVERTED
-    code_max = np.iinfo(codes.dtype).max if inverted else None
-    return resize_plane(_scaled(codes, code_max, inverted), spec.height, spec.width).astype("float32").ravel()
+    code_max = np.array([np.iinfo(codes.dtype).max], "float64") if inverted else None
+    if codes.ndim != 2:
+        raise ValueError(f"an image needs two dimensions, not {codes.ndim}")
+    scaled = scale_planes(codes.reshape(1, -1), code_max, np.array([inverted]))
+    return resize_planes(scaled.reshape(1, *codes.shape), spec.height, spec.width)[0].astype("float32").ravel()
 
 
-def resize_bilinear(images, height, width, plane="plane"):
-    """Resize the planes of a table (sample_id, rows, cols, plane)."""
+def _integers(column):
+    return column.to_numpy(zero_copy_only=False).astype("int64")
 
-    def run(table):
-        for batch in table:
-            planes = [
-                resize_plane(np.asarray(p, dtype="float64").reshape(r, c), height, width).ravel()
-                for p, r, c in zip(batch[plane], batch["rows"], batch["cols"])
-            ]
-            yield pd.DataFrame(
-                {"sample_id": batch["sample_id"], "height": height, "width": width,
-                 "plane": planes}
+
+def stacked(batch, column):
+    """The images of an Arrow batch by size: yields (places in the batch, array with one image per row, rows, cols).
+
+    Images come straight out of the list column's buffer; no image is looked at alone.
+    """
+    rows, cols = _integers(batch.column("rows")), _integers(batch.column("cols"))
+    values = batch.column(column)
+    lengths = pc.fill_null(pc.list_value_length(values), -1).to_numpy(zero_copy_only=False)
+    if (lengths != rows * cols).any():
+        raise ValueError("an image's pixels do not fill its rows and columns")
+    sizes, group = np.unique(np.stack((rows, cols), 1), axis=0, return_inverse=True)
+    for k, (height, width) in enumerate(sizes.tolist()):
+        at = np.flatnonzero(group.ravel() == k)
+        own = values if len(sizes) == 1 else values.take(pa.array(at))
+        yield at, own.flatten().to_numpy(zero_copy_only=False).reshape(len(at), height * width), height, width
+
+
+def _list_column(planes, kind):
+    """Stacked planes as an Arrow list column."""
+    n, size = planes.shape
+    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * np.int32(size))
+    return pa.ListArray.from_arrays(offsets, pa.array(planes.ravel(), kind))
+
+
+def _bounded(batches, height, width):
+    """Slices of the batches whose planes before and after resizing fit in memory together."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        largest = max(height * width, int((_integers(batch.column("rows")) * _integers(batch.column("cols"))).max()))
+        step = max(1, STACK_PIXELS // largest)
+        for begin in range(0, len(batch), step):
+            yield batch.slice(begin, step)
+
+
+def _resized(batch, column, height, width, dtype, scale):
+    out = np.empty((len(batch), height * width), dtype)
+    for at, codes, rows, cols in stacked(batch, column):
+        planes = scale(at, codes).reshape(len(at), rows, cols)
+        out[at] = resize_planes(planes, height, width).reshape(len(at), -1)
+    return out
+
+
+def resize_bilinear(images, height, width, plane="plane"):
+    """Resize the planes of a table (sample_id, rows, cols, plane), images of one size together."""
+
+    def run(batches):
+        for batch in _bounded(batches, height, width):
+            planes = _resized(batch, plane, height, width, "float64", lambda at, codes: codes.astype("float64"))
+            size = [pa.array(np.full(len(batch), v, np.int32)) for v in (height, width)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sample_id"), *size, _list_column(planes, pa.float64())],
+                ["sample_id", "height", "width", "plane"],
             )
 
-    return images.select("sample_id", "rows", "cols", plane).mapInPandas(
+    return images.select("sample_id", "rows", "cols", plane).mapInArrow(
         run, "sample_id string, height int, width int, plane array<double>"
     )
 
 
-def row_plane(row, spec):
-    """The resized plane of one row of a pixel table."""
-    codes = np.asarray(row.pixels).reshape(row.rows, row.cols)
-    scaled = _scaled(codes, row.code_max, spec.invert_monochrome1 and row.photometric == INVERTED)
-    return resize_plane(scaled, spec.height, spec.width).astype("float32").ravel()
+def table_planes(batch, spec):
+    """Resized planes of an Arrow batch of a pixel table, one per row."""
+    inverted = pc.fill_null(pc.equal(batch.column("photometric"), INVERTED), False).to_numpy(zero_copy_only=False)
+    inverted = inverted & spec.invert_monochrome1
+    code_max = batch.column("code_max").to_numpy(zero_copy_only=False).astype("float64")
+    return _resized(
+        batch, "pixels", spec.height, spec.width, "float32",
+        lambda at, codes: scale_planes(codes, code_max[at], inverted[at]),
+    )
 
 
-def preprocess_images(images, spec):
-    """Invert, scale and resize whole images in one pass over each batch."""
-    height, width = spec.height, spec.width
+def stored_planes(batch, spec, column="plane"):
+    """Planes of an Arrow batch that holds them already resized, one per row."""
+    values = batch.column(column)
+    lengths = pc.fill_null(pc.list_value_length(values), -1).to_numpy(zero_copy_only=False)
+    if (lengths != spec.height * spec.width).any():
+        raise ValueError("a stored plane does not have the size of the specification")
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
 
-    def run(table):
-        for batch in table:
-            planes = [row_plane(row, spec) for row in batch.itertuples(index=False)]
-            yield pd.DataFrame(
-                {"sample_id": batch["sample_id"], "height": height, "width": width,
-                 "plane": planes}
+
+def preprocess_images(images, spec):
+    """Invert, scale and resize whole images, those of one size together."""
+
+    def run(batches):
+        for batch in _bounded(batches, spec.height, spec.width):
+            size = [pa.array(np.full(len(batch), v, np.int32)) for v in (spec.height, spec.width)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sample_id"), *size, _list_column(table_planes(batch, spec), pa.float32())],
+                ["sample_id", "height", "width", "plane"],
             )
 
     columns = ["sample_id", "rows", "cols", "code_max", "photometric", "pixels"]
-    return images.select(*columns).mapInPandas(run, PLANE_SCHEMA)
+    return images.select(*columns).mapInArrow(run, PLANE_SCHEMA)
 
 
 def preprocess_files(files, decoder, spec):

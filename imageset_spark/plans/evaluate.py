@@ -1,9 +1,11 @@
 """The evaluation job: score two splits, choose the threshold, report on test."""
 
+import numpy as np
+
 from ..functions import stage
 from ..operators import evaluation
 from ..operators.evaluation import eval_report
-from ..operators.images import decoded_plane, with_planes
+from ..operators.images import decoded_plane, stored_planes, with_planes
 from ..sources import open_path
 
 
@@ -13,7 +15,7 @@ def score_planes(manifest, planes, spec, make_predictor):
     A row without a plane fails the job.
     """
     joined = with_planes(manifest, planes.select("sample_id", "plane"))
-    scored = evaluation.score_planes(joined, lambda row: row.plane, spec, make_predictor, drop=["plane"])
+    scored = evaluation.score_planes(joined, lambda batch: stored_planes(batch, spec), spec, make_predictor, drop=["plane"])
     return stage(scored.select(*manifest.columns, "logit", "score"), "predictions")
 
 
@@ -26,11 +28,14 @@ def score_files(manifest, decoder, spec, make_predictor, opener=open_path, path_
     """
     tasks = tasks or int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def plane_of(row):
-        with opener(getattr(row, path_col), "rb") as handle:
+    def plane_of(path):
+        with opener(path, "rb") as handle:
             return decoded_plane(*decoder(handle.read()), spec)
 
-    scored = evaluation.score_planes(manifest.repartition(tasks, path_col), plane_of, spec, make_predictor)
+    def planes_of(batch):
+        return np.stack([plane_of(path) for path in batch.column(path_col).to_pylist()])
+
+    scored = evaluation.score_planes(manifest.repartition(tasks, path_col), planes_of, spec, make_predictor)
     return stage(scored.select(*manifest.columns, "logit", "score"), "predictions")
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -243,3 +244,56 @@ def test_bucketed_planes_are_not_moved_by_the_join(spark, tmp_path, grids):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE planes_test")
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def pixel_rows(sizes, seed=0):
+    rng = np.random.default_rng(seed)
+    out = []
+    for i, (h, w) in enumerate(sizes):
+        codes = rng.integers(0, 4096, h * w) if i % 5 else np.full(h * w, 7)
+        out.append((f"s{i:03d}", h, w, 4095, [None, "MONOCHROME1", "MONOCHROME2"][i % 3], codes.tolist()))
+    return out
+
+
+PIXEL_SCHEMA = "sample_id string, rows int, cols int, code_max bigint, photometric string, pixels array<int>"
+
+
+def test_images_of_many_sizes_in_one_batch(spark, monkeypatch):
+    rows_ = pixel_rows([(3, 4), (4, 3), (3, 4), (12, 1), (1, 1), (30, 40), (2, 6), (3, 4)] * 6)
+    spec = images.ImageSpec(height=7, width=5)
+    monkeypatch.setattr(images, "STACK_PIXELS", 3000)
+    table = spark.createDataFrame(rows_, PIXEL_SCHEMA).repartition(2)
+    found = {r.sample_id: np.array(r.plane, "float32") for r in images.preprocess_images(table, spec).collect()}
+    for sample, h, w, top, kind, codes in rows_:
+        code = np.array(codes, "float64").reshape(h, w)
+        code = top - code if kind == "MONOCHROME1" else code
+        span = code.max() - code.min()
+        scaled = (code - code.min()) / span if span else np.zeros_like(code)
+        assert np.allclose(found[sample].reshape(7, 5), slow_resize(scaled, 7, 5), atol=1e-6)
+
+
+def test_no_image_is_looked_at_alone(monkeypatch):
+    """One call of the resize for each size in a batch, however many images there are."""
+    batch = pa.RecordBatch.from_pylist(
+        [dict(zip(("sample_id", "rows", "cols", "code_max", "photometric", "pixels"), r))
+         for r in pixel_rows([(6, 6)] * 500 + [(5, 9)] * 300)])
+    calls, whole = [], images.resize_planes
+    monkeypatch.setattr(images, "resize_planes", lambda stack, h, w: calls.append(len(stack)) or whole(stack, h, w))
+    out = images.table_planes(batch, images.ImageSpec(height=4, width=4))
+    assert sorted(calls) == [300, 500] and out.shape == (800, 16)
+    # A slice of a batch reads its own images.
+    assert np.array_equal(images.table_planes(batch.slice(450, 100), images.ImageSpec(height=4, width=4)), out[450:550])
+
+
+def test_only_the_rows_that_are_read_are_worked_out():
+    stack = np.random.default_rng(1).random((3, 100, 50))
+    one = [images.resize_plane(plane, 8, 6) for plane in stack]
+    assert np.array_equal(images.resize_planes(stack, 8, 6), np.stack(one))
+    assert all(np.allclose(a, slow_resize(b, 8, 6)) for a, b in zip(one, stack))
+
+
+@pytest.mark.parametrize("pixels", [[1, 2, 3], None])
+def test_pixels_that_do_not_fill_their_image_fail(spark, pixels):
+    table = spark.createDataFrame([("a", 2, 2, 255, "MONOCHROME2", pixels)], PIXEL_SCHEMA)
+    with pytest.raises(Exception, match="do not fill"):
+        images.preprocess_images(table, images.ImageSpec(height=2, width=2)).collect()

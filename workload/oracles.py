@@ -660,3 +660,23 @@ SELECT row_number() OVER (ORDER BY stage, seq NULLS FIRST, sample_id, reason) -
 ORACLES["ordered_rejections"] = f"""WITH {MAPPED_CHECKED}
 SELECT row_number() OVER (ORDER BY stage, stage = 0 AND reason <> 'conflicting_classes', sample_id, reason) - 1 AS place,
   stage, sample_id, reason FROM ledger"""
+
+# The sum of a resized plane is the sum of its pixels, each times what all output pixels read of it.
+ORACLES["preprocess_large"] = f"""WITH {PIXELS},
+turned AS (
+  SELECT sample_id, place, CASE WHEN mono1 THEN 65535 - code ELSE code END AS code FROM grid),
+flat AS (
+  SELECT sample_id, place, CASE WHEN hi > lo
+    THEN (code - lo)::DOUBLE / (hi - lo)::DOUBLE ELSE 0.0::DOUBLE END AS v
+  FROM (SELECT *, min(code) OVER (PARTITION BY sample_id) AS lo,
+          max(code) OVER (PARTITION BY sample_id) AS hi FROM turned) t),
+axis AS (
+  SELECT o, floor(s)::INTEGER AS a, least(floor(s)::INTEGER + 1, 7) AS b, s - floor(s) AS w
+  FROM (SELECT o, greatest((o + 0.5::DOUBLE) * (8.0::DOUBLE / 224.0::DOUBLE) - 0.5::DOUBLE, 0.0::DOUBLE) AS s
+        FROM range(0, 224) AS r(o)) t),
+shares AS (SELECT i, sum(w) AS w FROM (SELECT a AS i, 1 - w AS w FROM axis UNION ALL SELECT b, w FROM axis) t GROUP BY i),
+totals AS (
+  SELECT sample_id, sum(v * y.w * x.w) AS total, max(v) FILTER (place = 0) AS first, max(v) FILTER (place = 63) AS last
+  FROM flat JOIN shares y ON y.i = place // 8 JOIN shares x ON x.i = place % 8 GROUP BY sample_id)
+SELECT sample_id, 50176 AS n_pixels, round(total / 50176, 4) AS mean, first::FLOAT::DOUBLE AS first, last::FLOAT::DOUBLE AS last
+FROM totals"""

@@ -658,7 +658,7 @@ def score_images(spark, sf_dir):
     inputs = ["rows", "cols", "code_max", "photometric", "pixels"]
     table = pixels.select("sample_id", *inputs)
     scored = evaluation.score_planes(
-        table, lambda row: images.row_plane(row, spec), spec, _pixel_predictor, drop=inputs
+        table, lambda batch: images.table_planes(batch, spec), spec, _pixel_predictor, drop=inputs
     )
     return scored.select("sample_id", F.round("logit", 4).alias("logit"))
 
@@ -764,3 +764,14 @@ def preprocess_images(spark, sf_dir):
     planes = images.preprocess_images(tables.pixels(spark, sf_dir), spec)
     out = _points(images.to_tensor(planes, spec), "tensor")
     return out.withColumn("value", F.col("value").cast("double"))
+
+
+@query
+def preprocess_large(spark, sf_dir):
+    """Whole images at the size of the released model, as the mean and two corners of every plane."""
+    planes = images.preprocess_images(tables.pixels(spark, sf_dir), images.ImageSpec())
+    total = F.aggregate("plane", F.lit(0.0), lambda s, v: s + v.cast("double"))
+    return planes.select(
+        "sample_id", F.size("plane").alias("n_pixels"), F.round(total / F.size("plane"), 4).alias("mean"),
+        F.get("plane", F.lit(0)).cast("double").alias("first"), F.element_at("plane", -1).cast("double").alias("last"),
+    )

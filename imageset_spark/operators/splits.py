@@ -59,11 +59,15 @@ def check_ratios(train, validation, test):
         raise ValueError(f"split ratios must add up to 1, got {ratios}")
 
 
-def check_split_input(images, train, validation, test):
-    """Raise ``ValueError`` on a table or ratios that cannot be split; return label counts."""
+def _require_columns(images):
     absent = sorted({"sample_id", "label"} - set(images.columns))
     if absent:
         raise ValueError(f"missing required columns: {', '.join(absent)}")
+
+
+def check_split_input(images, train, validation, test):
+    """Raise ``ValueError`` on a table or ratios that cannot be split; return label counts."""
+    _require_columns(images)
     found = split_input_checks(images).first()
     problems = [
         (found.n_rows == 0, "cannot split an empty table"),
@@ -115,10 +119,15 @@ def split_quotas(counts, validation, test):
     }
 
 
-def split_cuts(images, quotas, seed):
-    """Per label, the last hash that belongs to train and to validation."""
-    keyed = images.select(
-        F.col("label").cast("int").alias("label"), split_hash(seed).alias("_hash")
+def split_keys(images, seed):
+    """What a split is decided by: id, label and hash of every image, written once."""
+    return stage(images.select("sample_id", "label", split_hash(seed).alias("_hash")), "split-keys")
+
+
+def split_cuts(keys, quotas):
+    """Per label, the last hash that belongs to train and to validation; ``keys`` from :func:`split_keys`."""
+    keyed = keys.select(
+        F.col("label").cast("int").alias("label"), "_hash"
     ).withColumn("_slice", F.substring("_hash", 1, _SLICE_DIGITS))
     sizes = keyed.groupBy("label", "_slice").agg(F.count("*").alias("n"))
     so_far = W.partitionBy("label").orderBy("_slice").rowsBetween(W.unboundedPreceding, 0)
@@ -161,9 +170,10 @@ def split_cuts(images, quotas, seed):
     )
 
 
-def assign_splits(images, quotas, seed):
+def assign_splits(images, quotas, seed, keys=None):
     """Add the ``split`` column; all other columns pass through unchanged."""
-    cuts = split_cuts(images, quotas, seed).withColumnRenamed("label", "_label")
+    keys = split_keys(images, seed) if keys is None else keys
+    cuts = split_cuts(keys, quotas).withColumnRenamed("label", "_label")
     # One row per label.
     placed = images.join(
         F.broadcast(cuts), F.col("label").cast("int") == F.col("_label"), "left"
@@ -178,9 +188,15 @@ def assign_splits(images, quotas, seed):
 
 
 def create_splits(images, train=0.70, validation=0.15, test=0.15, seed=42):
-    """Checked, stratified, deterministic split with exact sizes per label."""
-    counts = check_split_input(images, train, validation, test)
-    return assign_splits(images, split_quotas(counts, validation, test), seed)
+    """Checked, stratified, deterministic split with exact sizes per label.
+
+    ``images`` are read twice: once for their narrow keys, which checks, counts and
+    cuts work on, and once to be placed.
+    """
+    _require_columns(images)
+    keys = split_keys(images, seed)
+    counts = check_split_input(keys, train, validation, test)
+    return assign_splits(images, split_quotas(counts, validation, test), seed, keys)
 
 
 def split_verification(source, assigned):

@@ -680,3 +680,8 @@ totals AS (
   FROM flat JOIN shares y ON y.i = place // 8 JOIN shares x ON x.i = place % 8 GROUP BY sample_id)
 SELECT sample_id, 50176 AS n_pixels, round(total / 50176, 4) AS mean, first::FLOAT::DOUBLE AS first, last::FLOAT::DOUBLE AS last
 FROM totals"""
+
+ORACLES["stored_examples"] = ORACLES["training_examples"]
+ORACLES["unparsed_cells"] = """SELECT count(*) FILTER (l_orderkey % 7 = 0) AS x, 0::BIGINT AS y,
+  count(*) FILTER (l_orderkey % 11 = 0) AS width, 0::BIGINT AS height, count(*) FILTER (l_orderkey % 13 = 0) AS Target
+FROM lineitem"""

@@ -90,6 +90,20 @@ def scan_labels(spark, sf_dir):
     return sources.read_labels(spark, path, strict=True).drop("row_seq")
 
 
+@query
+def unparsed_cells(spark, sf_dir):
+    """Cells of a label file that are neither missing nor numbers, by column."""
+    path = staged_path(spark, "labels-csv")
+    rows = tables.labels(spark, sf_dir).drop("row_seq")
+    line = F.col("patientId").cast("bigint")
+    odd = {"x": (7, "1,5"), "width": (11, "n.d."), "Target": (13, "yes")}
+    rows = rows.withColumns({
+        name: F.when(line % n == 0, F.lit(text)).otherwise(F.col(name).cast("string")) for name, (n, text) in odd.items()
+    })
+    rows.write.option("header", True).csv(path)
+    return sources.unparsed_cells(spark, path)
+
+
 @query
 def scan_manifest(spark, sf_dir):
     path = staged_path(spark, "manifest-csv")
@@ -361,6 +375,19 @@ def training_examples(spark, sf_dir):
         .withColumn("value", F.col("value").cast("double"))
 
 
+@query
+def stored_examples(spark, sf_dir):
+    """Training examples from planes that were stored in buckets: only the manifest is moved to meet them."""
+    spec = images.ImageSpec(height=5, width=5)
+    path = staged_path(spark, "planes")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    planes = sources.write_planes(images.preprocess_images(tables.pixels(spark, sf_dir), spec), name, path, 8)
+    examples = images.training_examples(tables.split_input(spark, sf_dir), planes, spec, missing="keep")
+    return examples.select(
+        "sample_id", F.col("label").cast("double").alias("label"), F.posexplode_outer("tensor").alias("place", "value")
+    ).withColumn("value", F.col("value").cast("double"))
+
+
 # --- aggregations -----------------------------------------------------------
 
 

@@ -16,14 +16,21 @@ a point is filed under the first quarter of its own. Two linked sets share their
 first common shingle there, so no link is lost, and each pair meets only in
 subtrees of shingles they share.
 
-Subtrees of copies would hold all pairs of the group. Linking goes in two
-passes. First, each member of a subtree is tried with one hub, which links groups
-of copies in linear work (equal sets without looking at texts). Components are
-formed, and subtrees whose other points lie in one component are done. In the rest
-an R-tree is packed over the points (sorted by size and coordinates, boxes of ``LEAF``
-points, cut in slices of ``SLICE`` points so that a large subtree is many tasks),
-and only pairs of different components that pass the bound are verified. Two
-documents with the same component need no link between them.
+Subtrees of copies would hold all pairs of the group. Equal sets are linked by their
+digests, and one of them stands for all. Then each member of a subtree is tried with
+one hub, which links groups of near copies in linear work. Components are formed, and
+subtrees whose other points lie in one component are done. In the rest an R-tree is packed
+over the points outside the subtree's largest component (sorted by size and
+coordinates, boxes of ``LEAF`` points), and all points of other components are looked up
+in it. Large subtrees are cut on both sides, so that a task holds ``HOME`` points of one
+side and ``OTHER`` of the other.
+
+Two documents with the same component need no link between them, so pairs are taken in
+rounds: first the few of each pair of components that share most by the bound. Most
+components meet there; only pairs of components that have not met and had more
+candidates are looked at again, and the last round takes all that are left. A pair
+is reported in one subtree, not in each of those that its points share: where both
+points hold a common key among the few before the subtree's own, it was met there.
 
 The join runs on nodes: a 64-bit hash of id and text, so rows without id take part
 and texts of one id are told apart. A component is named by its smallest id.
@@ -48,9 +55,13 @@ from .text import Chunk, chunks, mix, series
 SHINGLE = 5
 DIMS = 256
 FINE_GROUPS = 1 << 16
-LEAF, SLICE = 32, 4096
-#: Shingles on one side of a block of pairs that are verified together.
-BLOCK = 1 << 20
+LEAF, HOME, OTHER = 32, 1024, 4096
+#: Candidates of each pair of components that a round takes from a subtree; the last takes all.
+ROUNDS = (4, 64, None)
+#: Keys of a point before a subtree's own that tell whether a pair was met before.
+EARLIER = 4
+#: Shingles on one side of a block of pairs that are verified together, and its pairs.
+BLOCK, BLOCK_PAIRS = 1 << 20, 1 << 13
 ID_BITS = 1 << 23
 WORD = r"[^\x20\x09-\x0D]"
 _U = np.uint64
@@ -175,15 +186,16 @@ class Points:
         return least + np.minimum(self.lost[left], self.lost[right])
 
     def possible(self, left, right):
-        """Of the index pairs, those of different labels that may be linked."""
+        """Of the index pairs, those of different labels that may be linked, and by how much they pass the bound."""
         n, label = self.n, self.label
         keep = (label[left] != label[right]) & (4 * np.minimum(n[left], n[right]) >= 3 * np.maximum(n[left], n[right]))
         left, right = left[keep], right[keep]
-        parts = [[np.empty(0, np.int64)] * 2]
+        parts = [[np.empty(0, np.int64)] * 3]
         for i in range(0, len(left), 1 << 14):
             a, b = left[i : i + (1 << 14)], right[i : i + (1 << 14)]
-            some = self.shared(a, b) >= needed(n[a], n[b])
-            parts.append([a[some], b[some]])
+            spare = self.shared(a, b) - needed(n[a], n[b])
+            some = spare >= 0
+            parts.append([a[some], b[some], spare[some]])
         return [np.concatenate(p) for p in zip(*parts)]
 
 
@@ -196,7 +208,7 @@ def bounded(pairs):
             side = [np.concatenate([table[f"{x}_{c}"].to_numpy() for x in "ab"]) for c in ("n", "lost")]
             vec = np.concatenate([matrix(table[f"{x}_vec"]) for x in "ab"])
             k = len(batch)
-            left, _ = Points(*side, vec, np.arange(2 * k)).possible(np.arange(k), np.arange(k) + k)
+            left, *_ = Points(*side, vec, np.arange(2 * k)).possible(np.arange(k), np.arange(k) + k)
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "a_n", "b_n")]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "na", "nb"]).take(pa.array(left))
 
@@ -265,10 +277,13 @@ def verified(texts, repeats, pairs):
     """The pairs (``tree``, ``a``, ``b``, sizes ``na``, ``nb``) whose texts are linked, as ``a``, ``b``.
 
     Pairs of one ``tree`` are verified together, so that a text is moved once for
-    each block, whose sides hold about ``BLOCK`` shingles, and not once for each pair.
+    each block, whose sides hold about ``BLOCK`` shingles and which has about
+    ``BLOCK_PAIRS`` pairs, and not once for each pair.
     """
     ids = pairs.select("tree", F.col("a").alias("id"), F.col("na").alias("n")).union(pairs.select("tree", "b", "nb"))
-    sides = ids.distinct().groupBy("tree").agg(F.ceil(F.sum("n") / BLOCK).alias("sides"))
+    shingles = ids.distinct().groupBy("tree").agg(F.ceil(F.sum("n") / BLOCK).alias("wide"))
+    counts = pairs.groupBy("tree").agg(F.ceil(F.sqrt(F.count("*") / BLOCK_PAIRS)).alias("many"))
+    sides = shingles.join(counts, "tree").select("tree", F.greatest("wide", "many").alias("sides"))
     dealt = stage(pairs.join(sides, "tree").select(
         F.xxhash64("tree", F.pmod(F.xxhash64("a"), "sides"), F.pmod(F.xxhash64("b"), "sides")).alias("block"), "a", "b"
     ), "dealt-pairs")
@@ -281,21 +296,20 @@ def verified(texts, repeats, pairs):
     return placed.mapInArrow(_compare, "a bigint, b bigint")
 
 
-def tree_pairs(points, home):
-    """Pairs (home point, any point) of one subtree that the bound lets through.
+def tree_pairs(points, home, other):
+    """Pairs (home point, other point) of one subtree that the bound lets through, and by how much.
 
     The home points are packed in boxes; a point meets those boxes only whose
     upper corner, by summed minima, could hold a partner.
     """
-    inside = np.flatnonzero(home)
+    inside, every = np.flatnonzero(home), np.flatnonzero(other)
     n, vec = points.n, points.vec
     order = inside[np.lexsort((vec[inside, 1], vec[inside, 0], n[inside]))]
-    found = [[np.empty(0, np.int64)] * 2]
-    every = np.arange(len(n))
+    found = [[np.empty(0, np.int64)] * 3]
     for i in range(0, len(order), LEAF):
         box = order[i : i + LEAF]
         high, least, most = vec[box].max(0), n[box].min(), n[box].max()
-        reach = every[(4 * n >= 3 * least) & (4 * most >= 3 * n)]
+        reach = every[(4 * n[every] >= 3 * least) & (4 * most >= 3 * n[every])]
         shared = np.minimum(vec[reach], high).sum(1, dtype=np.int64)
         shared += np.minimum(points.lost[reach], points.lost[box].max())
         reach = reach[shared >= needed(n[reach], least)]
@@ -303,90 +317,161 @@ def tree_pairs(points, home):
     return [np.concatenate(p) for p in zip(*found)]
 
 
-def _search(batches):
+def met_before(earlier, left, right):
+    """Whether the points of index pairs share one of the keys ``earlier`` (0: none), in pieces."""
+    out = np.zeros(len(left), bool)
+    for i in range(0, len(left), 1 << 16):
+        a, b = earlier[left[i : i + (1 << 16)]], earlier[right[i : i + (1 << 16)]]
+        for j in range(EARLIER):
+            own = a[:, j : j + 1]
+            out[i : i + (1 << 16)] |= ((own == b) & (own != 0)).any(1)
+    return out
+
+
+def _best(tree, low, high, spare, limit):
+    """Places of the ``limit`` pairs of most spare for each tree and pair of labels, and whether there are more."""
+    order = np.lexsort((-spare, high, low, tree))
+    t, x, y = tree[order], low[order], high[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (t[1:] != t[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(np.concatenate((first, [len(order)])))
+    rank = np.arange(len(order)) - np.repeat(first, size)
+    kept = rank < limit
+    return order[kept], np.repeat(size > limit, size)[kept]
+
+
+_HOME, _OTHER, _MOBILE = 1, 2, 4
+_PAIRS = "key bigint, a bigint, b bigint, na bigint, nb bigint, la bigint, lb bigint, more boolean"
+
+
+def _searched(table, limit):
+    """Candidates of all subtrees of a table sorted by subtree."""
+    tree = np.stack([table["key"].to_numpy(), table["part"].to_numpy().astype(np.int64)], 1)
+    role = table["role"].to_numpy()
+    ids, n = table["id"].to_numpy(), table["n"].to_numpy()
+    points = Points(n, table["lost"].to_numpy(), matrix(table["vec"]), table["label"].to_numpy())
+    earlier = np.stack([table[f"e{j}"].to_numpy() for j in range(EARLIER)], 1)
+    edge = np.concatenate(([0], np.flatnonzero((tree[1:] != tree[:-1]).any(1)) + 1, [len(tree)]))
+    size = np.diff(edge)
+    found = [[np.empty(0, np.int64)] * 3]
+    # Small subtrees: all their pairs at once, by distance within the subtree.
+    small = (size <= LEAF) & (tree[edge[:-1], 1] < 0)
+    rest = np.repeat(edge[1:], size) - np.arange(len(tree))
+    single = np.repeat(small, size)
+    for step in range(1, min(LEAF, int(size.max()))):
+        left = np.flatnonzero(single & (rest > step))
+        found.append(points.possible(left, left + step))
+    for a, b in zip(edge[:-1][~small].tolist(), edge[1:][~small].tolist()):
+        left, right, spare = tree_pairs(points.part(a, b), role[a:b] & _HOME > 0, role[a:b] & _OTHER > 0)
+        left, right = left + a, right + a
+        # Two mobile points meet in either order.
+        once = (role[right] & _MOBILE == 0) | (ids[left] < ids[right])
+        found.append([left[once], right[once], spare[once]])
+    left, right, spare = (np.concatenate(p) for p in zip(*found))
+    new = ~met_before(earlier, left, right)
+    left, right, spare = left[new], right[new], spare[new]
+    label = points.label
+    low, high = np.minimum(label[left], label[right]), np.maximum(label[left], label[right])
+    more = np.zeros(len(left), bool)
+    if limit is not None:
+        number = np.repeat(np.arange(len(size)), size)
+        kept, more = _best(number[left], low, high, spare, limit)
+        left, right = left[kept], right[kept]
+    turned = ids[left] > ids[right]
+    left, right = np.where(turned, right, left), np.where(turned, left, right)
+    columns = [tree[left, 0], ids[left], ids[right], n[left], n[right], label[left], label[right], more]
+    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "a", "b", "na", "nb", "la", "lb", "more"])
+
+
+def _search(limit):
     """Search every subtree of a partition sorted by subtree; one subtree may span batches."""
 
-    def searched(table):
-        key = table["tree"].to_numpy()
-        if not len(key):
-            return
-        home = table["home"].to_numpy(zero_copy_only=False)
-        points = Points(table["n"].to_numpy(), table["lost"].to_numpy(), matrix(table["vec"]), table["label"].to_numpy())
-        edge = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
-        small = [np.empty(0, np.int64)]
-        found = [[small[0], small[0]]]
-        size = np.diff(edge)
-        # Subtrees of one box: all their pairs at once, by distance within the subtree.
-        rest = np.repeat(edge[1:], size) - np.arange(len(key))
-        single = np.repeat(size <= LEAF, size)
-        for step in range(1, min(LEAF, int(size.max()))):
-            left = np.flatnonzero(single & (rest > step))
-            found.append(points.possible(left, left + step))
-        for a, b in zip(edge[:-1][size > LEAF].tolist(), edge[1:][size > LEAF].tolist()):
-            left, right = tree_pairs(points.part(a, b), home[a:b])
-            found.append([left + a, right + a])
-        left, right = (np.concatenate(p) for p in zip(*found))
-        ids = table["id"].combine_chunks()
-        yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(left)), ids.take(pa.array(right))], ["x", "y"]
-        )
-
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([held, table]) if held is not None else table
-        key = table["tree"].to_numpy()
-        last = int(np.searchsorted(key, key[-1], "left")) if len(key) and (key[1:] >= key[:-1]).all() else 0
-        if last:
-            yield from searched(table.slice(0, last))
-        held = table.slice(last)
-    if held is not None:
-        yield from searched(held)
-
-
-def cross_pairs(cells, place, known):
-    """Candidate pairs of different components that meet in a subtree.
-
-    All pairs with a subtree's hub have been tried, so the hub is left out, and
-    subtrees of two points have nothing else.
-    """
-    others = cells.where("size > 2 and hub <> id")
-    labelled = stage(left_join(others.select("key", "id"), place.withColumnRenamed("node", "id"), ["id"]).select(
-        "key", "id", F.coalesce("component", "id").alias("label")
-    ), "labelled-cells")
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            key, part = table["key"].to_numpy(), table["part"].to_numpy()
+            of_last = (key == key[-1]) & (part == part[-1]) if len(key) else np.zeros(0, bool)
+            last = int(np.flatnonzero(~of_last)[-1]) + 1 if not of_last.all() else 0
+            if last:
+                yield from _searched(table.slice(0, last), limit)
+            held = table.slice(last)
+        if held is not None and len(held):
+            yield from _searched(held, limit)
+
+    return run
+
+
+def _candidates(labelled, known, limit):
+    """Pairs of different components that meet in a subtree of ``labelled`` (key, id, label) and pass the bound."""
+    per_label = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
     mixed = stage(
-        labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-        .where("low <> high").select("key", F.ceil(F.col("size") / SLICE).cast("int").alias("slices")),
+        per_label.groupBy("key").agg(
+            F.count("*").alias("labels"), F.sum("size").alias("all"), F.max("size").alias("most"),
+            F.max_by("label", "size").alias("largest"),
+        ).where("labels > 1").select(
+            "key", "largest", F.ceil((F.col("all") - F.col("most")) / HOME).cast("int").alias("homes"),
+            F.when(F.col("all") <= HOME, 1).otherwise(F.ceil(F.col("all") / OTHER)).cast("int").alias("others"),
+        ),
         "mixed-subtrees",
     )
-    rows = labelled.join(mixed, "key").join(known.select("id", "n", "lost", "vec"), "id")
-    own = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
-    filed = rows.select(
-        "id", "n", "lost", "vec", "label", own.alias("own"), "key",
-        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
-    ).select(
-        F.xxhash64("key", "slice").alias("tree"), "id", "n", "lost", "vec", F.xxhash64("label").alias("label"),
-        (F.col("own") == F.col("slice")).alias("home"),
-    )
-    found = filed.repartition("tree").sortWithinPartitions("tree", "id").mapInArrow(
-        _search, "x bigint, y bigint"
+    rows = labelled.join(mixed, "key").join(known.select("id", "n", "lost", "vec", "keys"), "id")
+    place = F.array_position("keys", F.col("key")).cast("int")
+    earlier = [
+        F.when(place > j + 1, F.element_at("keys", F.greatest(place - F.lit(j + 1), F.lit(1)))).otherwise(F.lit(0)).alias(f"e{j}")
+        for j in range(EARLIER)
+    ]
+    # A subtree of several parts has one for each block of mobile points (those outside the largest
+    # component) and block of all points.
+    rows = rows.select(
+        "key", "id", "n", "lost", "vec", "label", "homes", "others", (F.col("label") != F.col("largest")).alias("mobile"),
+        F.expr("int(pmod(xxhash64(id), homes))").alias("home"), F.expr("int(pmod(xxhash64(id, 1), others))").alias("other"), *earlier,
     )
-    # A pair meets in every subtree of a shared shingle.
-    pairs = found.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    facts = left_join(known.select("id", "n"), place.withColumnRenamed("node", "id"), ["id"]).select(
-        "id", "n", F.coalesce("component", "id").alias("label")
+    parts = F.expr("""if(homes = 1 and others = 1, array(-1), array_union(
+        transform(sequence(0, homes - 1), i -> i * others + other),
+        if(mobile, transform(sequence(0, others - 1), j -> home * others + j), array())))""")
+    role = F.expr(f"""if(mobile and (part < 0 or int(part div others) = home), {_HOME}, 0)
+        + if(part < 0 or part % others = other, {_OTHER}, 0) + if(mobile, {_MOBILE}, 0)""")
+    filed = rows.withColumn("part", F.explode(parts)).select(
+        "key", "part", "id", "n", "lost", "vec", "label", role.alias("role"), *[f"e{j}" for j in range(EARLIER)]
     )
-    pairs = _beside(_beside(stage(pairs, "cross-pairs"), "a", facts, ["n", "label"]), "b", facts, ["n", "label"])
-    pairs = stage(pairs.select(
-        "a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb"), F.col("a_label").alias("la"),
-        F.col("b_label").alias("lb"),
-    ), "measured-pairs")
-    # Components that meet often share their least neighbour; verified under it, their texts move about once.
-    both = pairs.select("la", "lb").union(pairs.select("lb", "la"))
-    least = stage(both.groupBy("la").agg(F.least(F.min("lb"), F.first("la")).alias("tree")), "least-neighbours")
-    for side in ("la", "lb"):
-        pairs = pairs.join(least.select(F.col("la").alias(side), F.col("tree").alias(f"t_{side}")), side)
-    return pairs.select("a", "b", "na", "nb", F.xxhash64(F.least("t_la", "t_lb")).alias("tree"))
+    return filed.repartition("key", "part").sortWithinPartitions("key", "part", "id").mapInArrow(_search(limit), _PAIRS)
+
+
+def cross_links(texts, repeats, cells, place, known):
+    """Links between components that meet in a subtree, enough to join all that are linked.
+
+    ``cells`` (key, id) leaves out hubs, with which all pairs have been tried, and
+    all but one of equal sets. ``place`` holds the components so far.
+    """
+    links, tried = [], None
+    for limit in ROUNDS:
+        labelled = stage(left_join(cells, place.withColumnRenamed("node", "id"), ["id"]).select(
+            "key", "id", F.coalesce("component", "id").alias("label")
+        ), "labelled-cells")
+        found = stage(_candidates(labelled, known, limit), "cross-pairs")
+        # Large components have the least labels, most likely; verified under it, their texts move about once.
+        pairs = found.select("a", "b", "na", "nb", F.least("la", "lb").alias("tree")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "open-pairs")
+        links.append(stage(verified(texts, repeats, pairs).distinct(), "cross-links"))
+        cut = found.where("more").select("key", "la", "lb").distinct()
+        if limit is None or cut.isEmpty():
+            break
+        tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
+        place = components(place.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links[-1]))
+        for side in ("la", "lb"):
+            to = place.select(F.col("node").alias(side), F.col("component").alias(f"{side}_now"))
+            cut = cut.join(to, side, "left").withColumn(f"{side}_now", F.coalesce(f"{side}_now", side))
+        apart = stage(cut.where("la_now <> lb_now").select("key").distinct(), "open-subtrees")
+        cells = labelled.join(apart, "key").select("key", "id")
+    out = links[0]
+    for more in links[1:]:
+        out = out.union(more)
+    return out
 
 
 def jaccard_links(docs, id_col="doc_id", text_col="text"):
@@ -395,7 +480,12 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     texts, repeats = _texts(docs, id_col, text_col)
     table = stage(points(texts, fine_ranks(texts)), "points")
     single = stage(table.dropDuplicates(["id"]), "single-points") if repeats else table
-    known = single.drop("keys", "doc")
+    known = single.drop("doc")
+    # Equal sets: the least node stands for all of them.
+    sets = known.where("n > 0").groupBy("n", "digest").agg(F.min("id").alias("a"), F.count("*").alias("copies"))
+    sets = stage(sets.where("copies > 1").select("n", "digest", "a"), "equal-sets")
+    equal = known.select("id", "n", "digest").join(sets, ["n", "digest"]).where("id <> a")
+    equal = stage(equal.select("a", F.col("id").alias("b")), "equal-links")
     filed = single.select("id", F.explode("keys").alias("key"))
     hubs = stage(
         filed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size"))
@@ -407,16 +497,18 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     tried = stage(_beside(_beside(stars, "a", known, ["digest", "n"]), "b", known, ["digest", "n"]), "star-pairs")
     same = F.expr("a_n = b_n and a_digest = b_digest")
     near = F.expr("4 * a_n >= 3 * b_n and 4 * b_n >= 3 * a_n")
-    open_pairs = tried.where(~same & near).select("a", "b")
+    # A copy need not be tried: the set that stands for it has the same hubs.
+    open_pairs = tried.where(~same & near).select("a", "b").join(equal.select("b"), "b", "left_anti")
     open_pairs = _beside(_beside(open_pairs, "a", known, ["n", "lost", "vec"]), "b", known, ["n", "lost", "vec"])
     open_pairs = bounded(open_pairs).distinct().withColumn("tree", F.xxhash64("a"))
     open_pairs = stage(open_pairs, "open-pairs")
-    first = tried.where(same).select("a", "b").union(verified(texts, repeats, open_pairs))
-    first = stage(first.distinct(), "star-links")
+    first = stage(equal.union(verified(texts, repeats, open_pairs)).distinct(), "star-links")
     place = components(first)
-    crossed = cross_pairs(cells, place, known)
+    others = cells.where("size > 2 and hub <> id").select("key", "id").join(
+        equal.select(F.col("b").alias("id")), "id", "left_anti")
     # The components found so far stand for the first links.
-    links = place.select(F.col("node").alias("a"), F.col("component").alias("b")).union(verified(texts, repeats, crossed))
+    links = place.select(F.col("node").alias("a"), F.col("component").alias("b")).union(
+        cross_links(texts, repeats, others, place, known))
     return table.select("id", "doc", "n"), stage(links, "jaccard-links")
 
 
@@ -443,17 +535,19 @@ def jaccard_components(docs, id_col="doc_id", text_col="text"):
 def drop_near_duplicates(docs, id_col="doc_id", text_col="text"):
     """One document of each component stays, the one of the smallest id.
 
-    Of rows without id that repeat a text one stays; rows that repeat id and text are one document.
+    Rows that repeat id and text (or, without id, the text) are one document, of which one row stays;
+    texts without words are nobody's copies.
     """
-    node, gone = fresh(docs, "_node", "_gone")
-    found = _placed(*jaccard_links(docs, id_col, text_col)).where("id <> kept").select(
-        F.col("id").alias(node), F.lit(True).alias(gone)
-    )
-    found = stage(found, "near-copies")
-    nameless = F.col(id_col).isNull() & text_of(text_col).rlike(WORD)
+    node, stays, rows = fresh(docs, "_node", "_stays", "_rows")
+    sizes, links = jaccard_links(docs, id_col, text_col)
+    placed = _placed(sizes, links).select(F.col("id").alias(node), (F.col("id") == F.col("kept")).alias(stays))
+    repeated = sizes.where("n > 0").groupBy(F.col("id").alias(node)).agg(F.count("*").alias(rows)).where(f"{rows} > 1")
+    # Nodes that go, and nodes of several rows: all other rows stay as they are.
+    verdict = placed.where(~F.col(stays)).join(repeated, node, "full_outer")
+    verdict = stage(verdict.withColumn(stays, F.coalesce(stays, F.lit(True))), "near-copies")
     keyed = docs.withColumn(node, _node(id_col, text_col))
-
-    def kept(rows):
-        return left_join(rows, found, [node]).where(F.col(gone).isNull()).select(*docs.columns, node)
-
-    return kept(keyed.where(~nameless)).union(kept(keyed.where(nameless)).dropDuplicates([node])).select(*docs.columns)
+    joined = left_join(keyed, verdict, [node]).where(F.coalesce(stays, F.lit(True)))
+    alone = joined.where(F.col(rows).isNull())
+    return alone.select(*docs.columns).union(
+        joined.where(F.col(rows).isNotNull()).dropDuplicates([node]).select(*docs.columns)
+    )

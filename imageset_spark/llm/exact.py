@@ -21,11 +21,8 @@ from pyspark.sql import functions as F
 
 from imageset_spark.functions import stage
 
-from .rows import fresh, left_join, text_of
+from .rows import fresh, left_join, may_be_among, text_of
 
-#: Bits of the broadcast bitmap: 2,048 pieces of 4 KB, 8 MB.
-BITMAP_BITS = 1 << 26
-_PIECE_BITS = 1 << 15
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -39,30 +36,9 @@ def md5_digest(text):
     return F.unhex(F.md5(text))
 
 
-def _bit():
-    return F.pmod(F.xxhash64("digest"), F.lit(BITMAP_BITS))
-
-
-def _may_repeat(rows, groups):
-    """Rows whose ``digest`` may be one of ``groups``: all that are, and few others."""
-    pieces = groups.select(_bit().alias("bit")).groupBy(F.expr(f"bit div {_PIECE_BITS}").alias("piece")).agg(
-        F.bitmap_construct_agg(F.col("bit") % _PIECE_BITS).alias("bits")
-    )
-    place = F.col("bit") % _PIECE_BITS
-    byte = F.conv(F.hex(F.substring("bits", F.expr(f"int((bit % {_PIECE_BITS}) div 8) + 1"), F.lit(1))), 16, 10)
-    marked = F.getbit(byte.cast("int"), (place % 8).cast("int"))
-    return (
-        rows.withColumn("bit", _bit())
-        .withColumn("piece", F.expr(f"bit div {_PIECE_BITS}"))
-        .join(F.broadcast(pieces), "piece")
-        .where(marked == 1)
-        .drop("bit", "piece", "bits")
-    )
-
-
 def _collided(texts, groups):
     """Digests under which texts of different bytes lie."""
-    copies = _may_repeat(texts.select("digest", "norm"), groups.select("digest"))
+    copies = may_be_among(texts.select("digest", "norm"), groups, "digest")
     different = copies.groupBy("digest", "norm").agg(F.lit(1).alias("one"))
     return different.groupBy("digest").agg(F.sum("one").alias("texts")).where("texts > 1").select("digest")
 

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from imageset_spark.functions import stage
 
 from .components import components
-from .rows import bound_batches, fresh, left_join, text_key, text_of
+from .rows import bound_batches, fresh, left_join, may_be_among, text_key, text_of
 from .text import Chunk, chunks, mix, series
 
 SHINGLE = 5
@@ -417,7 +417,8 @@ def _candidates(labelled, known, limit):
         ),
         "mixed-subtrees",
     )
-    rows = labelled.join(mixed, "key").join(known.select("id", "n", "lost", "vec", "keys"), "id")
+    met = stage(labelled.join(mixed.drop("labels", "all", "most"), "key"), "mixed-cells")
+    rows = met.join(may_be_among(known.select("id", "n", "lost", "vec", "keys"), met, "id"), "id")
     place = F.array_position("keys", F.col("key")).cast("int")
     earlier = [
         F.when(place > j + 1, F.element_at("keys", F.greatest(place - F.lit(j + 1), F.lit(1)))).otherwise(F.lit(0)).alias(f"e{j}")
@@ -452,11 +453,15 @@ def cross_links(texts, repeats, cells, place, known):
             "key", "id", F.coalesce("component", "id").alias("label")
         ), "labelled-cells")
         found = stage(_candidates(labelled, known, limit), "cross-pairs")
-        # Large components have the least labels, most likely; verified under it, their texts move about once.
-        pairs = found.select("a", "b", "na", "nb", F.least("la", "lb").alias("tree")).distinct()
+        # Components that meet often share their least neighbour; verified under it, their texts move about once.
+        both = found.select("la", "lb").union(found.select("lb", "la"))
+        least = stage(both.groupBy("la").agg(F.least(F.min("lb"), F.first("la")).alias("tree")), "least-neighbours")
+        pairs = found.select("a", "b", "na", "nb", "la", "lb").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "open-pairs")
+        for side in ("la", "lb"):
+            pairs = pairs.join(least.select(F.col("la").alias(side), F.col("tree").alias(f"t_{side}")), side)
+        pairs = stage(pairs.select("a", "b", "na", "nb", F.least("t_la", "t_lb").alias("tree")), "open-pairs")
         links.append(stage(verified(texts, repeats, pairs).distinct(), "cross-links"))
         cut = found.where("more").select("key", "la", "lb").distinct()
         if limit is None or cut.isEmpty():
@@ -492,14 +497,16 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
         .where("size > 1"),
         "hubs",
     )
-    cells = stage(filed.join(hubs, "key"), "cells")
+    cells = stage(may_be_among(filed, hubs, "key").join(hubs, "key"), "cells")
     stars = cells.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     tried = stage(_beside(_beside(stars, "a", known, ["digest", "n"]), "b", known, ["digest", "n"]), "star-pairs")
     same = F.expr("a_n = b_n and a_digest = b_digest")
     near = F.expr("4 * a_n >= 3 * b_n and 4 * b_n >= 3 * a_n")
     # A copy need not be tried: the set that stands for it has the same hubs.
     open_pairs = tried.where(~same & near).select("a", "b").join(equal.select("b"), "b", "left_anti")
-    open_pairs = _beside(_beside(open_pairs, "a", known, ["n", "lost", "vec"]), "b", known, ["n", "lost", "vec"])
+    ends = open_pairs.select(F.col("a").alias("id")).union(open_pairs.select("b"))
+    vectors = may_be_among(known.select("id", "n", "lost", "vec"), ends, "id")
+    open_pairs = _beside(_beside(open_pairs, "a", vectors, ["n", "lost", "vec"]), "b", vectors, ["n", "lost", "vec"])
     open_pairs = bounded(open_pairs).distinct().withColumn("tree", F.xxhash64("a"))
     open_pairs = stage(open_pairs, "open-pairs")
     first = stage(equal.union(verified(texts, repeats, open_pairs)).distinct(), "star-links")

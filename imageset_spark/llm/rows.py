@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 
 #: Bytes of text in one Arrow batch handed to a Python worker.
 BATCH_BYTES = 8 << 20
+#: Bits of a broadcast bitmap: 2,048 pieces of 4 KB, 8 MB.
+BITMAP_BITS = 1 << 26
+_PIECE_BITS = 1 << 15
 
 
 def fresh(df, *names):
@@ -49,6 +52,28 @@ def left_join(left, right, names):
     return left.join(renamed, on, "left").drop(*[f"__r_{c}" for c in names])
 
 
+def may_be_among(rows, found, column):
+    """Rows whose ``column`` may be among the values of ``found``: all that are, and few others.
+
+    The values' hashes fill a bitmap of a fixed size (``BITMAP_BITS``, 8 MB), which is
+    broadcast, so rows that a join would drop are not moved to meet it.
+    """
+    bit, piece, bits = fresh(rows, "_bit", "_piece", "_bits")
+    hashed = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
+    pieces = found.select(hashed.alias(bit)).groupBy(F.expr(f"{bit} div {_PIECE_BITS}").alias(piece)).agg(
+        F.bitmap_construct_agg(F.col(bit) % _PIECE_BITS).alias(bits)
+    )
+    byte = F.conv(F.hex(F.substring(bits, F.expr(f"int(({bit} % {_PIECE_BITS}) div 8) + 1"), F.lit(1))), 16, 10)
+    marked = F.getbit(byte.cast("int"), (F.col(bit) % 8).cast("int"))
+    return (
+        rows.withColumn(bit, hashed)
+        .withColumn(piece, F.expr(f"{bit} div {_PIECE_BITS}"))
+        .join(F.broadcast(pieces), piece)
+        .where(marked == 1)
+        .select(*rows.columns)
+    )
+
+
 def bound_batches(spark):
     """Bound an Arrow batch by bytes as well as rows, so that long texts fit in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from samples import LOWER, clashing, documents, odd_documents, prose
 
 from imageset_spark.llm import exact as E
+from imageset_spark.llm import rows as R
 
 
 def norm(text):
@@ -59,10 +60,10 @@ def test_collisions_do_not_join_groups(spark, digest):
 
 
 def test_bitmap_keeps_every_group(spark, monkeypatch):
-    monkeypatch.setattr(E, "BITMAP_BITS", 1 << 15)
+    monkeypatch.setattr(R, "BITMAP_BITS", 1 << 15)
     rows = spark.range(50_000).select(F.col("id"), F.unhex(F.md5(F.col("id").cast("string"))).alias("digest"))
     some = rows.where("id % 10 = 0").select("digest")
-    found = {r.id for r in E._may_repeat(rows, some).collect()}
+    found = {r.id for r in R.may_be_among(rows, some, "digest").collect()}
     assert found >= set(range(0, 50_000, 10)) and len(found) < 20_000
 
 

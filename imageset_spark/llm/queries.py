@@ -272,3 +272,32 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
 FROM texts WINDOW same AS (PARTITION BY norm)
 """
+
+
+# All pairs that share a shingle, and everything that can be reached by links.
+ORACLES["op4_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS node, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT node, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) END AS s
+  FROM words),
+sizes AS (SELECT node, doc_id, len(s) AS n FROM sets),
+shingles AS (SELECT node, md5_number(unnest(s)) AS shingle FROM sets),
+shared AS (
+  SELECT x.node AS a, y.node AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.node < y.node
+  GROUP BY x.node, y.node),
+linked AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.node = a JOIN sizes q ON q.node = b
+  WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+ends AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reached AS (
+  SELECT node, node AS other FROM sizes
+  UNION
+  SELECT r.node, e.b FROM reached r JOIN ends e ON e.a = r.other)
+SELECT s.doc_id, s.n AS n_shingles, min(o.doc_id) AS component_id
+FROM sizes s JOIN reached r ON r.node = s.node JOIN sizes o ON o.node = r.other
+GROUP BY s.node, s.doc_id, s.n
+"""

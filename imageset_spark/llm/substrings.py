@@ -17,14 +17,16 @@ lowest text key among texts of one id; ``later`` passages are those that begin i
 
 Defined results: null and empty texts have no chunks; each row without id is a
 document of its own; rows of one id and text are one document, rows of one id
-and different texts are different documents; empty tables give empty results;
-only the columns below are returned.
+and different texts are different documents; ids that are no whole numbers are in
+the order of their hashes; empty tables give empty results; only the columns
+below are returned.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from imageset_spark.functions import stage
 
@@ -112,9 +114,12 @@ def cut(texts):
 def keyed_documents(docs, id_col, text_col, key, t):
     """``docs`` with the document key: ``key`` (id, ``NO_ID`` if there is none) and ``t`` (text key, else the row).
 
-    Rows without id are written, so that their row numbers stay.
+    An id that is no whole number is told apart by its 64-bit hash, together with the text
+    key. Rows without id are written, so that their row numbers stay.
     """
-    number = F.col(id_col).cast("bigint")
+    own = F.col(id_col)
+    whole = isinstance(docs.schema[id_col].dataType, IntegralType)
+    number = own.cast("bigint") if whole else F.when(own.isNotNull(), F.xxhash64(own))
     nameless = stage(docs.where(number.isNull()).withColumn(t, F.monotonically_increasing_id()), "rows-without-id")
     named = docs.where(number.isNotNull()).withColumns({key: number, t: text_key(text_col)})
     return named.unionByName(nameless.withColumn(key, F.lit(NO_ID)))

@@ -1,8 +1,10 @@
+import os
+
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from samples import clashing, documents, odd_documents, prose
+from samples import clashing, documents, odd_documents, prose, words
 
 from imageset_spark.llm import substrings as S
 
@@ -97,3 +99,32 @@ def test_rows_without_id_and_texts_of_one_id_are_holders(spark):
     kept = [r.text for r in S.drop_repeats(docs).collect()]
     assert sum(copy == t for t in kept) == 1 and len(kept) == len(rows)
     assert sum(shared[30:-30] in t for t in kept) == 1 and sum(own[30:-30] in t for t in kept) == 1
+
+
+def test_ids_of_any_type(spark):
+    shared = prose(90, 50)
+    rows = [("a", prose(60, 51) + " " + shared), ("b", shared + " " + prose(50, 52)), ("c", prose(80, 53)), (None, shared), ("é-1", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    out = {r.doc_id: r.n_passages for r in S.passage_report(docs).collect()}
+    assert out == {"a": 1, "b": 1, "c": 0, None: 1, "é-1": 0}
+    kept = {r.doc_id: r.text for r in S.drop_repeats(docs).collect()}
+    assert kept["c"] == rows[2][1] and kept["é-1"] is None
+    assert sum(len(t or "") for t in kept.values()) < sum(len(t or "") for _, t in rows) - len(shared)
+    halves = spark.createDataFrame([(0.25, shared), (0.5, shared)], "doc_id double, text string")
+    assert [r.n_passages for r in S.passage_report(halves).collect()] == [1, 1]
+
+
+def test_every_shared_window_of_the_small_tables_is_found(spark):
+    """All documents with a window of 51 words that another one holds; of the others few are flagged."""
+    data = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    holders = {}
+    for r in docs.collect():
+        w = words(r.text)
+        for i in range(len(w) - 50):
+            holders.setdefault(tuple(w[i : i + 51]), set()).add(r.doc_id)
+    expected = set().union(*[ids for ids in holders.values() if len(ids) > 1])
+    report = S.passage_report(docs).collect()
+    found = {r.doc_id for r in report if r.n_passages}
+    assert expected and len(expected - found) <= 0.005 * len(expected)
+    assert len(found - expected) <= 0.05 * len(report)

@@ -152,7 +152,7 @@ def test_rows_that_cannot_be_judged_fail(spark, score, label):
 
 
 def test_scoring_from_plane_to_logit_is_one_pass(spark):
-    from imageset_spark.operators.images import ImageSpec, to_tensor
+    from imageset_spark.operators.images import ImageSpec, stored_planes, to_tensor
 
     spec = ImageSpec(height=2, width=2)
     planes = spark.createDataFrame(
@@ -160,11 +160,11 @@ def test_scoring_from_plane_to_logit_is_one_pass(spark):
         "sample_id string, height int, width int, plane array<float>",
     )
     found = evaluation.score_planes(
-        planes, lambda row: row.plane, spec, lambda: lambda x: x.reshape(len(x), -1).sum(1), batch_size=3,
+        planes, lambda batch: stored_planes(batch, spec), spec, lambda: lambda x: x.reshape(len(x), -1).sum(1), batch_size=3,
         drop=["plane"],
     )
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInPandas") == 1 and "transform(" not in plan and "plane" not in found.columns
+    assert plan.count("MapInArrow") == 1 and "transform(" not in plan and "plane" not in found.columns
     expected = {r.sample_id: sum(r.tensor) for r in to_tensor(planes, spec).collect()}
     for row in found.collect():
         assert row.logit == pytest.approx(expected[row.sample_id], abs=1e-4)

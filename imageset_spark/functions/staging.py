@@ -1,4 +1,8 @@
-"""Written intermediate tables: they cut lineage and survive lost executors."""
+"""Written intermediate tables: they cut lineage and survive lost executors.
+
+Results are lazy scans of staged tables, so these stay until :func:`clear_staged` is
+called, once the results have been written or are no longer wanted.
+"""
 
 import re
 import tempfile
@@ -6,6 +10,10 @@ from functools import cache
 from uuid import uuid4
 
 
+#: Paths handed out by this process and not cleared yet.
+_STAGED = []
+
+
 @cache
 def _local_folder():
     return tempfile.mkdtemp(prefix="imageset-")
@@ -26,7 +34,9 @@ def staging_dir(spark):
 
 
 def staged_path(spark, name):
-    return f"{staging_dir(spark)}/imageset/{name}-{uuid4().hex}"
+    path = f"{staging_dir(spark)}/imageset/{name}-{uuid4().hex}"
+    _STAGED.append(path)
+    return path
 
 
 def stage(df, name):
@@ -35,3 +45,16 @@ def stage(df, name):
     path = staged_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark):
+    """Remove every table that this process staged so far; returns how many there were.
+
+    Frames that still read them fail afterwards, so write the results first.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed

@@ -18,9 +18,17 @@ def model(text):
     raw = text.encode()
     pack = lambda b: len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(b)) / len(b)
     low, high = next((a, b) for limit, a, b in quality.BANDS if len(raw) < limit)
-    pieces = [raw[i * 4096 : (i + 1) * 4096] for i in range(len(raw) // 4096)]
-    bad = sum(not quality.CHUNK_BAND[0] <= pack(p) <= quality.CHUNK_BAND[1] for p in pieces)
-    kept = not failed and low <= pack(raw) <= high and bad <= 0.5 * len(pieces)
+    verdicts = []
+    for size, least, most in quality.CHUNK_BANDS:
+        begin = 0
+        while len(raw) >= size:
+            piece = raw[begin : begin + size] if begin + size < len(raw) else raw[-size:]
+            verdicts.append(least <= pack(piece) <= most)
+            begin += size
+            if begin >= len(raw):
+                break
+    bad = verdicts.count(False)
+    kept = not failed and low <= pack(raw) <= high and 20 * bad <= len(verdicts)
     return (len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered), failed, kept)
 
 
@@ -53,6 +61,46 @@ def test_bands_reject_what_the_base_rule_passes(spark):
     assert not row.base_failed and not row.kept
 
 
+def noise(n, seed):
+    rng = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    return " ".join("".join(rng.choices(letters, k=60)) for _ in range(n // 61))
+
+
+def running_text(n, seed):
+    return prose(n // 4, seed)[:n]
+
+
+def test_planted_junk_is_rejected_and_prose_kept(spark):
+    junk, clean = [], []
+    for i in range(40):
+        a = running_text(3000 + 700 * i, i)
+        junk.append(a + " " + noise(1100 + 200 * i, i))
+        junk.append(noise(600 + 300 * i, i) + " " + a)
+        junk.append(a[: len(a) // 2] + " " + noise(4000, i) + " " + a[len(a) // 2 :])
+        block = running_text(340, 900 + i)
+        junk.append(a + " " + (block + " ") * (4 + len(a) // 1500))
+        clean.append(a)
+    out = {r.doc_id: r for r in check(documents(spark, list(enumerate(junk + clean))))}
+    passed = [i for i in range(len(junk)) if not out[i].base_failed]
+    assert len(passed) > 120
+    assert sum(out[i].kept for i in passed) == 0
+    assert all(out[len(junk) + i].kept for i in range(len(clean)))
+
+
+def test_no_byte_is_left_without_a_chunk():
+    for size in (512, 4096):
+        for n in (0, 1, size - 1, size, size + 1, 2 * size, 5 * size + 17):
+            starts = quality.chunk_starts(n, size)
+            covered = {b for a in starts for b in range(a, a + size)}
+            assert covered == (set(range(n)) if n >= size else set())
+
+
+def test_all_given_documents_that_pass_the_base_rule_stay(spark):
+    rows = quality.judge_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text"))
+    assert rows.where("not base_failed and not kept").count() == 0
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     out = check(docs)

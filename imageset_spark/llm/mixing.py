@@ -8,8 +8,8 @@ quotients target/(2k+1). The order in which blocks are handed out would also giv
 every shard its integer quota of each source (:func:`shard_quotas`); the mixture
 does not use them, it takes one quota of each source for the whole corpus.
 
-Documents of a source lie on a line in seeded order, which is cut in the same
-blocks. A source that gets ``q`` of its ``m`` blocks takes the whole line
+Documents of a source lie on a line in seeded order of id and text, which is cut in
+the same blocks. A source that gets ``q`` of its ``m`` blocks takes the whole line
 ``q div m`` times and the first ``q mod m`` blocks once more; as the line is
 shuffled, those are a seeded choice of blocks. How many words of a document
 are taken follows from where it lies on the line, so nothing is collected,
@@ -120,7 +120,7 @@ def _measured(docs, seed, id_col, source_col, text_col):
     """One narrow row per document: key columns, size and place in the seeded order."""
     return docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("name"), group_key(source_col).alias("src"),
-        text_key(text_col).alias("t"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"),
+        text_key(text_col).alias("t"), F.xxhash64(F.lit(seed), F.col(id_col), text_key(text_col)).alias("h"),
         F.regexp_count(text_of(text_col), F.lit(WORD)).cast("bigint").alias("size"),
     )
 

@@ -1,6 +1,7 @@
 """Proportional stratified interleaving: shards that all hold the mixture of the sources.
 
-Rows are shuffled within their source by a seeded hash of their id and ranked;
+Rows are shuffled within their source by a seeded hash of id and text, so that rows
+without id, or of one id, spread like others, and ranked;
 row ``r`` of a source with ``n`` rows gets the fractional rank ``(2r+1)/(2n)``.
 Sorting all rows by fractional rank interleaves the sources in proportion, so
 any stretch of that order holds the corpus mixture, and equal cuts of it are
@@ -36,11 +37,11 @@ def _before(order):
 def fractional_ranks(docs, slices, seed=SEED, id_col="doc_id", source_col="source", text_col="text"):
     """Add source key, rank within source, source size and the order columns of the shuffle."""
     src, h, t, cut, rank, n = fresh(docs, "_src", "_h", "_t", "_slice", "_rank", "_n")
-    keyed = docs.withColumns({
-        src: group_key(source_col),
-        h: F.xxhash64(F.lit(seed), F.col(id_col)),
-        t: text_key(text_col),
-    }).withColumn(cut, F.pmod(F.col(h), F.lit(slices)))
+    keyed = (
+        docs.withColumns({src: group_key(source_col), t: text_key(text_col)})
+        .withColumn(h, F.xxhash64(F.lit(seed), F.col(id_col), F.col(t)))
+        .withColumn(cut, F.pmod(F.col(h), F.lit(slices)))
+    )
     counts = keyed.groupBy(src, cut).agg(F.count("*").alias("_c"))
     whole = W.partitionBy(src)
     offsets = counts.select(

@@ -3,6 +3,7 @@ from fractions import Fraction
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from samples import clashing, documents, odd_documents, prose, words
 
 from imageset_spark.llm import mixing
@@ -99,3 +100,11 @@ def test_too_many_sources_are_refused(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
     with pytest.raises(ValueError, match="sources"):
         mixing.take_words(corpus(spark))
+
+
+def test_rows_without_id_spread_over_the_slices(spark):
+    docs = spark.range(20_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.col("id").cast("string").alias("text"),
+                                      F.lit("s").alias("source"))
+    measured = mixing._measured(docs, mixing.SEED, "doc_id", "source", "text")
+    per_slice = measured.groupBy(F.pmod("h", F.lit(mixing.LEAST_SLICES))).count().collect()
+    assert len(per_slice) > 1000 and max(r["count"] for r in per_slice) < 60

@@ -63,3 +63,11 @@ def test_written_shards_read_back(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert sorted((r.doc_id, r.shard, r.slot) for r in back.collect()) == sorted(
         (r.doc_id, r.shard, r.slot) for r in out.collect())
+
+
+def test_rows_without_id_spread_over_the_slices(spark):
+    docs = spark.range(20_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.col("id").cast("string").alias("text"),
+                                      F.lit("s").alias("source"))
+    ranked, _, (_, h, *_) = sharding.fractional_ranks(docs, 1024)
+    per_slice = ranked.groupBy(F.pmod(h, F.lit(1024))).count().collect()
+    assert len(per_slice) > 1000 and max(r["count"] for r in per_slice) < 60

@@ -19,12 +19,18 @@ subtrees of shingles they share.
 Subtrees of copies would hold all pairs of the group. Equal sets are linked by their
 digests, and one of them stands for all. Then each member of a subtree is tried with
 one hub, which links groups of near copies in linear work. Components are formed, and
-subtrees whose other points lie in one component are done. In the rest an R-tree is packed
+subtrees whose other points lie in one component are done. Of the rest, small ones (``FEW``
+points) list their pairs by sizes and places of the shared shingle alone, and vectors are
+moved for each pair once, not for each subtree of a point. In large ones an R-tree is packed
 over the points outside the subtree's largest component (sorted by size and
 coordinates, boxes of ``LEAF`` points), and all points of other components are looked up
 in it. Large subtrees are cut on both sides, so that a task holds ``HOME`` points of one
 side and ``OTHER`` of the other.
 
+``DIMS`` groups say little about texts of thousands of shingles, of which any two fill
+them alike. A long text also has a finer vector, of at most ``DENSE`` shingles a group,
+and pairs of long texts have to pass the bound on these before their texts are moved.
+
 Two documents with the same component need no link between them, so pairs are taken in
 rounds: first the few of each pair of components that share most by the bound. Most
 components meet there; only pairs of components that have not met and had more
@@ -41,9 +47,12 @@ one document, also those without id; empty tables give empty results; only the
 columns below are returned.
 """
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from imageset_spark.functions import stage
@@ -54,8 +63,12 @@ from .text import Chunk, chunks, mix, series
 
 SHINGLE = 5
 DIMS = 256
+#: Mean shingles in a group of a finer vector; texts with more than this in ``DIMS`` groups have one.
+DENSE = 8
 FINE_GROUPS = 1 << 16
 LEAF, HOME, OTHER = 32, 1024, 4096
+#: Points of a subtree whose pairs are listed without vectors; the pairs of larger ones would grow with the square.
+FEW = 8
 #: Candidates of each pair of components that a round takes from a subtree; the last takes all.
 ROUNDS = (4, 64, None)
 #: Keys of a point before a subtree's own that tell whether a pair was met before.
@@ -63,6 +76,8 @@ EARLIER = 4
 #: Shingles on one side of a block of pairs that are verified together, and its pairs.
 BLOCK, BLOCK_PAIRS = 1 << 20, 1 << 13
 ID_BITS = 1 << 23
+#: Hash bits of a key that tell whether it may be another point's too: those that name a slice, and the rest.
+SLICE_BITS, REST_BITS = 12, 32
 WORD = r"[^\x20\x09-\x0D]"
 _U = np.uint64
 _TAG = series(1, 31)[0]
@@ -126,8 +141,20 @@ def fine_ranks(texts):
     return ranks
 
 
+def finer_vector(values):
+    """Count vector of a long set, each group of the coarse one halved until ``DENSE`` shingles fill one, and what counts above 255 hold back."""
+    halvings = max(0, (-(-len(values) // (DENSE * DIMS)) - 1).bit_length())
+    group = (values >> _U(42 - halvings)) & _U((DIMS << halvings) - 1)
+    exact = np.bincount(group.astype(np.int64), minlength=DIMS << halvings)
+    vec = np.minimum(exact, 255).astype(np.uint8)
+    return vec.tobytes(), int((exact - vec).sum())
+
+
 def points(texts, ranks):
-    """One row per text: ``id``, ``doc``, size ``n``, ``digest`` of the set, count vector ``vec``, fine coordinates ``keys``."""
+    """One row per text: ``id``, ``doc``, size ``n``, ``digest`` of the set, count vector ``vec``, fine coordinates ``keys``.
+
+    ``lost`` is what counts above 255 hold back; long sets have a finer vector ``fine`` and its ``fine_lost``, others null.
+    """
 
     def run(batches):
         for batch in batches:
@@ -144,17 +171,23 @@ def points(texts, ranks):
                 place = np.arange(len(values)) - np.repeat(edge[:-1], sizes)
                 first = place < np.repeat(taken, sizes)
                 starts = np.concatenate(([0], np.cumsum(taken))).astype(np.int32)
+                finer = [
+                    finer_vector(values[a:b]) if b - a > DENSE * DIMS else (None, None)
+                    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(begin, n), batch.column(2).slice(begin, n), pa.array(sizes.astype(np.int64)), pa.array(digest),
                      pa.array(lost),
                      pa.Array.from_buffers(pa.binary(), n, [
                          None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(DIMS)), pa.py_buffer(vec)]),
-                     pa.ListArray.from_arrays(pa.array(starts), pa.array(values[first].view(np.int64)))],
-                    ["id", "doc", "n", "digest", "lost", "vec", "keys"],
+                     pa.ListArray.from_arrays(pa.array(starts), pa.array(values[first].view(np.int64))),
+                     pa.array([f for f, _ in finer], pa.binary()), pa.array([x for _, x in finer], pa.int64())],
+                    ["id", "doc", "n", "digest", "lost", "vec", "keys", "fine", "fine_lost"],
                 )
 
     return texts.mapInArrow(
-        run, f"id bigint, doc {dict(texts.dtypes)['doc']}, n bigint, digest bigint, lost bigint, vec binary, keys array<bigint>"
+        run, f"id bigint, doc {dict(texts.dtypes)['doc']}, n bigint, digest bigint, lost bigint, vec binary, keys array<bigint>, "
+        "fine binary, fine_lost bigint"
     )
 
 
@@ -199,20 +232,30 @@ class Points:
         return [np.concatenate(p) for p in zip(*parts)]
 
 
-def bounded(pairs):
-    """The pairs, with columns of :func:`_beside`, that pass the bound."""
+def overlap_bound(x, y, x_lost, y_lost):
+    """Upper bound of the overlap of two sets by their count vectors; the longer one is folded to the groups of the shorter."""
+    if len(x) == len(y):
+        return int(np.minimum(x, y).sum(dtype=np.int64)) + min(x_lost, y_lost)
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.minimum(x.reshape(len(y), -1).sum(1, dtype=np.int64), y).sum()) + x_lost + y_lost
+
+
+def bounded(pairs, columns):
+    """``columns`` of the pairs (sizes ``na``, ``nb``, vectors and ``lost`` of :func:`_beside`) that pass the bound, and ``spare``, by how much."""
 
     def run(batches):
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            side = [np.concatenate([table[f"{x}_{c}"].to_numpy() for x in "ab"]) for c in ("n", "lost")]
-            vec = np.concatenate([matrix(table[f"{x}_vec"]) for x in "ab"])
-            k = len(batch)
-            left, *_ = Points(*side, vec, np.arange(2 * k)).possible(np.arange(k), np.arange(k) + k)
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "a_n", "b_n")]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "na", "nb"]).take(pa.array(left))
+            vectors = zip(*([np.frombuffer(v.as_buffer(), np.uint8) for v in table[f"{x}_vec"]] for x in "ab"))
+            lost = zip(*(table[f"{x}_lost"].to_pylist() for x in "ab"))
+            most = [overlap_bound(*v, *x) for v, x in zip(vectors, lost)]
+            spare = np.array(most, np.int64) - needed(table["na"].to_numpy(), table["nb"].to_numpy())
+            kept = table.select(columns).append_column("spare", pa.array(spare)).filter(pa.array(spare >= 0))
+            yield from kept.to_batches()
 
-    return pairs.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint")
+    types = dict(pairs.dtypes)
+    return pairs.mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in columns) + ", spare bigint")
 
 
 def _beside(pairs, side, table, columns):
@@ -220,6 +263,21 @@ def _beside(pairs, side, table, columns):
     return pairs.join(table.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
 
 
+def _with_vectors(pairs, known, vec="vec", lost="lost"):
+    """``pairs`` with the count vectors of both sides, for :func:`bounded`."""
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    vectors = may_be_among(known.select("id", F.col(vec).alias("vec"), F.col(lost).alias("lost")), ends, "id")
+    return _beside(_beside(pairs, "a", vectors, ["vec", "lost"]), "b", vectors, ["vec", "lost"])
+
+
+def _close(pairs, known):
+    """The pairs (staged, as for :func:`verified`) less those of two long texts that the finer vectors refuse."""
+    both = F.least("na", "nb") > DENSE * DIMS
+    columns = ["tree", "a", "b", "na", "nb"]
+    passed = bounded(_with_vectors(pairs.where(both), known.where("fine is not null"), "fine", "fine_lost"), columns)
+    return stage(pairs.where(~both).select(*columns).union(passed.select(*columns)), "close-pairs")
+
+
 def _picked(texts, repeats, ids):
     """Packed texts that may be among ``ids``, one of each: a bitmap of a fixed size keeps most others out of the shuffles."""
     bit = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
@@ -273,13 +331,14 @@ def _compare(batches):
         )
 
 
-def verified(texts, repeats, pairs):
-    """The pairs (``tree``, ``a``, ``b``, sizes ``na``, ``nb``) whose texts are linked, as ``a``, ``b``.
+def verified(texts, repeats, pairs, known):
+    """The staged pairs (``tree``, ``a``, ``b``, sizes ``na``, ``nb``) whose texts are linked, as ``a``, ``b``.
 
     Pairs of one ``tree`` are verified together, so that a text is moved once for
     each block, whose sides hold about ``BLOCK`` shingles and which has about
     ``BLOCK_PAIRS`` pairs, and not once for each pair.
     """
+    pairs = _close(pairs, known)
     ids = pairs.select("tree", F.col("a").alias("id"), F.col("na").alias("n")).union(pairs.select("tree", "b", "nb"))
     shingles = ids.distinct().groupBy("tree").agg(F.ceil(F.sum("n") / BLOCK).alias("wide"))
     counts = pairs.groupBy("tree").agg(F.ceil(F.sqrt(F.count("*") / BLOCK_PAIRS)).alias("many"))
@@ -355,7 +414,7 @@ def _searched(table, limit):
     edge = np.concatenate(([0], np.flatnonzero((tree[1:] != tree[:-1]).any(1)) + 1, [len(tree)]))
     size = np.diff(edge)
     found = [[np.empty(0, np.int64)] * 3]
-    # Small subtrees: all their pairs at once, by distance within the subtree.
+    # Subtrees of one box: all their pairs at once, by distance within the subtree.
     small = (size <= LEAF) & (tree[edge[:-1], 1] < 0)
     rest = np.repeat(edge[1:], size) - np.arange(len(tree))
     single = np.repeat(small, size)
@@ -404,6 +463,61 @@ def _search(limit):
     return run
 
 
+def _meeting(batches):
+    """Pairs of different labels in small subtrees of a partition sorted by subtree and id, by sizes and places alone."""
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is None:
+            table, last = held, len(held) if held is not None else 0
+        else:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            key = table["key"].to_numpy()
+            last = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            held = table.slice(last)
+        if not last:
+            continue
+        key, ids, n, reach, label = (table[c].to_numpy()[:last] for c in ("key", "id", "n", "reach", "label"))
+        edge = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [last]))
+        size = np.diff(edge)
+        rest = np.repeat(edge[1:], size) - np.arange(last)
+        for step in range(1, int(size.max())):
+            left = np.flatnonzero(rest > step)
+            right = left + step
+            both = (label[left] != label[right]) & (n[left] <= reach[right]) & (n[right] <= reach[left])
+            left, right = left[both], right[both]
+            columns = [key[left], ids[left], ids[right], n[left], n[right], label[left], label[right]]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "a", "b", "na", "nb", "la", "lb"])
+
+
+def _filed(known, met, *columns):
+    """Cells (``key``, ``id``, ``n``) that may be among ``met``, with columns worked out from ``place``, the key's place in ``keys``."""
+    filed = may_be_among(known.select("id", "n", "keys"), met, "id")
+    filed = filed.select("id", "n", "keys", F.posexplode("keys").alias("place", "key")).select("key", "id", "n", *columns)
+    return may_be_among(filed, met, "key")
+
+
+def _small_candidates(met, known, limit):
+    """Candidates of the cells ``met`` (key, id, label) of small subtrees.
+
+    The sets of a pair share nothing before the first key that they share, so there the rest of
+    either has to hold the needed overlap: ``reach`` is the largest other set for which it does.
+    """
+    cells = _filed(known, met, F.expr("(7 * (n - place)) div 3 - n").alias("reach")).join(met.select("key", "id", "label"), ["key", "id"])
+    placed = cells.repartition("key").sortWithinPartitions("key", "id")
+    pairs = placed.mapInArrow(_meeting, "key bigint, a bigint, b bigint, na bigint, nb bigint, la bigint, lb bigint")
+    # A pair that meets in several subtrees counts in the first.
+    pairs = pairs.groupBy("a", "b").agg(F.min("key").alias("key"), *[F.min(c).alias(c) for c in ("na", "nb", "la", "lb")])
+    columns = ["key", "a", "b", "na", "nb", "la", "lb"]
+    found = bounded(_with_vectors(stage(pairs, "meeting-pairs"), known), columns)
+    if limit is None:
+        return found.select(*columns, F.lit(False).alias("more"))
+    of_labels = Window.partitionBy("key", F.least("la", "lb"), F.greatest("la", "lb"))
+    found = found.withColumns({
+        "rank": F.row_number().over(of_labels.orderBy(F.desc("spare"), "a", "b")), "size": F.count("*").over(of_labels)})
+    return found.where(F.col("rank") <= limit).select(*columns, (F.col("size") > limit).alias("more"))
+
+
 def _candidates(labelled, known, limit):
     """Pairs of different components that meet in a subtree of ``labelled`` (key, id, label) and pass the bound."""
     per_label = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
@@ -412,23 +526,25 @@ def _candidates(labelled, known, limit):
             F.count("*").alias("labels"), F.sum("size").alias("all"), F.max("size").alias("most"),
             F.max_by("label", "size").alias("largest"),
         ).where("labels > 1").select(
-            "key", "largest", F.ceil((F.col("all") - F.col("most")) / HOME).cast("int").alias("homes"),
+            "key", "largest", "all", F.ceil((F.col("all") - F.col("most")) / HOME).cast("int").alias("homes"),
             F.when(F.col("all") <= HOME, 1).otherwise(F.ceil(F.col("all") / OTHER)).cast("int").alias("others"),
         ),
         "mixed-subtrees",
     )
-    met = stage(labelled.join(mixed.drop("labels", "all", "most"), "key"), "mixed-cells")
-    rows = met.join(may_be_among(known.select("id", "n", "lost", "vec", "keys"), met, "id"), "id")
-    place = F.array_position("keys", F.col("key")).cast("int")
+    met = stage(labelled.join(mixed, "key"), "mixed-cells")
+    small, met = met.where(F.col("all") <= FEW), met.where(F.col("all") > FEW)
     earlier = [
-        F.when(place > j + 1, F.element_at("keys", F.greatest(place - F.lit(j + 1), F.lit(1)))).otherwise(F.lit(0)).alias(f"e{j}")
+        F.when(F.col("place") > j, F.element_at("keys", F.greatest(F.col("place") - j, F.lit(1)))).otherwise(F.lit(0)).alias(f"e{j}")
         for j in range(EARLIER)
     ]
+    vectors = may_be_among(known.select("id", "lost", "vec"), met, "id")
+    rows = _filed(known, met, *earlier).join(met, ["key", "id"]).join(vectors, "id")
     # A subtree of several parts has one for each block of mobile points (those outside the largest
     # component) and block of all points.
     rows = rows.select(
         "key", "id", "n", "lost", "vec", "label", "homes", "others", (F.col("label") != F.col("largest")).alias("mobile"),
-        F.expr("int(pmod(xxhash64(id), homes))").alias("home"), F.expr("int(pmod(xxhash64(id, 1), others))").alias("other"), *earlier,
+        F.expr("int(pmod(xxhash64(id), homes))").alias("home"), F.expr("int(pmod(xxhash64(id, 1), others))").alias("other"),
+        *[f"e{j}" for j in range(EARLIER)],
     )
     parts = F.expr("""if(homes = 1 and others = 1, array(-1), array_union(
         transform(sequence(0, homes - 1), i -> i * others + other),
@@ -438,7 +554,8 @@ def _candidates(labelled, known, limit):
     filed = rows.withColumn("part", F.explode(parts)).select(
         "key", "part", "id", "n", "lost", "vec", "label", role.alias("role"), *[f"e{j}" for j in range(EARLIER)]
     )
-    return filed.repartition("key", "part").sortWithinPartitions("key", "part", "id").mapInArrow(_search(limit), _PAIRS)
+    large = filed.repartition("key", "part").sortWithinPartitions("key", "part", "id").mapInArrow(_search(limit), _PAIRS)
+    return large.union(_small_candidates(small, known, limit))
 
 
 def cross_links(texts, repeats, cells, place, known):
@@ -462,7 +579,7 @@ def cross_links(texts, repeats, cells, place, known):
         for side in ("la", "lb"):
             pairs = pairs.join(least.select(F.col("la").alias(side), F.col("tree").alias(f"t_{side}")), side)
         pairs = stage(pairs.select("a", "b", "na", "nb", F.least("t_la", "t_lb").alias("tree")), "open-pairs")
-        links.append(stage(verified(texts, repeats, pairs).distinct(), "cross-links"))
+        links.append(stage(verified(texts, repeats, pairs, known).distinct(), "cross-links"))
         cut = found.where("more").select("key", "la", "lb").distinct()
         if limit is None or cut.isEmpty():
             break
@@ -479,6 +596,44 @@ def cross_links(texts, repeats, cells, place, known):
     return out
 
 
+def _print(keys):
+    """Bits by which keys are told apart in :func:`repeated_keys`."""
+    return keys.bitwiseAND((1 << (SLICE_BITS + REST_BITS)) - 1)
+
+
+def repeated_keys(known):
+    """``print`` of all keys that more than one point holds, and of few others.
+
+    Most keys are held by one point only. They are moved as packed numbers, one row for
+    each slice of a batch, which takes a fraction of a row for each key.
+    """
+
+    def pack(batches):
+        for batch in batches:
+            keys = batch.column(0).flatten().to_numpy().view(_U)
+            keys, count = np.unique(keys & _U((1 << (SLICE_BITS + REST_BITS)) - 1), return_counts=True)
+            # A key of two points of a batch is written twice.
+            keys = np.repeat(keys, np.minimum(count, 2))
+            part = (keys >> _U(REST_BITS)).astype(np.int32)
+            rest = keys.astype(np.uint32)
+            first = np.flatnonzero(np.diff(part, prepend=-1))
+            edge = np.concatenate((first, [len(part)])).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(part[first]),
+                pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edge * np.int32(4)), pa.py_buffer(rest)]),
+            ], ["slice", "rest"])
+
+    def twice(batches):
+        for batch in batches:
+            for part, rests in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rest, count = np.unique(np.frombuffer(b"".join(rests.as_py()), np.uint32), return_counts=True)
+                found = (part << REST_BITS) + rest[count > 1].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found)], ["print"])
+
+    packed = known.select("keys").mapInArrow(pack, "slice int, rest binary")
+    return packed.groupBy("slice").agg(F.collect_list("rest").alias("rests")).mapInArrow(twice, "print bigint")
+
+
 def jaccard_links(docs, id_col="doc_id", text_col="text"):
     """(sizes, links): one row per text with ``id`` (its node), ``doc`` and ``n``, and links ``a``, ``b`` of nodes that span all components."""
     bound_batches(docs.sparkSession)
@@ -492,8 +647,10 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     equal = known.select("id", "n", "digest").join(sets, ["n", "digest"]).where("id <> a")
     equal = stage(equal.select("a", F.col("id").alias("b")), "equal-links")
     filed = single.select("id", F.explode("keys").alias("key"))
+    repeated = stage(repeated_keys(known), "repeated-keys")
+    shared = may_be_among(filed.withColumn("print", _print(F.col("key"))), repeated, "print")
     hubs = stage(
-        filed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size"))
+        shared.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size"))
         .where("size > 1"),
         "hubs",
     )
@@ -503,13 +660,11 @@ def jaccard_links(docs, id_col="doc_id", text_col="text"):
     same = F.expr("a_n = b_n and a_digest = b_digest")
     near = F.expr("4 * a_n >= 3 * b_n and 4 * b_n >= 3 * a_n")
     # A copy need not be tried: the set that stands for it has the same hubs.
-    open_pairs = tried.where(~same & near).select("a", "b").join(equal.select("b"), "b", "left_anti")
-    ends = open_pairs.select(F.col("a").alias("id")).union(open_pairs.select("b"))
-    vectors = may_be_among(known.select("id", "n", "lost", "vec"), ends, "id")
-    open_pairs = _beside(_beside(open_pairs, "a", vectors, ["n", "lost", "vec"]), "b", vectors, ["n", "lost", "vec"])
-    open_pairs = bounded(open_pairs).distinct().withColumn("tree", F.xxhash64("a"))
+    open_pairs = tried.where(~same & near).select("a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb"))
+    open_pairs = _with_vectors(open_pairs.join(equal.select("b"), "b", "left_anti"), known)
+    open_pairs = bounded(open_pairs, ["a", "b", "na", "nb"]).drop("spare").withColumn("tree", F.xxhash64("a"))
     open_pairs = stage(open_pairs, "open-pairs")
-    first = stage(equal.union(verified(texts, repeats, open_pairs)).distinct(), "star-links")
+    first = stage(equal.union(verified(texts, repeats, open_pairs, known)).distinct(), "star-links")
     place = components(first)
     others = cells.where("size > 2 and hub <> id").select("key", "id").join(
         equal.select(F.col("b").alias("id")), "id", "left_anti")

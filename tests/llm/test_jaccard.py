@@ -194,3 +194,69 @@ def test_components_of_graphs(spark, shape):
         parent[y] = x
     out = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {r.node: r.component for r in out} == {v: find(v) for e in edges if e[0] != e[1] for v in e}
+
+
+def staged_rows(monkeypatch):
+    """Rows of every table that is staged from here on, by name."""
+    rows, stage = {}, J.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        rows.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "stage", counted)
+    return rows
+
+
+def test_long_unlike_texts_are_refused_before_they_are_moved(spark, monkeypatch):
+    """Any two texts of thousands of shingles fill the groups of the coarse vector alike."""
+    rows = staged_rows(monkeypatch)
+    passage = prose(12, 40, 10**6)
+    texts = [(i, prose(8000 + 20 * i, 50 + i, 10**6) + " " + passage) for i in range(8)]
+    base = prose(9000, 60, 10**6)
+    check(spark, texts + [(20, base), (21, edited(base, 100, 1))])
+    # Of all pairs, only the linked one is verified on its texts.
+    assert sum(rows["dealt-pairs"]) == 1
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10**6))
+def test_finer_bound_never_drops_a_link(seed):
+    rng = random.Random(seed)
+    size = rng.choice([2000, 4096, 8200, 9000])
+    base = prose(size, seed, rng.choice([300, 10**6]))
+    words = edited(base, rng.randrange(0, 200), seed).split(" ")
+    texts = pa.array([base, " ".join(words[: rng.randrange(3 * size // 4, size)])])
+    (_, sizes, values, row), = J.shingle_sets(texts, np.arange(J.FINE_GROUPS, dtype=np.uint64))
+    a, b = values[row == 0], values[row == 1]
+    (x, x_lost), (y, y_lost) = J.finer_vector(a), J.finer_vector(b)
+    assert max(map(len, (x, y))) >= max(sizes) / J.DENSE
+    bound = J.overlap_bound(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8), x_lost, y_lost)
+    assert bound >= len(np.intersect1d(a, b))
+
+
+def test_small_subtrees_move_vectors_once_for_each_pair(spark, monkeypatch):
+    """Near copies share most of their keys; each pair meets its vectors in one row."""
+    texts, _ = J._texts(documents(spark, [(i, edited(prose(150, 4), 3, i)) for i in range(8)]), "doc_id", "text")
+    known = J.stage(J.points(texts, J.fine_ranks(texts)), "points")
+    cells = known.select("id", F.explode("keys").alias("key"))
+    rows = staged_rows(monkeypatch)
+    found = J._candidates(cells.select("key", "id", F.col("id").alias("label")), known, None).collect()
+    pairs = {(r.a, r.b) for r in found}
+    assert 0 < len(found) == len(pairs) <= rows["meeting-pairs"][0] <= 28
+
+
+def test_repeated_keys_are_found_within_and_across_batches(spark):
+    rng = random.Random(5)
+    lists = [sorted({rng.randrange(-(2**63), 2**63) for _ in range(20)}) for _ in range(60)]
+    for i in range(0, 60, 3):
+        lists[(i + 7) % 60][0] = lists[i][1]
+    known = spark.createDataFrame([(k,) for k in lists], "keys array<bigint>").repartition(7)
+    count = {}
+    for keys in lists:
+        for k in keys:
+            count[k] = count.get(k, 0) + 1
+    low = (1 << (J.SLICE_BITS + J.REST_BITS)) - 1
+    expected = {k & low for k, n in count.items() if n > 1}
+    assert expected and {r.print for r in J.repeated_keys(known).collect()} == expected

@@ -18,3 +18,14 @@ def test_staged_tables_are_removed_on_request(spark, monkeypatch):
     with pytest.raises(Exception, match="(?i)not.exist|not_exist"):
         first.collect()
     assert stage(spark.range(5), "after").count() == 5
+
+
+def test_shuffle_files_of_a_written_table_are_removed(spark, monkeypatch):
+    seen = []
+    write = type(spark.range(1).write).parquet
+    monkeypatch.setattr(
+        type(spark.range(1).write), "parquet",
+        lambda self, path: (seen.append(spark.conf.get(staging._FREES_SHUFFLES, None)), write(self, path))[1])
+    before = spark.conf.get(staging._FREES_SHUFFLES, None)
+    assert stage(spark.range(9).groupBy("id").count(), "freed").count() == 9
+    assert seen == ["true"] and spark.conf.get(staging._FREES_SHUFFLES, None) == before

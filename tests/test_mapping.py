@@ -151,3 +151,12 @@ def test_joined_classes_keep_every_label_row(spark):
     for row in joined.select("patientId", "class").distinct().collect():
         own = names.get(row["patientId"], set())
         assert row["class"] == (next(iter(own)) if len(own) == 1 else None)
+
+
+def test_label_rows_without_a_patient_are_joined_with_no_class(spark):
+    label_rows = [(None, *BOX, 1.0), (None, *BOX, 1.0), (None, *NO_BOX, None), ("a", *NO_BOX, 0.0), ("b", *BOX, 1.0)]
+    class_rows = [("a", "Normal"), (None, "Lung Opacity"), (None, "Normal"), (None, None)]
+    labels, classes = frames(spark, label_rows, class_rows, 3)
+    joined = mapping.join_classes(labels, classes).select(*labels.columns, "class")
+    expected = [(*row, "Normal" if row[0] == "a" else None) for row in label_rows]
+    assert rows(joined) == sorted(expected, key=lambda r: tuple(map(str, r)))
